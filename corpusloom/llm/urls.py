@@ -12,7 +12,7 @@ columns don't matter, as only the id and the URL are read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,55 +35,49 @@ class Rule:
         return self.host + self.path
 
 
-@dataclass
-class _Node:
-    """A host label or a path segment. ``tails`` are the rules that end within the next segment."""
-
-    labels: dict[str, _Node] = field(default_factory=dict)
-    segments: dict[str, _Node] = field(default_factory=dict)
-    tails: dict[str, Rule] = field(default_factory=dict)
-
-
-class Trie:
-    def __init__(self, rules: Iterable[Rule]):
-        self.root, n = _Node(), 0
-        for rule in rules:
-            n += 1
-            if n > MAX_RULES or len(rule.text.encode()) > MAX_RULE_BYTES:
-                raise ValueError("too large a rule list to broadcast; use judge_by_join")
-            node = self.root
-            for label in reversed(rule.host.split(".")):
-                node = node.labels.setdefault(label, _Node())
-            *full, tail = rule.path.split("/")
-            for segment in full:
-                node = node.segments.setdefault(segment, _Node())
-            other = node.tails.get(tail)
-            if other is None or other.verdict != "block":  # of an allow and a block entry of the same text, block holds
-                node.tails[tail] = rule
-
-    def find(self, host: str, path: str) -> Rule | None:
-        """The longest rule: the most host labels first, then the longest path."""
-        node, hosts = self.root, []
-        for label in reversed(host.split(".")):
-            node = node.labels.get(label)
-            if node is None:
-                break
-            hosts.append(node)
-        for at in reversed(hosts):
-            if rule := self._path(at, path.split("/")):
-                return rule
-        return None
-
-    @staticmethod
-    def _path(node: _Node | None, segments: list[str]) -> Rule | None:
+def _node() -> dict:
+    """A host label or a path segment. ``tails`` are the rules, as (text, verdict), that end within the next segment."""
+    return {"labels": {}, "segments": {}, "tails": {}}
+
+
+def build(rules: Iterable[Rule]) -> dict:
+    """The trie, in plain dictionaries so that any worker can read the broadcast."""
+    root = _node()
+    for n, rule in enumerate(rules):
+        if n >= MAX_RULES or len(rule.text.encode()) > MAX_RULE_BYTES:
+            raise ValueError("too large a rule list to broadcast; use judge_by_join")
+        node = root
+        for label in reversed(rule.host.split(".")):
+            node = node["labels"].setdefault(label, _node())
+        *full, tail = rule.path.split("/")
+        for segment in full:
+            node = node["segments"].setdefault(segment, _node())
+        if node["tails"].get(tail, ("", ""))[1] != "block":  # of an allow and a block entry of the same text, block holds
+            node["tails"][tail] = (rule.text, rule.verdict)
+    return root
+
+
+def find(root: dict, host: str, path: str) -> tuple[str, str] | None:
+    """The longest rule, as (text, verdict): the most host labels first, then the longest path."""
+    node, hosts = root, []
+    for label in reversed(host.split(".")):
+        node = node["labels"].get(label)
+        if node is None:
+            break
+        hosts.append(node)
+    segments = path.split("/")
+    for at in reversed(hosts):
         best = None
         for segment in segments:
-            if node.tails:
-                best = next((node.tails[segment[:n]] for n in range(len(segment), -1, -1) if segment[:n] in node.tails), best)
-            node = node.segments.get(segment)
-            if node is None:
+            tails = at["tails"]
+            if tails:
+                best = next((tails[segment[:n]] for n in range(len(segment), -1, -1) if segment[:n] in tails), best)
+            at = at["segments"].get(segment)
+            if at is None:
                 break
-        return best
+        if best:
+            return best
+    return None
 
 
 def host_of(url: Column) -> Column:
@@ -96,14 +90,14 @@ def path_of(url: Column) -> Column:
 
 def judge(pages: DataFrame, rules: Iterable[Rule], key: str = "page_id", url: str = "url", default: str = DEFAULT) -> DataFrame:
     """page_id, host, path, rule (null if none fits), verdict."""
-    trie = pages.sparkSession.sparkContext.broadcast(Trie(rules))
+    trie = pages.sparkSession.sparkContext.broadcast(build(rules))
 
     @F.pandas_udf("struct<rule string, verdict string>")
     def look(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        find = trie.value.find
+        root = trie.value
         for hosts, paths in parts:
-            found = [find(h, p) for h, p in zip(hosts, paths, strict=True)]
-            yield pd.DataFrame({"rule": [r and r.text for r in found], "verdict": [r.verdict if r else default for r in found]})
+            found = [find(root, h, p) for h, p in zip(hosts, paths, strict=True)]
+            yield pd.DataFrame({"rule": [r and r[0] for r in found], "verdict": [r[1] if r else default for r in found]})
 
     cut = pages.select(pages[key].alias("page_id"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"))
     return cut.withColumn("__found", look("host", "path")).select("page_id", "host", "path", "__found.rule", "__found.verdict")
