@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, pieces, quality, urls
+from . import exact_dedup, pieces, quality, simhash_dedup, urls
 from .common import table
 
 #: Fixed values of the URL filter.
@@ -34,13 +34,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op3_url_filter, op4_quality_rules, op6_sentencepiece)
+    for f in (op1_exact_dedup, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
