@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, pieces, quality, simhash_dedup, urls
+from . import exact_dedup, mixing, pieces, quality, secrets, simhash_dedup, urls
 from .common import table
 
 #: Fixed values of the URL filter.
@@ -25,6 +25,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.select(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", F.col("__leaf.domain").alias("domain"), F.col("__leaf.lang").alias("lang"), F.col("__leaf.source").alias("source"), F.col("__epoch").alias("epoch"), F.col("__tokens").alias("tokens"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
@@ -42,9 +47,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece)
+    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
@@ -54,6 +63,37 @@ ORACLE_SQL: dict[str, str] = {
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t, length(coalesce(text, '')) AS c FROM documents)
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t ORDER BY c DESC, doc_id)""",
+    "op2_mixing": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+            CASE WHEN source IS NULL THEN '(none)' WHEN regexp_matches(source, '^[^0-9]*[0-9]$') THEN 'core' ELSE 'tail' END AS domain,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM documents),
+        l AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, 2 * sum(tokens)::BIGINT AS cap FROM d GROUP BY ALL),
+        tot AS (SELECT sum(tokens)::HUGEINT * 80 // 100 AS budget FROM l),
+        ta AS (SELECT domain, sum(cap)::BIGINT AS cap, any_value(budget) AS budget FROM l, tot GROUP BY domain),
+        t0 AS (SELECT *, CASE WHEN w > 0 THEN cap ELSE 0 END AS c FROM (SELECT *, CASE domain WHEN 'core' THEN 3 WHEN 'tail' THEN 2 ELSE 1 END AS w FROM ta)),
+        t1 AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY 1 ORDER BY c::DOUBLE / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS cb,
+            sum(w) OVER (PARTITION BY 1 ORDER BY c::DOUBLE / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS wf FROM t0),
+        t2 AS (SELECT *, c = 0 OR c::HUGEINT * wf <= (budget - cb) * w AS is_full FROM t1),
+        t AS (SELECT *, CASE WHEN is_full THEN c ELSE ((budget - sum(CASE WHEN is_full THEN c ELSE 0 END) OVER (PARTITION BY 1)) * w)::HUGEINT
+            // (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (PARTITION BY 1))::HUGEINT END AS own FROM t2),
+        ma AS (SELECT l.domain, lang, sum(l.cap)::BIGINT AS cap, any_value(own) AS budget FROM l JOIN t USING (domain) GROUP BY ALL),
+        m0 AS (SELECT *, CASE WHEN w > 0 THEN cap ELSE 0 END AS c FROM (SELECT *, CASE lang WHEN 'en' THEN 4 WHEN 'fr' THEN 2 WHEN 'de' THEN 2 WHEN 'es' THEN 2 ELSE 1 END AS w FROM ma)),
+        m1 AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY domain ORDER BY c::DOUBLE / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS cb,
+            sum(w) OVER (PARTITION BY domain ORDER BY c::DOUBLE / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS wf FROM m0),
+        m2 AS (SELECT *, c = 0 OR c::HUGEINT * wf <= (budget - cb) * w AS is_full FROM m1),
+        m AS (SELECT *, CASE WHEN is_full THEN c ELSE ((budget - sum(CASE WHEN is_full THEN c ELSE 0 END) OVER (PARTITION BY domain)) * w)::HUGEINT
+            // (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (PARTITION BY domain))::HUGEINT END AS own FROM m2),
+        sa AS (SELECT l.*, own AS budget FROM l JOIN m USING (domain, lang)),
+        s0 AS (SELECT *, CASE WHEN w > 0 THEN cap ELSE 0 END AS c FROM (SELECT *, 1 AS w FROM sa)),
+        s1 AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY domain, lang ORDER BY c::DOUBLE / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS cb,
+            sum(w) OVER (PARTITION BY domain, lang ORDER BY c::DOUBLE / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS wf FROM s0),
+        s2 AS (SELECT *, c = 0 OR c::HUGEINT * wf <= (budget - cb) * w AS is_full FROM s1),
+        s AS (SELECT *, CASE WHEN is_full THEN c ELSE ((budget - sum(CASE WHEN is_full THEN c ELSE 0 END) OVER (PARTITION BY domain, lang)) * w)::HUGEINT
+            // (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (PARTITION BY domain, lang))::HUGEINT END AS own FROM s2),
+        cut AS (SELECT domain, lang, source, (own // tokens)::BIGINT AS whole, (own % tokens)::BIGINT AS rest FROM s WHERE tokens > 0),
+        o AS (SELECT d.*, whole, rest, md5('17:' || whole || ':' || coalesce(doc_id::VARCHAR, '')) AS h FROM d JOIN cut USING (domain, lang, source)),
+        p AS (SELECT *, whole + CASE WHEN rest > 0 AND sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h) <= rest THEN 1 ELSE 0 END AS times FROM o)
+        SELECT doc_id, domain, lang, source, unnest(range(times))::INTEGER AS epoch, tokens FROM p""",
     "op3_url_filter": r"""
         WITH u AS (SELECT page_id, coalesce(url, '') AS url, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', ['host', 'path']), {'host': '', 'path': ''}) AS p FROM pages),
         h AS (SELECT page_id, translate(p.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, p.path AS path FROM u),
