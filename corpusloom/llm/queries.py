@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, quality, secrets, simhash_dedup, urls
-from .common import table
+from . import exact_dedup, mixing, pieces, quality, secrets, simhash_dedup, urls, warc
+from .common import remove, saved, scratch, table
 
 #: Fixed values of the URL filter.
 RULES = [
@@ -51,9 +51,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    out = saved(warc.digest(spark, path))
+    remove(spark, path)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan)
+    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan, op9_warc)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
@@ -118,4 +126,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND word_chars / n_words >= 2 AND word_chars / n_words <= 14 AND longest <= 1000 AND n_symbols / n_words <= 0.1 AND n_stop >= 2 AND n_dup_lines / n_lines <= 0.5 AS kept
         FROM b""",
+    "op9_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+        m AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 100 AND page_id > f THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n >= 100 AND page_id > f THEN f END AS refers_to FROM m""",
 }
