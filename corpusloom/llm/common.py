@@ -67,3 +67,16 @@ def words_of(text: Column) -> Column:
 def ascii_lower(c: Column) -> Column:
     """Lower-case A to Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def slices(batches, most: int = 1 << 20):
+    """Cut Arrow batches of texts (pandas Series) where ``most`` characters are reached, to bound what a worker holds."""
+    for texts in batches:
+        first, n = 0, 0
+        for k, t in enumerate(texts):
+            n += len(t)
+            if n >= most:
+                yield texts.iloc[first : k + 1]
+                first, n = k + 1, 0
+        if first < len(texts):
+            yield texts.iloc[first:]

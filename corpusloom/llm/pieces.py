@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole
+from .common import slices, whole
 
 MARK = "▁"
 
@@ -173,9 +173,9 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None) -> Dat
     @F.pandas_udf("struct<ids array<int>, bounds array<long>, decoded string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = Encoder(path)
-        for texts in batches:
+        for texts in slices(batches):
             ids = coder.ids(texts.tolist())
-            yield pd.DataFrame({"ids": ids, "bounds": [coder.bounds(t, x) for t, x in zip(texts, ids, strict=True)], "decoded": coder.decode(ids)})
+            yield pd.DataFrame({"ids": [np.array(x, np.int32) for x in ids], "bounds": [coder.bounds(t, x) for t, x in zip(texts, ids, strict=True)], "decoded": coder.decode(ids)})
 
     return docs.select(*[docs[c] for c in docs.columns], run(whole(docs[text])).alias("__e")).select(*[f"`{c}`" for c in docs.columns], "__e.*")
 
