@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, quality, secrets, simhash_dedup, urls, warc
+from . import exact_dedup, mixing, pieces, pii, quality, secrets, simhash_dedup, urls, warc
 from .common import remove, saved, scratch, table
 
 #: Fixed values of the URL filter.
@@ -59,9 +59,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan, op9_warc)
+    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan, op9_warc, op10_pii)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
