@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, pii, quality, secrets, simhash_dedup, urls, warc
+from . import exact_dedup, mixing, pieces, pii, quality, secrets, simhash_dedup, suffix_dedup, urls, warc
 from .common import remove, saved, scratch, table
 
 #: Fixed values of the URL filter.
@@ -51,6 +51,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -65,7 +69,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan, op9_warc, op10_pii)
+    for f in (op1_exact_dedup, op2_mixing, op3_url_filter, op4_quality_rules, op5_simhash, op6_sentencepiece, op7_secret_scan, op8_suffix_dedup, op9_warc, op10_pii)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
