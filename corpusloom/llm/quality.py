@@ -119,3 +119,13 @@ def judge(docs: DataFrame, text: str = "text", thresholds: list[tuple] = THRESHO
     """``docs`` with its measures, ``base_failed`` and ``kept``."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return measure(docs, text).withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & verdict(thresholds))
+
+
+def keep(docs: DataFrame, text: str = "text", thresholds: list[tuple] = THRESHOLDS) -> DataFrame:
+    """The rows of ``docs`` that pass, columns as they were.
+
+    A row number stands between the filter and the measures: through it Spark pushes no predicate, which would
+    otherwise be unfolded into the measures of measures and evaluated anew for each word.
+    """
+    judged = judge(docs, text, thresholds).withColumn("__row", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("__row") >= 0)).select(*[docs[c] for c in docs.columns])
