@@ -20,7 +20,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(quality.judge(_documents(docs)).filter("kept"))
+    return _documents(quality.keep(_documents(docs)))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
