@@ -1,20 +1,23 @@
 """Long repeats across documents, by run-length indexes over content-defined pieces.
 
 A byte goes if a string of WINDOW bytes that covers it also starts in a document of a smaller id. The corpus is packed
-into slices of about SLICE bytes, compressed, and everything that is shuffled is a few blobs for each slice:
+into slices of about SLICE bytes, compressed, in a bucketed table, so that later joins move only what is learned about
+a slice, as a few blobs:
 
-1. Anchors: every window has its least 16-gram; windows of the same anchor are consecutive and make a piece (about 67
+1. Anchors: every window has its least gram; windows of the same anchor are consecutive and make a piece (about 63
    bytes). Equal windows have equal anchors. Each slice sends its distinct anchor hashes, and gets back which of them
    other slices or documents have too. Anchors without company end here.
-2. Pieces of shared anchors go to the bucket of their anchor, each distinct one once from each slice, with its least
-   document. A bucket drops pieces that share no window's hash with another, builds a run-length index over the rest,
-   and streams them through it: where the matching statistic reaches WINDOW, the interval of rows gives the least
-   document that has the window. Decisions rest on the index, whose suffixes are compared byte by byte.
-3. Each slice gets, for each window of its pieces, that least document, and cuts its texts.
+2. Pieces of shared anchors are told apart by a hash of 64 bits beside the anchor's 64. Each distinct one is sent once
+   from each slice with its least document, and gets back the least of all, and whether its anchor has other pieces.
+3. Only pieces that have siblings, the edges of repeats, are sent as bytes, to the bucket of their anchor. A bucket
+   drops those that share no window's hash with another, builds a run-length index over the rest, and streams them
+   through it: where the matching statistic reaches WINDOW, the interval of rows gives the least document that has the
+   window.
+4. Each slice gets, for each window of its pieces, that least document, and cuts its texts.
 
 Skew: a slice sends a piece once however often it occurs there. An anchor that more than MOST slices share (the edge
-of a passage found everywhere, with as many continuations) isn't gathered: its windows are pieces of their own, and go
-to buckets by their own content, so a bucket holds one row for each slice of any window.
+of a passage found everywhere, with as many continuations) isn't gathered: its windows are pieces of their own, sent by
+their own hash, so that step 2 settles them with one row for each slice of any window.
 
 Defined cases: a null text counts as empty; a null id is larger than any id, and two null ids aren't smaller than each
 other; rows that repeat an id are no smaller documents to each other; texts under WINDOW bytes stay whole; an empty
@@ -25,10 +28,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from xxhash import xxh64_digest
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +42,7 @@ from .anchors import WINDOW, anchors
 from .common import remove, saved, scratch, whole
 from .rindex import RunLengthIndex
 
-GRAM, SLICE, MOST = 16, 2 << 20, 64
+GRAM, SLICE, MOST = 24, 2 << 20, 64
 #: Bytes of text for each part of the anchor exchange and for each bucket of pieces.
 PART_BYTES, BUCKET_BYTES = 32 << 20, 4 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -85,6 +90,7 @@ class _Slice:
         self.at, self.hash, self.first, self.last = anchors(self.data, self.starts, WINDOW, GRAM)
         self.doc = np.searchsorted(self.starts, self.at, "right") - 1
 
+    @cached_property
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes in order, the number of each anchor's hash, and which hashes several ids have."""
         u, inverse = np.unique(self.hash, return_inverse=True)
@@ -93,12 +99,12 @@ class _Slice:
         np.maximum.at(most, inverse, self.ids[self.doc])
         return u, inverse, least != most
 
-    def pieces(self, company: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def pieces(self, company: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pieces of anchors with company (1, or 2 if found in too many slices), given for each distinct hash.
 
-        Returns the pieces, their least ids and routes, then for each occurrence its piece, first byte and document.
+        Returns the pieces, their hashes, least ids and routes, then for each occurrence its piece, first byte and document.
         """
-        _, inverse, _ = self.distinct()
+        _, inverse, _ = self.distinct
         kind = company[inverse]
         narrow, wide = np.flatnonzero(kind == 1), np.flatnonzero(kind == 2)
         windows = self.last[wide] - self.first[wide] + 1
@@ -112,14 +118,11 @@ class _Slice:
         which = np.array([number.setdefault(data[x:y], len(number)) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.int64)
         least = np.full(len(number), NO_ID)
         np.minimum.at(least, which, self.ids[doc])
-        route = np.zeros(len(number), np.uint64)
-        route[which[: len(narrow)]] = self.hash[narrow]
-        alone = np.ones(len(number), bool)
-        alone[which[: len(narrow)]] = False
         keys = list(number)
-        for k in np.flatnonzero(alone).tolist():
-            route[k] = int.from_bytes(hashlib.blake2b(keys[k], digest_size=8).digest(), "little")
-        return keys, least, route, which, a, doc
+        hashes = np.frombuffer(b"".join([xxh64_digest(k, 1) for k in keys]), np.uint64)
+        route = hashes.copy()  # a window alone goes by its own hash, a piece by its anchor's
+        route[which[: len(narrow)]] = self.hash[narrow]
+        return keys, hashes, least, route, which, a, doc
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -143,7 +146,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Slice]]:
 def _ask(parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, s in _slices(batches):
-            u, _, several = s.distinct()
+            u, _, several = s.distinct
             part = _part(u, parts)
             order = np.argsort(part, kind="stable")
             cut = np.searchsorted(part[order], np.arange(parts + 1))
@@ -193,7 +196,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _company(s: _Slice, answers: list[dict], parts: int) -> np.ndarray:
-    u, _, _ = s.distinct()
+    u, _, _ = s.distinct
     out, part = np.zeros(len(u), np.uint8), _part(u, parts)
     order = np.argsort(part, kind="stable")
     cut = np.searchsorted(part[order], np.arange(parts + 1))
@@ -202,16 +205,75 @@ def _company(s: _Slice, answers: list[dict], parts: int) -> np.ndarray:
     return out
 
 
+def _dealt(route: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces by part, by route within it; and where each part begins."""
+    part = _part(route, parts)
+    order = np.lexsort((route, part))
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _name(parts: int):
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, s in _slices(batches):
+            _, hashes, least, route, *_ = s.pieces(_company(s, row["answers"], parts))
+            order, cut = _dealt(route, parts)
+            rows = []
+            for p in np.flatnonzero(np.diff(cut)).tolist():
+                own = order[cut[p] : cut[p + 1]]
+                r = route[own]
+                rows.append((p, row["slice"], _zip(b"".join((np.concatenate((r[:1], np.diff(r))).tobytes(), hashes[own].tobytes(), least[own].tobytes())))))
+            if rows:
+                yield _batch(rows)
+
+    return name
+
+
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each slice's pieces of a part: the least document of each, and whether its route has other pieces."""
+    for part, slices, blobs in _by_part(batches):
+        columns = [_unzip(b, np.uint64).reshape(3, -1) for b in blobs]
+        sizes = np.array([c.shape[1] for c in columns])
+        route = np.concatenate([np.cumsum(c[0], dtype=np.uint64) for c in columns])
+        hashes, least = np.concatenate([c[1] for c in columns]), np.concatenate([c[2] for c in columns]).view(np.int64)
+        order = np.lexsort((least, hashes, route))
+        r, h = route[order], hashes[order]
+        new_route = np.concatenate(([True], r[1:] != r[:-1]))
+        new = new_route | np.concatenate(([True], h[1:] != h[:-1]))
+        low, several = np.empty(len(order), np.int64), np.empty(len(order), np.uint8)
+        low[order] = least[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_route)) > 1
+        several[order] = kinds[np.cumsum(new_route) - 1]
+        bounds = np.cumsum(sizes)[:-1]
+        yield _batch([(part, s, _zip(a.tobytes() + np.packbits(b).tobytes())) for s, a, b in zip(slices, np.split(low, bounds), np.split(several, bounds), strict=True)])
+
+
+def _named(route: np.ndarray, answers: list[dict] | None, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece the least document of all its copies, and whether it has siblings."""
+    low, several = np.empty(len(route), np.int64), np.zeros(len(route), bool)
+    order, cut = _dealt(route, parts)
+    for a in answers or []:
+        own, raw = order[cut[a["part"]] : cut[a["part"] + 1]], zstandard.decompress(a["blob"])
+        low[own] = np.frombuffer(raw, np.int64, len(own))
+        several[own] = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 * len(own)), count=len(own))
+    return low, several
+
+
+def _siblings(keys: list[bytes], route: np.ndarray, several: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces to be sent as bytes, by bucket; and where each bucket begins."""
+    chosen = np.flatnonzero(several)
+    order, cut = _dealt(route[chosen], buckets)
+    return chosen[order], cut
+
+
 def _send(parts: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, s in _slices(batches):
-            keys, least, route, *_ = s.pieces(_company(s, row["answers"], parts))
-            bucket = _part(route, buckets)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            keys, _, _, route, *_ = s.pieces(_company(s, row["answers"], parts))
+            low, several = _named(route, row["named"], parts)
+            order, cut = _siblings(keys, route, several, buckets)
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 own = order[cut[b] : cut[b + 1]].tolist()
-                head = np.concatenate(([len(own)], [len(keys[k]) for k in own], least[own])).astype(np.int64)
+                head = np.concatenate(([len(own)], [len(keys[k]) for k in own], low[own])).astype(np.int64)
                 yield _batch([(b, row["slice"], _zip(head.tobytes() + b"".join([keys[k] for k in own])))])
 
     return send
@@ -275,23 +337,20 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(parts: int, buckets: int):
     def cut_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, s in _slices(batches):
-            keys, _, route, which, first, doc = s.pieces(_company(s, row["answers"], parts))
+            keys, _, _, route, which, first, doc = s.pieces(_company(s, row["answers"], parts))
+            alike, several = _named(route, row["named"], parts)
             count = np.array([len(k) - WINDOW + 1 for k in keys], np.int64)
-            bucket = _part(route, buckets)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            at = np.zeros(len(keys), np.int64)
-            values, n = [], 0
+            order, cut = _siblings(keys, route, several, buckets)
+            at = np.cumsum(count) - count
+            value = np.repeat(alike, count)
             for f in row["found"] or []:
                 own = order[cut[f["part"]] : cut[f["part"] + 1]]
-                at[own] = n + np.cumsum(count[own]) - count[own]
-                values.append(_unzip(f["blob"], np.int64))
-                n += len(values[-1])
-            value = np.concatenate(values) if values else np.empty(0, np.int64)
+                skip = np.cumsum(count[own]) - count[own]
+                value[np.repeat(at[own] - skip, count[own]) + np.arange(int(count[own].sum()))] = _unzip(f["blob"], np.int64)
             times = count[which]
             skip = np.repeat(np.cumsum(times) - times, times)
             place = np.arange(len(skip)) - skip
-            low = value[np.repeat(at[which], times) + place] if len(skip) else value
+            low = value[np.repeat(at[which], times) + place]
             gone = low < np.repeat(s.ids[doc], times)
             windows = (np.repeat(first, times) + place)[gone]
             marks = np.zeros(len(s.data) + 1, np.int32)
@@ -316,9 +375,16 @@ def _sorted_parts(rows: DataFrame) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part").sortWithinPartitions("part", "slice")
 
 
-def _gathered(rows: DataFrame, name: str) -> DataFrame:
-    """The blobs of each slice; a slice's pieces and anchors bound their sum."""
-    return rows.groupBy("slice").agg(F.collect_list(F.struct("part", "blob")).alias(name))
+def _table(root: str) -> str:
+    return "slices_" + root.rsplit("-", 1)[1]
+
+
+def _bucketed(rows: DataFrame, root: str) -> DataFrame:
+    """The slices as a table bucketed by slice, so that they are shuffled in no join."""
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.format("parquet").bucketBy(n, "slice").option("compression", "none").option("path", f"{root}/slices").saveAsTable(_table(root))
+    return spark.table(_table(root))
 
 
 def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -326,17 +392,25 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     spark = docs.sparkSession
     root = scratch(spark, "repeats")
     rows = docs.select(docs[key].cast("long").alias("id"), F.encode(whole(docs[text]), "UTF-8").alias("text"))
-    rows.mapInArrow(_pack, "slice long, ids binary, lengths binary, data binary, bytes long").write.option("compression", "none").parquet(f"{root}/slices")
-    slices = spark.read.parquet(f"{root}/slices")
+    rows = rows.mapInArrow(_pack, "slice long, ids binary, lengths binary, data binary, bytes long")
+    slices = _bucketed(rows, root)
     size = slices.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     parts, buckets = max(16, size // PART_BYTES), max(16, size // BUCKET_BYTES)
     shape = "part long, slice long, blob binary"
-    answers = _sorted_parts(slices.mapInArrow(_ask(parts), shape)).mapInArrow(_answer, shape)
-    answers.write.parquet(f"{root}/answers")
-    told = slices.join(_gathered(spark.read.parquet(f"{root}/answers"), "answers"), "slice", "left").drop("bytes")
-    found = _sorted_parts(told.mapInArrow(_send(parts, buckets), shape)).mapInArrow(_index, shape)
-    found.write.parquet(f"{root}/found")
-    ready = told.join(_gathered(spark.read.parquet(f"{root}/found"), "found"), "slice", "left")
-    out = saved(ready.mapInArrow(_cut(parts, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"))
+
+    def gathered(rows: DataFrame, name: str) -> DataFrame:
+        """Written, then the blobs of each slice together; a slice's anchors and pieces bound their sum."""
+        rows.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}").groupBy("slice").agg(F.collect_list(F.struct("part", "blob")).alias(name))
+
+    slices = slices.drop("bytes")
+    answers = gathered(_sorted_parts(slices.mapInArrow(_ask(parts), shape)).mapInArrow(_answer, shape), "answers")
+    told = slices.join(answers, "slice", "left")
+    named = gathered(_sorted_parts(told.mapInArrow(_name(parts), shape)).mapInArrow(_least, shape), "named")
+    told = told.join(named, "slice", "left")
+    found = gathered(_sorted_parts(told.mapInArrow(_send(parts, buckets), shape)).mapInArrow(_index, shape), "found")
+    told = told.join(found, "slice", "left")
+    out = saved(told.mapInArrow(_cut(parts, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"))
+    spark.sql(f"DROP TABLE IF EXISTS {_table(root)}")
     remove(spark, root)
     return out
