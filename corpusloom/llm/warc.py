@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from .common import saved, small, whole
 
@@ -164,7 +165,7 @@ def _chain(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"file": pd.Series([str(rows["file"].iloc[0])] * len(on), dtype=object), "start": pd.Series(on, dtype="int64")})
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _payload(contents: pd.Series, lengths: pd.Series) -> pd.Series:
     """The payload in what follows a record's magic, given the record's length."""
     out = []
@@ -174,7 +175,7 @@ def _payload(contents: pd.Series, lengths: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _rejoined(parts: pd.Series) -> pd.Series:
     return pd.Series([MAGIC.encode().join(p["content"] for p in ps) for ps in parts])
 
