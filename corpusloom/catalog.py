@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import text
+from corpusloom.plans import crawling, reviewing, text, web
 
-QUERIES: dict = {**text.QUERIES}
-ORACLE_SQL: dict = {**text.ORACLE_SQL}
+PLANS = (text, web, crawling, reviewing)
+QUERIES: dict = {name: query for plan in PLANS for name, query in plan.QUERIES.items()}
+ORACLE_SQL: dict = {name: sql for plan in PLANS for name, sql in plan.ORACLE_SQL.items()}
