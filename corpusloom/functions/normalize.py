@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -64,6 +64,9 @@ REWRITES: list[tuple[bool, str, str]] = [
     (True, rf"[{SPACE}]+(\n|$)", r"\1"),
 ]
 
+#: The first so many rewrites concern code points of this class only; a text without any of them skips these.
+SPECIAL, N_SPECIAL = r"[^\n\x20-\x5F\x61-\x7E\x{A1}-\x{AA}\x{AC}\x{AE}\x{B0}-\x{B3}\x{B5}-\x{BA}\x{BC}-\x{E5}\x{E7}-\x{FF}]|''", 29
+
 #: Code points under it are their own NFC, alone and in any order.
 FIRST_COMBINING = r"[\x{300}-\x{10FFFF}]"
 
@@ -92,6 +95,11 @@ def _repaired(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 MOJIBAKE = r"[\x{C2}\x{C3}][\x{80}-\x{BF}\x{20AC}\x{201A}-\x{201E}\x{2026}\x{2020}\x{2021}\x{2030}\x{2039}\x{203A}\x{2122}\x{0152}\x{0153}\x{0160}\x{0161}\x{0178}\x{017D}\x{017E}\x{0192}\x{02C6}\x{02DC}]"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def nfc(text: Column) -> Column:
     """NFC; only texts with code points that may combine leave the JVM."""
     return F.coalesce(_nfc(F.when(text.rlike(FIRST_COMBINING), text)), text)
@@ -106,12 +114,17 @@ def strip_emojis(text: Column) -> Column:
     return F.regexp_replace(text, EMOJI, " ")
 
 
-def rewrite(text: Column, rewrites: list[tuple[bool, str, str]] = REWRITES) -> Column:
+def _chain(text: Column, rewrites: list[tuple[bool, str, str]]) -> Column:
     for is_pattern, what, by in rewrites:
         text = F.regexp_replace(text, F.lit(what), F.lit(by.replace("$", r"\$").replace("\\1", "$1").replace("\\2", "$2").replace("\\3", "$3"))) if is_pattern else F.replace(text, F.lit(what), F.lit(by))
     return text
 
 
+def rewrite(text: Column) -> Column:
+    """All rewrites in order."""
+    return let(text, lambda t: _chain(F.when(t.rlike(SPECIAL), _chain(t, REWRITES[:N_SPECIAL])).otherwise(t), REWRITES[N_SPECIAL:]))
+
+
 def normalize(text: Column, repair: bool = False, emojis: bool = True, compose: bool = True) -> Column:
     """The whole normalisation; ``emojis=False`` strips them, ``compose=False`` leaves NFC to the caller."""
     if repair:

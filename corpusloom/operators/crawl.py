@@ -68,10 +68,16 @@ def always(_: Column | None = None) -> Column:
 # --- sentences -------------------------------------------------------------------------------------------------------
 
 
+def spread(df: DataFrame, waves: int = 2) -> DataFrame:
+    """Rows over all cores where a source has fewer partitions than cores; larger sources stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= waves * cores else df.repartition(waves * cores)
+
+
 def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", opt: Options = Options(), compose: bool = True) -> DataFrame:
     """(key, pos, sentence): each page's distinct sentences, the first place of each."""
     clean = normalize.normalize(F.col(text), repair=opt.fix_encoding, emojis=not opt.strip_emojis, compose=compose)
-    rows = docs.select(key, clean.alias("t")).filter("t is not null")
+    rows = spread(docs.select(key, F.col(text))).filter(F.col(text).isNotNull()).select(key, clean.alias("t"))
     return rows.select(key, F.posexplode(F.array_distinct(split.split(F.col("t"), opt.more, opt.keep_newlines))).alias("pos", "sentence")).filter("sentence != ''")
 
 
