@@ -53,6 +53,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def boxed(docs: DataFrame) -> Column:
+    """A row's columns in one struct, safe from whatever names an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def beside(docs: DataFrame, *names: str) -> list[Column]:
+    """The columns of ``docs`` but those that a result's names take."""
+    return [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+
+
 def whole(text: Column | str) -> Column:
     """A text, null counting as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -12,7 +12,7 @@ a source with most of the rows costs no more than others.
 
 Defined cases: null domains, languages and sources are the child ``(none)``; a null text has no tokens; rows that
 repeat an id lie at one point of the order and are taken or left together; a leaf without tokens is left out; an empty
-table gives an empty result. Added columns win over clashing names of the input.
+table gives an empty result. Columns of the input keep their values, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, small, whole, words_of
+from .common import boxed, saved, small, whole, words_of
 
 NONE = "(none)"
 
@@ -111,10 +111,10 @@ def select(docs: DataFrame, mix: Mix | None = None, text: str = "text", key: str
     cut, digits = plan(docs, mix, text, key)
     side = small(cut.select(F.struct("domain", "lang", "source").alias("__l"), "whole", "edge", "last"), cut.count(), 300)
     rows = _leafed(docs, text)
-    rows = rows.join(side, rows["__leaf"] == side["__l"])
-    h = order_of(F.col("whole"), docs[key], mix.seed)
+    rows = rows.select(boxed(docs).alias("__doc"), docs[key].alias("__id"), "__leaf", "__tokens").join(side, F.col("__leaf") == F.col("__l"))
+    h = order_of(F.col("whole"), F.col("__id"), mix.seed)
     bucket = F.substring(h, 1, digits)
     more = F.coalesce((bucket < F.col("edge")) | ((bucket == F.col("edge")) & (h <= F.col("last"))), F.lit(False))
     times = (F.col("whole") + more.cast("int")).cast("int")
     rows = rows.withColumn("__times", times).filter("__times > 0")
-    return rows.withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).select(*[docs[c] for c in docs.columns], "__leaf", "__tokens", "__epoch")
+    return rows.withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1))).select("__doc.*", "__leaf", "__tokens", "__epoch")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, whole
+from .common import beside, slices, whole
 
 MARK = "▁"
 
@@ -177,7 +177,7 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None) -> Dat
             ids = coder.ids(texts.tolist())
             yield pd.DataFrame({"ids": [np.array(x, np.int32) for x in ids], "bounds": [coder.bounds(t, x) for t, x in zip(texts, ids, strict=True)], "decoded": coder.decode(ids)})
 
-    return docs.select(*[docs[c] for c in docs.columns], run(whole(docs[text])).alias("__e")).select(*[f"`{c}`" for c in docs.columns], "__e.*")
+    return docs.withColumn("__e", run(whole(docs[text]))).select(*beside(docs, "ids", "bounds", "decoded"), "__e.*")
 
 
 def digest(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str | None = None) -> DataFrame:

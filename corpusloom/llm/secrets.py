@@ -7,7 +7,7 @@ an interval join by bisection over each text's sorted parts. Texts are judged in
 text's parts are the only state.
 
 Defined cases: a null text counts as empty and has no spans; ids may be null and rows repeated; spans are code points,
-end exclusive; long texts are scanned whole; an empty table gives an empty result; other columns are passed on.
+end exclusive; long texts are scanned whole; an empty table gives an empty result; other columns are passed on, but for names that the results take.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole
+from .common import beside, whole
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -89,7 +89,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
             every = [sorted(b + linked_spans(t, b)) for t, b in zip(texts, base, strict=True)]
             yield pd.DataFrame({"base": [rows(b) for b in base], "spans": [rows(s) for s in every]})
 
-    return docs.select(*[docs[c] for c in docs.columns], run(whole(docs[text])).alias("__s")).select(*[f"`{c}`" for c in docs.columns], "__s.base", "__s.spans")
+    return docs.withColumn("__s", run(whole(docs[text]))).select(*beside(docs, "base", "spans"), "__s.base", "__s.spans")
 
 
 def joined(spans: Column) -> Column:
