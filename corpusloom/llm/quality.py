@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, whole, words_of
+from .common import WS, boxed, whole, words_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -78,7 +78,11 @@ def _repeat_words(words: Column, alike: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add every measure of the threshold table to ``docs``."""
+    """Add every measure of the threshold table to ``docs``.
+
+    The row number is a barrier: Spark pushes no predicate through it, which would otherwise unfold a filter on a
+    measure into the words of words and evaluate them anew for each word.
+    """
     t = F.col("__t")
     words, lines = F.col("__w"), F.col("__l")
     stop = sorted({w for ws in STOP_WORDS.values() for w in ws})
@@ -86,20 +90,20 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         docs.withColumn("__t", whole(docs[text]))
         .withColumns({"__w": words_of(t), "__l": F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(WS)) != "")})
         .withColumns({"__s": _packed(words)})
-        .withColumns({"__a": _alike(F.col("__s"))})
+        .withColumns({"__a": _alike(F.col("__s")), "__row": F.monotonically_increasing_id()})
         .withColumns(
             {
-                "n_words": F.size(words).cast("long"),
+                "n_words": F.when(F.col("__row") >= 0, F.size(words)).cast("long"),
                 "word_chars": F.length(F.translate(t, WS, "")).cast("long"),
                 "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
                 "n_lines": F.size(lines).cast("long"),
                 "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-                "n_repeat_words": _repeat_words(words, F.col("__a")).cast("long"),
+                "n_repeat_words": F.when(F.col("__row") >= 0, _repeat_words(words, F.col("__a"))).cast("long"),
                 "n_stop_words": F.size(F.filter(words, lambda w: w.isin(stop))).cast("long"),
                 "longest_word": F.coalesce(F.array_max(F.transform(words, lambda w: F.length(w))), F.lit(0)).cast("long"),
             }
         )
-        .drop("__t", "__w", "__l", "__s", "__a")
+        .drop("__t", "__w", "__l", "__s", "__a", "__row")
     )
 
 
@@ -122,10 +126,5 @@ def judge(docs: DataFrame, text: str = "text", thresholds: list[tuple] = THRESHO
 
 
 def keep(docs: DataFrame, text: str = "text", thresholds: list[tuple] = THRESHOLDS) -> DataFrame:
-    """The rows of ``docs`` that pass, columns as they were.
-
-    A row number stands between the filter and the measures: through it Spark pushes no predicate, which would
-    otherwise be unfolded into the measures of measures and evaluated anew for each word.
-    """
-    judged = judge(docs, text, thresholds).withColumn("__row", F.monotonically_increasing_id())
-    return judged.filter(F.col("kept") & (F.col("__row") >= 0)).select(*[docs[c] for c in docs.columns])
+    """The rows of ``docs`` that pass, columns as they were."""
+    return judge(docs.select(boxed(docs).alias("__doc"), F.col(f"`{text}`").alias("__text")), "__text", thresholds).filter("kept").select("__doc.*")
