@@ -95,3 +95,9 @@ def split(text: Column, more: bool = True, keep_newlines: bool = True, langs: li
 def split_lines(text: Column) -> Column:
     """The default splitter: lines."""
     return F.split(F.regexp_replace(text, r"\R$", ""), r"\R", -1)
+
+
+def split_builtin(text: Column, lang: str = "en") -> Column:
+    """The JVM's own sentence boundaries, words without punctuation, each line by itself."""
+    per_line = F.transform(paragraphs(text), lambda p: F.transform(F.sentences(p, F.lit(lang), F.lit("")), lambda ws: F.array_join(ws, " ")))
+    return F.flatten(per_line)

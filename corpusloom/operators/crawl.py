@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,6 +69,14 @@ def always(_: Column | None = None) -> Column:
 # --- sentences -------------------------------------------------------------------------------------------------------
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint, in the folder the session names or else one of our own."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+    return df.checkpoint(eager=True)
+
+
 def spread(df: DataFrame, waves: int = 2) -> DataFrame:
     """Rows over all cores where a source has fewer partitions than cores; larger sources stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -151,7 +160,7 @@ def next_frontier(edges: DataFrame, frontier: DataFrame, visited: DataFrame, src
     return reached.join(visited.select(F.col(key).alias("__n")), "__n", "left_anti").select(F.col("__n").alias(key), "parent")
 
 
-def rounds(edges: DataFrame, start: DataFrame, max_depth: int, src: str = "src", dst: str = "dst", key: str = "url", cut=lambda df: df) -> tuple[DataFrame, DataFrame]:
+def rounds(edges: DataFrame, start: DataFrame, max_depth: int, src: str = "src", dst: str = "dst", key: str = "url", cut=checkpointed) -> tuple[DataFrame, DataFrame]:
     """(visited with depth and parent, leftovers beyond the depth). ``cut`` may checkpoint each round's set."""
     kind = dict(start.dtypes)[key]
     visited = cut(start.select(key, F.lit(None).cast(kind).alias("parent")).dropDuplicates([key]).withColumn("depth", F.lit(1)))

@@ -90,3 +90,15 @@ def search(report: DataFrame, pattern: str = "", min_count: int = 0, deleted: bo
     """Seeds by case-sensitive pattern; ``min_count`` bounds both URLs and usages."""
     rows = report if deleted or "deleted" not in report.columns else report.filter("deleted is null")
     return rows.filter(F.col(key).rlike(pattern) & (F.col("urls") >= min_count) & (F.col("usages") >= min_count))
+
+
+def searchable(link: Column) -> Column:
+    """Whether a search result may be a page: no videos and no office documents."""
+    return ~link.rlike(r"(?i)youtube\.|\.pdf($|\?)|\.docx?($|\?)")
+
+
+def delete(store: DataFrame, ids: DataFrame, date: Column, by: str = "user") -> DataFrame:
+    """Seeds that were searched are marked deleted, others go."""
+    gone = ids.select("id", F.lit(True).alias("__d")).distinct()
+    marked = store.join(gone, "id", "left").filter(F.col("__d").isNull() | (F.col("num_searches") > 0))
+    return marked.withColumn("deleted", F.when(F.col("__d"), F.struct(F.lit(by).alias("by"), F.lit("").alias("comment"), date.alias("date")))).drop("__d")
