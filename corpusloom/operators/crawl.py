@@ -181,19 +181,21 @@ class Round:
     children: DataFrame
 
 
-def crawl_round(pages: DataFrame, store: DataFrame, blacklist: DataFrame, proba, opt: Options = Options()) -> Round:
+def crawl_round(pages: DataFrame, store: DataFrame, blacklist: DataFrame, proba, opt: Options = Options(), cut=lambda df: df) -> Round:
     """One breadth-first round: (url, html, depth, delta_date) to new sentences, counters, blacklist entries and children.
 
-    ``proba`` maps a frame with a ``sentence`` column to that frame with a ``proba`` column.
+    ``proba`` maps a frame with a ``sentence`` column to that frame with a ``proba`` column. ``cut`` may checkpoint what
+    several results share: the extracted pages, the scored sentences and the counters.
     """
     ok = pages.filter(F.col("depth") <= opt.max_depth)
-    got = extract.crawl(ok).join(ok.select("url", "depth", "delta_date"), "url")
+    got = cut(extract.crawl(ok).join(ok.select("url", "depth", "delta_date"), "url"))
     found = sentences(got.filter("error is null"), "url", "text", opt)
-    scored = proba(valid_sentences(found))
+    scored = cut(proba(valid_sentences(found)))
     hits = scored.filter(F.col("proba") >= opt.min_proba)
     fresh = unseen(first_seen(hits.select("sentence", "url", "pos", "proba"), ["url", "pos"]), store)
     marked = scored.join(fresh.select("url", "pos", F.lit(True).alias("new")), ["url", "pos"], "left").withColumn("new", F.coalesce("new", F.lit(False)))
-    counts = got.select("url", "depth", "delta_date", "error", "hrefs").join(page_counts(marked, "url", opt=opt), "url", "left").fillna(0, ["sentence_count", "sg_count", "new_count"])
+    counts = got.select("url", "depth", "delta_date", "error", "hrefs").join(page_counts(marked, "url", opt=opt), "url", "left")
+    counts = cut(counts.fillna(0, ["sentence_count", "sg_count", "new_count"]))
     failed = counts.filter(F.col("error").isNotNull() | should_blacklist(F.col("delta_date"), F.col("sg_count"))).select("url", "error")
     follow = counts.filter(F.col("error").isNull() & should_follow(F.col("sentence_count"), F.col("sg_count"), opt))
     links = urls.filter_links(follow.withColumn("base", F.col("url")), "url", "base", "hrefs")

@@ -34,7 +34,7 @@ def visit(pages: DataFrame, start: DataFrame, store: DataFrame, blacklist: DataF
         due = known if asof is None else known.filter(crawl.should_crawl(F.col("delta_date"), F.col("delta"), F.lit(asof), opt))
         seen = store if found is None else store.select(F.col("text")).unionByName(found.select(F.col("sentence").alias("text")))
         gone = blacklist.select("url") if bad is None else blacklist.select("url").unionByName(bad.select("url"))
-        r = crawl.crawl_round(due.join(pages.select("url", "html"), "url", "left").select("url", "html", "depth", "delta_date"), seen, gone, proba, opt)
+        r = crawl.crawl_round(due.join(pages.select("url", "html"), "url", "left").select("url", "html", "depth", "delta_date"), seen, gone, proba, opt, cut)
         fresh, failed = cut(r.new_sentences), cut(r.blacklist)
         found, bad = (fresh, failed) if found is None else (found.unionByName(fresh), bad.unionByName(failed))
         visited = cut(visited.unionByName(frontier))
