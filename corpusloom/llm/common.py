@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The white space of every contract: space and U+0009 to U+000D.
 WS = " \t\n\x0b\x0c\r"
@@ -53,6 +54,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a small table has fewer partitions than there are cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
+
+
 def boxed(docs: DataFrame) -> Column:
     """A row's columns in one struct, safe from whatever names an operator adds."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -80,13 +87,34 @@ def ascii_lower(c: Column) -> Column:
 
 
 def slices(batches, most: int = 1 << 20):
-    """Cut Arrow batches of texts (pandas Series) where ``most`` characters are reached, to bound what a worker holds."""
-    for texts in batches:
+    """Arrow batches cut where the texts of their last column reach ``most`` bytes, to bound what a worker holds."""
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1)
         first, n = 0, 0
-        for k, t in enumerate(texts):
-            n += len(t)
+        for k in range(batch.num_rows):
+            n += len(texts[k].as_buffer() or b"") if texts[k].is_valid else 0
             if n >= most:
-                yield texts.iloc[first : k + 1]
+                yield batch.slice(first, k + 1 - first)
                 first, n = k + 1, 0
-        if first < len(texts):
-            yield texts.iloc[first:]
+        if first < batch.num_rows:
+            yield batch.slice(first)
+
+
+def through(docs: DataFrame, own: list[Column], text: Column, work, results: StructType) -> DataFrame:
+    """Columns ``own`` of ``docs`` beside the ``results`` of Arrow work on a text of each: ``work`` takes slices' lists of texts and gives arrays.
+
+    They pass through the workers untouched; nothing is held beyond a slice and the batch it is cut from.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        job = work()
+        for part in slices(batches):
+            kept = [part.column(k) for k in range(part.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*kept, *job(part.column(part.num_columns - 1).to_pylist())], names)
+
+    rows = docs.select(*own, text.alias("__text"))
+    schema = StructType([*rows.schema.fields[:-1], *results.fields])
+    names = schema.names
+    return rows.mapInArrow(run, schema)

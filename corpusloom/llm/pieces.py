@@ -12,14 +12,13 @@ pass through unless their names are those of the results; an empty table gives a
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import beside, slices, whole
+from .common import beside, through, whole
 
 MARK = "▁"
 
@@ -170,19 +169,28 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None) -> Dat
     """``docs`` with ``ids``, ``bounds`` (original byte at which each id's span begins, then the end) and ``decoded``."""
     path = model or model_file()
 
-    @F.pandas_udf("struct<ids array<int>, bounds array<long>, decoded string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def work():
         coder = Encoder(path)
-        for texts in slices(batches):
-            ids = coder.ids(texts.tolist())
-            yield pd.DataFrame({"ids": [np.array(x, np.int32) for x in ids], "bounds": [coder.bounds(t, x) for t, x in zip(texts, ids, strict=True)], "decoded": coder.decode(ids)})
 
-    return docs.withColumn("__e", run(whole(docs[text]))).select(*beside(docs, "ids", "bounds", "decoded"), "__e.*")
+        def job(texts: list[str]) -> list[pa.Array]:
+            ids = coder.ids(texts)
+            bounds = [coder.bounds(t, x) for t, x in zip(texts, ids, strict=True)]
+            return [_lists([np.array(x, np.int32) for x in ids]), _lists(bounds), pa.array(coder.decode(ids), pa.string())]
+
+        return job
+
+    results = StructType([StructField("ids", ArrayType(IntegerType())), StructField("bounds", ArrayType(LongType())), StructField("decoded", StringType())])
+    return through(docs, beside(docs, "ids", "bounds", "decoded"), whole(docs[text]), work, results)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))
 
 
 def digest(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str | None = None) -> DataFrame:
     """What the contract asks of :func:`encode`'s output, and the bytes that the spans cover."""
-    coded = encode(docs.select(docs[key].alias("doc_id"), docs[text].alias("text")), "text", model)
+    coded = encode(docs.select(docs[key].alias("doc_id"), docs[text].alias("ids")), "ids", model)  # the text gives way to its ids
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -16,13 +16,13 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import beside, whole
+from .common import beside, through, whole
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -81,15 +81,19 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (kind, start, end) by start, then by kind as listed."""
 
-    @F.pandas_udf("struct<base array<struct<kind string, start int, end int>>, spans array<struct<kind string, start int, end int>>>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def work():
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         rows = lambda spans: [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans]
-        for texts in batches:
+
+        def job(texts: list[str]) -> list[pa.Array]:
             base = [base_spans(t) for t in texts]
             every = [sorted(b + linked_spans(t, b)) for t, b in zip(texts, base, strict=True)]
-            yield pd.DataFrame({"base": [rows(b) for b in base], "spans": [rows(s) for s in every]})
+            return [pa.array([rows(b) for b in base], kind), pa.array([rows(s) for s in every], kind)]
+
+        return job
 
-    return docs.withColumn("__s", run(whole(docs[text]))).select(*beside(docs, "base", "spans"), "__s.base", "__s.spans")
+    span = ArrayType(StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())]))
+    return through(docs, beside(docs, "base", "spans"), whole(docs[text]), work, StructType([StructField("base", span), StructField("spans", span)]))
 
 
 def joined(spans: Column) -> Column:
@@ -98,7 +102,7 @@ def joined(spans: Column) -> Column:
 
 
 def digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    found = scan(docs.select(docs[key].alias("doc_id"), docs[text].alias("text")), "text")
+    found = scan(docs.select(docs[key].alias("doc_id"), docs[text].alias("base")), "base")  # the text gives way to its spans
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     counts = [count(kind).alias(f"n_{kind}") for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

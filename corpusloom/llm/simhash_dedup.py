@@ -24,12 +24,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import saved, whole
+from .common import saved, through, whole
 from .components import components
 from .fingerprint import simhash
 
@@ -44,12 +44,10 @@ def _signed(x: int) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, fp) for each row, fp as a signed long."""
 
-    @F.pandas_udf("long")
-    def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(np.frombuffer(b"".join([simhash(t) for t in texts]), ">i8").astype(np.int64))
+    def work():
+        return lambda texts: [pa.array(np.frombuffer(b"".join([simhash(t) for t in texts]), ">i8").astype(np.int64))]
 
-    return docs.select(docs[key].alias("doc_id"), fp(whole(docs[text])).alias("fp"))
+    return through(docs, [docs[key].alias("doc_id")], whole(docs[text]), work, StructType([StructField("fp", LongType())]))
 
 
 def embedding(fp: Column) -> Column:
@@ -169,7 +167,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", distance:
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = saved(components(links(distinct, distance)))
     named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = saved(named.groupBy("root").agg(F.min("least").alias("component_id")))  # apart, so that Spark can split the join where a class is large
     of = saved(named.join(ids, "root").select("fp", "component_id"))
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
