@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, mixing, pieces, pii, quality, secrets, simhash_dedup, suffix_dedup, urls, warc
-from .common import remove, saved, scratch, table
+from .common import remove, saved, scratch, spread, table
 
 #: Fixed values of the URL filter.
 RULES = [
@@ -35,24 +35,24 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = quality.judge(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_dedup.classes(table(spark, sf_dir, "documents"))
+    return simhash_dedup.classes(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digest(table(spark, sf_dir, "documents"))
+    return pieces.digest(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(table(spark, sf_dir, "documents"))
+    return secrets.digest(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
+    return suffix_dedup.repeats(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("spans")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(table(spark, sf_dir, "documents"))
+    return pii.digest(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
