@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import WS, remove, saved, scratch, small, whole
 
+#: Rows of a group for each copy of the bytes that they are compared with.
+SALT = 256
+
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -90,12 +93,18 @@ def current_state(spark: SparkSession, changes: str) -> DataFrame:
 
 
 def _differing(docs: DataFrame, hits: DataFrame, n_hits: int, text: str, key: str, digest) -> DataFrame:
-    """Digests under which a row's bytes differ from those of the row that stays."""
+    """Digests under which a row's bytes differ from those of the row that stays.
+
+    The bytes to compare with are sent in a copy for each SALT rows of a group, so that no task gets a whole large one.
+    """
     seen = docs.select(docs[key].cast("long").alias("doc_id"), digest(docs[text]).alias("digest"), normalised(docs[text]).alias("bytes"), F.length(whole(docs[text])).alias("n_points"))
-    hit = small(hits.select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.shorter")).alias("keep_points")), n_hits, 120)
-    rows = seen.join(hit, "digest")
-    keep = rows.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))).groupBy("digest").agg(F.first("bytes").alias("kept_bytes"))
-    return rows.join(keep, "digest").filter(F.col("bytes") != F.col("kept_bytes")).select("digest").distinct()
+    copies = F.ceil(F.col("n") / SALT).cast("int")
+    hit = small(hits.select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.shorter")).alias("keep_points"), copies.alias("copies")), n_hits, 120)
+    rows = saved(seen.join(hit, "digest"))  # hits only; else the corpus would be read and digested for either side
+    keep = rows.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))).groupBy("digest", "copies").agg(F.first("bytes").alias("kept_bytes"))
+    keep = keep.select("digest", "kept_bytes", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int"))
+    return rows.join(keep, ["digest", "salt"]).filter(F.col("bytes") != F.col("kept_bytes")).select("digest").distinct()
 
 
 def decide(docs: DataFrame, text: str = "text", key: str = "doc_id", digest=sha256, files_per_trigger: int = 10_000) -> DataFrame:
