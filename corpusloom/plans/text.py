@@ -31,7 +31,7 @@ def torture(spark: SparkSession) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet")
+    return crawl.spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 def _both(spark: SparkSession, d: str) -> DataFrame:
