@@ -3,8 +3,9 @@
 Base spans: the regular expression cuts a text into matches and the parts between them, whose running lengths give the
 positions; quantifiers are possessive and starts are anchored at token starts, so that long runs cost linear time.
 
-Bootstrapping: candidates are tokens that hold a digit or an @; the two words before a candidate, in lower case with
-digits as 0, are its lexical pattern. Candidates that are base spans are the seeds of their kind. Each round scores the
+Bootstrapping: base spans, whole, are the seeds of their kind; candidates are the tokens beside them that hold a digit or
+an @, adjoining ones of digits and punctuation taken together. The two words before a candidate, in lower case with digits
+as 0, are its lexical pattern; an instance is its text in lower case, numbers without the signs that group them. Each round scores the
 graph of patterns and instances: a pattern's confidence is the part of its instances that is known to be of a kind, an
 unknown instance's score is one minus the product of what its confident patterns doubt; instances at MIN_INSTANCE or
 more join the known ones. Spans of known instances in a confident pattern are added to the base ones. Counts are partial aggregates over
@@ -38,6 +39,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: Context kinds are reported under these names.
 FOUND = {k: f"like_{k}" for k in KINDS}
 CANDIDATE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]++"
+#: Tokens that run on with others, unless the one before ends a clause; what may stand between them.
+NUMBER, GAP = r"^[^\p{L}@]*+$", r"^\x20(?:[-+./()]++\x20)?$"
 ROUNDS, MIN_PATTERN, MIN_INSTANCE, MIN_SEEDS = 2, 0.8, 0.8, 3
 #: Code points before a candidate in which its context words are looked for.
 REACH = 80
@@ -82,32 +85,54 @@ def _matches(t: Column, pattern: str) -> Column:
 
 
 _SPANS = "array<struct<start:int,order:int,end:int,kind:string>>"
+_SEEDS = "array<struct<start:int,order:int,end:int,kind:string,m:string>>"
+_TOKENS = "array<struct<start:int,end:int,m:string,before:string>>"
 
 
 def _base(t: Column, kind: str) -> Column:
-    spans = F.transform(F.filter(_matches(t, PATTERNS[kind]), lambda x: _holds(kind, x["m"])), lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("order"), x["end"].alias("end"), F.lit(kind).alias("kind")))
+    spans = F.transform(F.filter(_matches(t, PATTERNS[kind]), lambda x: _holds(kind, x["m"])), lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("order"), x["end"].alias("end"), F.lit(kind).alias("kind"), x["m"].alias("m")))
     may = F.contains(t, F.lit(NEEDS[kind])) if NEEDS[kind] else t.rlike("[0-9]")
-    return F.when(may, spans).otherwise(F.array().cast(_SPANS))
+    return F.when(may, spans).otherwise(F.array().cast(_SEEDS))
 
 
 def base(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(row, doc_id, an array of spans for each kind, the candidates with what stands before them)."""
     t = F.col("t")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("doc_id"), whole(docs[text]).alias("t"))
-    candidates = F.when(t.rlike("[0-9@]"), _matches(t, CANDIDATE)).otherwise(F.array().cast("array<struct<start:int,end:int,m:string,before:string>>"))
+    candidates = F.when(t.rlike("[0-9@]"), _matches(t, CANDIDATE)).otherwise(F.array().cast(_TOKENS))
     return rows.select("row", "doc_id", *[_base(t, k).alias(k) for k in KINDS], candidates.alias("candidates"))
 
 
+def _runs(tokens: Column) -> Column:
+    """The tokens, those of digits and punctuation joined with such ones right after them."""
+
+    def step(out, x):
+        last = F.try_element_at(out, F.lit(-1))
+        on = (last["end"] + F.length(x["before"]) == x["start"]) & x["before"].rlike(GAP) & x["m"].rlike(NUMBER) & last["m"].rlike(NUMBER) & ~last["m"].rlike("[.,;:!?]$")
+        run = F.struct(last["start"].alias("start"), x["end"].alias("end"), F.concat(last["m"], x["before"], x["m"]).alias("m"), last["before"].alias("before"))
+        return F.when(F.coalesce(on, F.lit(False)), F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(run))).otherwise(F.concat(out, F.array(x)))
+
+    return F.aggregate(tokens, F.array().cast(_TOKENS), step)
+
+
+def _instance(m: Column) -> Column:
+    """What a text is known by; numbers in groups are their digits, with the plus before them."""
+    return F.when(m.rlike(r"^[+0-9\x20()-]++$"), F.regexp_replace(m, r"[\x20()-]", "")).otherwise(ascii_lower(m))
+
+
 def candidates(rows: DataFrame) -> DataFrame:
-    """(row, start, end, pattern, instance, kind): a token and its context; kind is null unless a base span begins in it."""
-    spans = F.concat(*[F.col(k) for k in KINDS])
-    c = rows.filter(F.size("candidates") > 0).select("row", spans.alias("spans"), F.explode("candidates").alias("c")).select("row", "spans", "c.*")
-    c = c.withColumn("over", F.filter("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
-    c = c.withColumn("begins", F.filter("over", lambda s: s["start"] >= F.col("start"))).filter((F.size("over") == 0) | (F.size("begins") > 0))
+    """(row, start, end, pattern, instance, kind): a span and its context; kind is that of a base span, null for a run of tokens beside them."""
+    # of base spans that overlap the first one counts
+    first = F.filter("spans", lambda s: ~F.exists("spans", lambda o: (o["start"] < s["end"]) & (o["end"] > s["start"]) & (F.struct(o["start"], o["order"]) < F.struct(s["start"], s["order"]))))
+    before = lambda s: F.try_element_at(F.filter("tokens", lambda x: (x["start"] <= s["start"]) & (x["end"] > s["start"])), F.lit(1))["before"]
+    seeds = F.transform(first, lambda s: F.struct(s["start"].alias("start"), s["m"].alias("m"), before(s).alias("before"), s["kind"].alias("kind")))
+    free = F.filter("tokens", lambda x: ~F.exists("spans", lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"])))
+    runs = F.transform(_runs(free), lambda x: F.struct(x["start"].alias("start"), F.regexp_replace(x["m"], r"[.,;:!?)\]}\"']+$", "").alias("m"), x["before"].alias("before"), F.lit(None).cast("string").alias("kind")))
+    c = rows.filter(F.size("candidates") > 0).select("row", F.concat(*[F.col(k) for k in KINDS]).alias("spans"), F.col("candidates").alias("tokens"))
+    c = c.select("row", F.explode(F.concat(seeds, runs)).alias("c")).select("row", "c.*")
     context = F.regexp_extract(ascii_lower(F.col("before")), r"((?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]+)$", 1)
     pattern = F.regexp_replace(F.regexp_replace(F.btrim(context), r"[\x20\x09-\x0D]+", " "), "[0-9]+", "0")
-    instance = F.regexp_replace(F.col("m"), r"[.,;:!?)\]}\"']+$", "")
-    return c.select("row", "start", (F.col("start") + F.length(instance)).alias("end"), pattern.alias("pattern"), ascii_lower(instance).alias("instance"), F.try_element_at(F.col("begins.kind"), F.lit(1)).alias("kind")).filter("pattern != '' and end > start")
+    return c.select("row", "start", (F.col("start") + F.length("m")).alias("end"), pattern.alias("pattern"), _instance(F.col("m")).alias("instance"), "kind").filter("pattern != '' and instance != ''")
 
 
 def _confident(edges: DataFrame, known: DataFrame) -> DataFrame:
@@ -140,7 +165,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     kind = reduce(lambda c, k: c.when(F.col("kind") == k, FOUND[k]), KINDS, F.when(F.lit(False), ""))
     order = reduce(lambda c, k: c.when(F.col("kind") == k, len(KINDS) + KINDS.index(k)), KINDS, F.when(F.lit(False), 0))
     extra = more.groupBy("row").agg(F.collect_list(F.struct("start", order.alias("order"), "end", kind.alias("kind"))).cast(_SPANS).alias("extra"))
-    spans = F.sort_array(F.concat(*[F.col(k) for k in KINDS]))
+    spans = F.sort_array(F.transform(F.concat(*[F.col(k) for k in KINDS]), lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end"), s["kind"].alias("kind"))))
     out = rows.select("row", "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], spans.alias("base")).join(extra, "row", "left")
     return out.withColumn("spans", F.sort_array(F.concat("base", F.coalesce("extra", F.array().cast(_SPANS))))).drop("row", "extra")
 

@@ -350,3 +350,14 @@ def test_bootstrapped_contexts(spark):
     rows = [(k, f"Some words. contact email: user{k}@x.example.com and more") for k in range(20)] + [(100 + k, f"x contact email: jo{k}(at)x-example and") for k in range(2)] + [(200, "seen in chapter 12 or so")]
     got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == "email:27:46" and got[100] == "like_email:17:33" and got[200] == ""
+
+
+def test_bootstrapped_spaced_numbers(spark):
+    phones = [(k, f"Some words. my phone: +1 ({132 + k}) 555-135{k % 10} and more") for k in range(20)]
+    cards = [(50 + k, f"Some words. paid by {c} and more") for k, c in enumerate(("4111 1111 1111 1111", "4012 8888 8888 1881", "5555 5555 5555 4444", "5105 1051 0510 5100"))]
+    unseen = [(100, "x my phone: (132) 555-1352, and"), (101, "x my phone: 0132 555 1352 and"), (102, "x paid by 4111 1111 1111 1112 and"), (103, "seen in 12 13 of it"), (104, "x my phone: 7788 and"), (105, "x my phone: jo@x.yz 55-12 12. 13")]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(phones + cards + unseen, "doc_id long, text string")).collect()}
+    assert got[1] == "phone:22:39" and got[50] == "card:20:39"
+    assert got[100] == "like_phone:12:26" and got[101] == "like_phone:12:25"
+    assert got[102] == "like_card:10:29" and got[103] == ""
+    assert got[104] == "like_phone:12:16" and got[105] == "email:12:19"
