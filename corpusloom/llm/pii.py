@@ -4,11 +4,11 @@ Base spans: the regular expression cuts a text into matches and the parts betwee
 positions; quantifiers are possessive and starts are anchored at token starts, so that long runs cost linear time.
 
 Bootstrapping: base spans, whole, are the seeds of their kind; candidates are the tokens beside them that hold a digit or
-an @, adjoining ones of digits and punctuation taken together. The two words before a candidate, in lower case with digits
-as 0, are its lexical pattern; an instance is its text in lower case, numbers without the signs that group them. Each round scores the
+an @, adjoining ones of digits and punctuation taken together. The two words before a candidate, however far and in lower
+case with digits as 0, are its lexical pattern, a candidate among them counting as MARK; an instance is its text in lower case, numbers without the signs that group them. Each round scores the
 graph of patterns and instances: a pattern's confidence is the part of its instances that is known to be of a kind, an
 unknown instance's score is one minus the product of what its confident patterns doubt; instances at MIN_INSTANCE or
-more join the known ones. Spans of known instances in a confident pattern are added to the base ones. Counts are partial aggregates over
+more join the known ones, until a round adds none. Spans of known instances in a confident pattern are added to the base ones. Counts are partial aggregates over
 all texts, so a pattern or an instance that a third of all rows share is a row for each task.
 
 Defined cases: a null text counts as empty; ids may be null and rows repeated, as texts are told apart by a number of
@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved, whole
+from .common import ascii_lower, saved, whole, words_of
 
 _MAIL = "[A-Za-z0-9._%+-]"
 #: What each base kind looks like, as listed; each starts where the last match ended or where a token starts.
@@ -40,10 +40,10 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 FOUND = {k: f"like_{k}" for k in KINDS}
 CANDIDATE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]++"
 #: Tokens that run on with others, unless the one before ends a clause; what may stand between them.
-NUMBER, GAP = r"^[^\p{L}@]*+$", r"^\x20(?:[-+./()]++\x20)?$"
-ROUNDS, MIN_PATTERN, MIN_INSTANCE, MIN_SEEDS = 2, 0.8, 0.8, 3
-#: Code points before a candidate in which its context words are looked for.
-REACH = 80
+NUMBER, GAP = r"^[^\p{L}@]*+$", r"^\x20(?:[-+./()]\x20)?$"
+MIN_PATTERN, MIN_INSTANCE, MIN_SEEDS = 0.8, 0.8, 3
+#: Stands for a candidate in the context of a later one; longer patterns than LONG are told apart by their SHA-256.
+MARK, LONG = "@", 128
 
 
 def _digits(c: Column) -> Column:
@@ -78,7 +78,7 @@ def _matches(t: Column, pattern: str) -> Column:
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string,before:string>>").alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + F.length(x["b"]) + F.length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["b"])).alias("start"), (acc["at"] + F.length(x["b"]) + F.length(x["m"])).alias("end"), x["m"].alias("m"), F.right(x["b"], F.lit(REACH)).alias("before")))).alias("out"),
+            F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["b"])).alias("start"), (acc["at"] + F.length(x["b"]) + F.length(x["m"])).alias("end"), x["m"].alias("m"), x["b"].alias("before")))).alias("out"),
         ),
     )
     return steps["out"]
@@ -86,7 +86,7 @@ def _matches(t: Column, pattern: str) -> Column:
 
 _SPANS = "array<struct<start:int,order:int,end:int,kind:string>>"
 _SEEDS = "array<struct<start:int,order:int,end:int,kind:string,m:string>>"
-_TOKENS = "array<struct<start:int,end:int,m:string,before:string>>"
+_TOKENS = "array<struct<start:int,end:int,m:string,before:string,gap:string>>"
 
 
 def _base(t: Column, kind: str) -> Column:
@@ -95,11 +95,24 @@ def _base(t: Column, kind: str) -> Column:
     return F.when(may, spans).otherwise(F.array().cast(_SEEDS))
 
 
+def _contexts(tokens: Column) -> Column:
+    """The tokens, each with the two words before it in place of all that stands between it and the one before, and their gap."""
+
+    def step(acc, x):
+        words = words_of(x["before"])
+        two = F.slice(F.concat(acc["two"], words), F.greatest(F.size(acc["two"]) + F.size(words) - 1, F.lit(1)), F.lit(2))
+        gap = F.when(F.length(x["before"]) <= 3, x["before"])
+        out = F.concat(acc["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["m"].alias("m"), F.array_join(two, " ").alias("before"), gap.alias("gap"))))
+        return F.struct(F.slice(F.concat(two, F.array(F.lit(MARK))), F.greatest(F.size(two), F.lit(1)), F.lit(2)).alias("two"), out.alias("out"))
+
+    return F.aggregate(tokens, F.struct(F.array().cast("array<string>").alias("two"), F.array().cast(_TOKENS).alias("out")), step)["out"]
+
+
 def base(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(row, doc_id, an array of spans for each kind, the candidates with what stands before them)."""
     t = F.col("t")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("doc_id"), whole(docs[text]).alias("t"))
-    candidates = F.when(t.rlike("[0-9@]"), _matches(t, CANDIDATE)).otherwise(F.array().cast(_TOKENS))
+    candidates = F.when(t.rlike("[0-9@]"), _contexts(_matches(t, CANDIDATE))).otherwise(F.array().cast(_TOKENS))
     return rows.select("row", "doc_id", *[_base(t, k).alias(k) for k in KINDS], candidates.alias("candidates"))
 
 
@@ -108,8 +121,8 @@ def _runs(tokens: Column) -> Column:
 
     def step(out, x):
         last = F.try_element_at(out, F.lit(-1))
-        on = (last["end"] + F.length(x["before"]) == x["start"]) & x["before"].rlike(GAP) & x["m"].rlike(NUMBER) & last["m"].rlike(NUMBER) & ~last["m"].rlike("[.,;:!?]$")
-        run = F.struct(last["start"].alias("start"), x["end"].alias("end"), F.concat(last["m"], x["before"], x["m"]).alias("m"), last["before"].alias("before"))
+        on = (last["end"] + F.length(x["gap"]) == x["start"]) & x["gap"].rlike(GAP) & x["m"].rlike(NUMBER) & last["m"].rlike(NUMBER) & ~last["m"].rlike("[.,;:!?]$")
+        run = F.struct(last["start"].alias("start"), x["end"].alias("end"), F.concat(last["m"], x["gap"], x["m"]).alias("m"), last["before"].alias("before"), last["gap"].alias("gap"))
         return F.when(F.coalesce(on, F.lit(False)), F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(run))).otherwise(F.concat(out, F.array(x)))
 
     return F.aggregate(tokens, F.array().cast(_TOKENS), step)
@@ -130,8 +143,8 @@ def candidates(rows: DataFrame) -> DataFrame:
     runs = F.transform(_runs(free), lambda x: F.struct(x["start"].alias("start"), F.regexp_replace(x["m"], r"[.,;:!?)\]}\"']+$", "").alias("m"), x["before"].alias("before"), F.lit(None).cast("string").alias("kind")))
     c = rows.filter(F.size("candidates") > 0).select("row", F.concat(*[F.col(k) for k in KINDS]).alias("spans"), F.col("candidates").alias("tokens"))
     c = c.select("row", F.explode(F.concat(seeds, runs)).alias("c")).select("row", "c.*")
-    context = F.regexp_extract(ascii_lower(F.col("before")), r"((?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]+)$", 1)
-    pattern = F.regexp_replace(F.regexp_replace(F.btrim(context), r"[\x20\x09-\x0D]+", " "), "[0-9]+", "0")
+    pattern = F.regexp_replace(ascii_lower(F.col("before")), "[0-9]+", "0")
+    pattern = F.when(F.length(pattern) > LONG, F.sha2(pattern, 256)).otherwise(pattern)
     return c.select("row", "start", (F.col("start") + F.length("m")).alias("end"), pattern.alias("pattern"), _instance(F.col("m")).alias("instance"), "kind").filter("pattern != '' and instance != ''")
 
 
@@ -143,16 +156,19 @@ def _confident(edges: DataFrame, known: DataFrame) -> DataFrame:
     return all_.select("pattern", F.col("best.kind").alias("kind"), (F.col("best.n") / F.col("all")).alias("confidence"), F.col("best.n").alias("n")).filter((F.col("n") >= MIN_SEEDS) & (F.col("confidence") >= MIN_PATTERN)).drop("n")
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(found: DataFrame) -> DataFrame:
     """(row, start, end, kind): candidates outside base spans that the pattern-instance graph makes known."""
     edges = saved(found.groupBy("pattern", "instance").agg(F.max("kind").alias("seed")))
     known = edges.filter("seed is not null").groupBy("instance").agg(F.max("seed").alias("kind"))
     edges = edges.select("pattern", "instance")
-    for _ in range(rounds):
+    while True:
         patterns = _confident(edges, known)
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
         scored = edges.join(known, "instance", "left_anti").join(patterns, "pattern").groupBy("instance", "kind").agg((1 - doubt).alias("score"))
         new = scored.filter(F.col("score") >= MIN_INSTANCE).groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b")).select("instance", "b.kind")
+        new = saved(new)
+        if new.isEmpty():
+            break
         known = saved(known.unionByName(new))
     patterns = saved(_confident(edges, known).select("pattern", "kind"))
     return found.filter("kind is null").drop("kind").join(patterns, "pattern").join(known, ["instance", "kind"]).select("row", "start", "end", "kind")

@@ -361,3 +361,21 @@ def test_bootstrapped_spaced_numbers(spark):
     assert got[100] == "like_phone:12:26" and got[101] == "like_phone:12:25"
     assert got[102] == "like_card:10:29" and got[103] == ""
     assert got[104] == "like_phone:12:16" and got[105] == "email:12:19"
+
+
+def test_bootstrap_settles(spark):
+    # a context holds its own values and a fifth as many of the next one's, which are so known a round later
+    mails, first, second, third = [f"u{k}@x.yz" for k in range(375)], [f"n1-{k}" for k in range(75)], [f"n2-{k}" for k in range(15)], [f"n3-{k}" for k in range(3)]
+    held = {"a": mails + first, "b": first + second, "c": second + third, "d": third}
+    rows = [(f"{c} {v}", f"see {c} code: {v} here") for c, vs in held.items() for v in vs]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got["a n1-0"].startswith("like_email:") and got["b n2-0"].startswith("like_email:") and got["c n3-0"] == got["d n3-0"] == "like_email:12:16"
+
+
+def test_contexts_of_neighbours(spark):
+    far = " " * 100
+    rows = [(k, f"call a{k}@x.yz b{k}@x.yz and write{far}to{far}c{k}@x.yz") for k in range(12)]
+    rows += [(100, "call 77 jo(at)9 and"), (101, f"say write{far}to{far}jo(at)8 and"), (102, "write on jo(at)7 and"), (103, f"{'w' * 30000} to jo(at)6")]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100] == "like_email:5:7,like_email:8:15"
+    assert got[101] == "like_email:211:218" and got[102] == got[103] == ""
