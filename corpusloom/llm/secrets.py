@@ -1,7 +1,7 @@
 """Secret scans with multipart credential linking.
 
 Patterns find the parts of credentials: access identifiers, secrets and endpoints. Assignments, access keys and long
-hexadecimal runs are strong and always reported. Weak parts (tokens that look random, account names) are reported only
+hexadecimal runs are strong and always reported. Weak parts (tokens that look random, assignments of short values, account names) are reported only
 when a complementary part lies within WITHIN code points in the same scope, a scope being lines between blank ones:
 an interval join by bisection over each text's sorted parts. Texts are judged in place, so nothing is shuffled and a
 text's parts are the only state.
@@ -16,6 +16,7 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,10 @@ def _random(token: str) -> bool:
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak parts that lie near a complementary part of their scope and overlap no strong one."""
     weak = [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if _random(m[0])]
+    starts = [s for s, _, _ in weak]
+    short = [(m.start(), 3, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) < MIN_ASSIGNED]
+    # tokens don't overlap one another, so that only the last one that starts before a span's end can overlap it
+    weak += [a for a in short if not ((k := bisect_left(starts, a[2])) and weak[k - 1][2] > a[0])]
     accounts = [(m.start(), 4, m.end()) for m in ACCOUNT.finditer(text)] if ":" in text or "=" in text else []
     if not weak and not accounts:
         return []
@@ -66,11 +71,14 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     secrets = sorted([(s, e) for s, k, e in base if k in (0, 2)] + [(s, e) for s, k, e in weak if k == 3])
     breaks = [m.start() for m in re.finditer(r"\n[\x20\t]*\n", text)]
 
+    # the furthest end so far, as a long part may start far before and end near
+    reach = {id(parts): list(accumulate((e for _, e in parts), max)) for parts in (endpoints, identifiers, secrets)}
+
     def near(span: Span, parts: list[tuple[int, int]]) -> bool:
         scope = bisect_right(breaks, span[0])
-        lo = bisect_left(parts, (span[0] - WITHIN, 0))
+        lo = bisect_left(reach[id(parts)], span[0] - WITHIN)
         for s, e in parts[lo : bisect_right(parts, (span[2] + WITHIN, 0))]:
-            if bisect_right(breaks, s) == scope and (e <= span[0] or s >= span[2]):
+            if e >= span[0] - WITHIN and bisect_right(breaks, s) == scope and (e <= span[0] or s >= span[2]):
                 return True
         return False
 

@@ -250,6 +250,14 @@ def test_linked_credentials():
     assert kinds("user: admin77 at https://db.example.com/x with " + weak) == ["account", "secret"] or set(kinds("user: admin77 at https://db.example.com/x with " + weak)) == {"account", "secret"}
 
 
+def test_linked_short_and_long_parts():
+    spans = lambda t: [(secrets.KINDS[k], t[s:e]) for s, k, e in sorted(secrets.linked_spans(t, secrets.base_spans(t)))]
+    assert spans("user: admin / password: hunter2 / url: https://db.example.com") == [("account", "user: admin"), ("secret", "password: hunter2")]
+    assert spans("password: hunter2") == spans("password: hunter2\n\nurl: https://db.example.com") == []
+    weak = "Zx8Kq2Lm9Pw4Rt7Yv1Bn3Hd6"
+    assert spans(f"see https://db.example.com/{'x/' * 300} with {weak} now") == [("secret", weak)]
+
+
 # --- repeats -----------------------------------------------------------------------------------------------------------
 
 
