@@ -11,8 +11,9 @@ one looked into, and the cut is a hash value. Documents are then kept by a compa
 a source with most of the rows costs no more than others.
 
 Defined cases: null domains, languages and sources are the child ``(none)``; a null text has no tokens; rows that
-repeat an id lie at one point of the order and are taken or left together; a leaf without tokens is left out; an empty
-table gives an empty result. Columns of the input keep their values, whatever their names.
+repeat an id lie at one point of the order and are taken or left together; a leaf without tokens, or under a weight of
+zero, is left out, and its tokens are no capacity of its ancestors; where all weights are zero nothing is taken; an
+empty table gives an empty result. Columns of the input keep their values, whatever their names.
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ def _weight(name: Column, weights: dict[str, int]) -> Column:
 def _share(children: DataFrame, parent: list[str], name: str, weight: Column) -> DataFrame:
     """Children (parent.., name, cap, budget of the parent) with their own budget."""
     c = children.withColumn("w", weight).withColumn("c", F.when(F.col("w") > 0, F.col("cap")).otherwise(0).cast("decimal(20,0)"))
-    order = Window.partitionBy(*parent).orderBy(F.col("c").cast("double") / F.col("w").cast("double"), name)
+    fill = F.when(F.col("w") > 0, F.col("c").cast("double") / F.col("w").cast("double")).otherwise(0.0)
+    order = Window.partitionBy(*parent).orderBy(fill, name)
     before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     c = c.withColumn("c_before", F.coalesce(F.sum("c").over(before), F.lit(0)).cast("decimal(24,0)")).withColumn("w_from", F.sum("w").over(after).cast("decimal(12,0)"))
     c = c.withColumn("full", (F.col("c") == 0) | (F.col("c") * F.col("w_from") <= (F.col("budget") - F.col("c_before")) * F.col("w")))
@@ -66,7 +68,8 @@ def _share(children: DataFrame, parent: list[str], name: str, weight: Column) ->
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Leaves (domain, lang, source, tokens) with ``own``, the tokens that each is to give."""
-    leaves = leaves.withColumn("cap", F.col("tokens") * mix.epochs)
+    taken = (_weight(F.col("lang"), mix.langs) > 0) & (_weight(F.col("source"), mix.sources) > 0)  # else no ancestor may count on it
+    leaves = leaves.withColumn("cap", F.when(taken, F.col("tokens") * mix.epochs).otherwise(0))
     total = leaves.agg(F.expr(f"cast(coalesce(sum(tokens), 0) as decimal(20,0)) * {mix.percent} div 100").cast("decimal(20,0)").alias("budget"))
     top = leaves.groupBy("domain").agg(F.sum("cap").alias("cap")).crossJoin(F.broadcast(total))  # one row of one number
     top = _share(top.withColumn("all", F.lit(1)), ["all"], "domain", _weight(F.col("domain"), mix.domains))

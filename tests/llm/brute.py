@@ -116,9 +116,9 @@ def repeats(rows, window=50):
     return out
 
 
-def mix(rows, domains, langs, percent, epochs, seed):
+def mix(rows, domains, langs, percent, epochs, seed, sources=None):
     """[(id, epoch)] of rows (id, text, lang, source) by hierarchical water-filling in whole numbers."""
-    none = "(none)"
+    none, sources = "(none)", sources or {}
     leafed = []
     for i, t, lang, source in rows:
         d = none if source is None else "core" if re.fullmatch("[^0-9]*[0-9]", source) else "tail"
@@ -128,7 +128,9 @@ def mix(rows, domains, langs, percent, epochs, seed):
         tokens[leaf] += n
 
     def share(budget, caps, weight):
-        left, w, out = dict(caps), {k: weight(k) for k in caps}, {}
+        left, w = dict(caps), {k: weight(k) for k in caps}
+        out = {k: 0 for k in caps if not w[k]}
+        left = {k: c for k, c in left.items() if w[k]}
         while left:
             total = sum(w[k] for k in left)
             low = min(left, key=lambda k: (left[k] / w[k], k))
@@ -139,11 +141,12 @@ def mix(rows, domains, langs, percent, epochs, seed):
                 return out | {k: budget * w[k] // total for k in left}
         return out
 
-    level = lambda n, under=(): {k: epochs * sum(v for x, v in tokens.items() if x[: n + 1] == (*under, k)) for k in {x[n] for x in tokens if x[:n] == under}}
+    counts = lambda x: langs.get(x[1], 1) > 0 and sources.get(x[2], 1) > 0
+    level = lambda n, under=(): {k: epochs * sum(v for x, v in tokens.items() if x[: n + 1] == (*under, k) and counts(x)) for k in {x[n] for x in tokens if x[:n] == under}}
     chosen = []
     for d, db in share(sum(tokens.values()) * percent // 100, level(0), lambda k: domains.get(k, 1)).items():
         for lang, lb in share(db, level(1, (d,)), lambda k: langs.get(k, 1)).items():
-            for s, b in share(lb, level(2, (d, lang)), lambda k: 1).items():
+            for s, b in share(lb, level(2, (d, lang)), lambda k: sources.get(k, 1)).items():
                 leaf = (d, lang, s)
                 if not tokens[leaf]:
                     continue

@@ -103,6 +103,16 @@ def test_mixing(docs, edge, percent, epochs):
     assert got == Counter(brute.mix(ROWS, mix.domains, mix.langs, percent, epochs, mix.seed))
 
 
+@pytest.mark.parametrize("zero", [{"sources": {"src1": 0, "src3": 0}}, {"langs": {"en": 0, "fr": 1}}, {"domains": {"core": 0, "tail": 1}}, {"domains": {"core": 0, "tail": 0, "(none)": 0}}])
+def test_mixing_without(docs, edge, zero):
+    """Weights of zero: nothing is taken under them, and what they can't take goes elsewhere."""
+    mix = mixing.Mix(**zero)
+    for frame in (docs, edge):
+        rows = [(r.doc_id, r.text, r.lang, r.source) for r in frame.collect()]
+        got = Counter((r.doc_id, r["__epoch"]) for r in mixing.select(frame, mix).collect())
+        assert got == Counter(brute.mix(rows, mix.domains, mix.langs, mix.percent, mix.epochs, mix.seed, mix.sources))
+
+
 def test_mixing_empty(docs, edge):
     assert mixing.select(docs.limit(0)).count() == 0
     assert mixing.select(edge).columns[: len(edge.columns)] == edge.columns
