@@ -2,10 +2,14 @@
 
 A fingerprint's 64 bits are 32 segments of two; the bit counts of its segments are a point whose Manhattan distances
 never exceed Hamming distances. In unary code (0, 1, 2 as 00, 01, 11) that distance is again a number of differing
-bits. The 32 coordinates form eight blocks. Two points at a distance of four or less differ in at most four blocks, so
-they share a cell of the grid over some four of the eight: each fingerprint goes to its cell in each of the 70 grids,
-and within a cell candidates pass the Manhattan bound and then the exact comparison. A cell is about 24 bits wide, so
-that few pairs meet by chance.
+bits. The 32 coordinates form blocks. Two points at a distance of four or less differ in at most four blocks, so they
+share a cell of the grid over the others: each fingerprint goes to its cell in each grid, one for every choice of four
+blocks left out. How many blocks there are, and so how wide a cell is, follows from the counted fingerprints: more of
+them make narrower cells, so that the pairs that meet by chance stay in proportion to the rows (``blocks_for``).
+
+Within a cell fingerprints are sorted by the sum of their coordinates, and each is compared with those that follow
+while the sums differ by no more than four: a range join on the sum, which bounds the Manhattan distance, which bounds
+the exact distance that is compared last.
 
 Only distinct fingerprints are compared: exact copies, however many, are one row before any cell is made. Within a
 cell the verified pairs are reduced to a spanning forest. Cells with more than MOST_IN_CELL fingerprints give no
@@ -14,14 +18,15 @@ bits of both, so each is sent to the 2,081 words within two bits of it, and all
 least of them, which is linear in their number.
 
 Defined cases: a null text counts as empty, empty texts have the fingerprint zero, which is linked like any other;
-null ids never name a component unless no member has an id; repeated rows are rows; an empty table gives an empty
-result; of the input only id and text are read.
+null ids never name a component unless no member has an id; repeated rows are rows, of which :func:`keep_first` keeps
+one; an empty table gives an empty result; of the input only id and text are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import saved, through, whole
+from .common import boxed, saved, small, through, whole
 from .components import components
 from .fingerprint import simhash
 
-DISTANCE, BLOCKS, MOST_IN_CELL = 4, 8, 4096
+DISTANCE, MOST_IN_CELL = 4, 4096
+SEGMENTS, BLOCKS = 32, range(6, 17)
+#: That two random segments have the same count; what a row of a cell costs, in pairs compared.
+ALIKE, ROW_COST = 3 / 8, 60
 LOW = 0x5555555555555555
 
 
@@ -41,13 +49,14 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _work():
+    return lambda texts: [pa.array(np.frombuffer(b"".join([simhash(t) for t in texts]), ">i8").astype(np.int64))]
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, fp) for each row, fp as a signed long."""
 
-    def work():
-        return lambda texts: [pa.array(np.frombuffer(b"".join([simhash(t) for t in texts]), ">i8").astype(np.int64))]
-
-    return through(docs, [docs[key].alias("doc_id")], whole(docs[text]), work, StructType([StructField("fp", LongType())]))
+    return through(docs, [docs[key].alias("doc_id")], whole(docs[text]), _work, StructType([StructField("fp", LongType())]))
 
 
 def embedding(fp: Column) -> Column:
@@ -63,10 +72,20 @@ def _embedded(fp: np.ndarray) -> np.ndarray:
     return ((high & x & low) << np.uint64(1)) | ((high | x) & low)
 
 
-def grids(distance: int = DISTANCE, blocks: int = BLOCKS) -> list[int]:
-    """A mask for each choice of the blocks that must agree."""
-    width = 64 // blocks
-    masks = [((1 << width) - 1) << (width * k) for k in range(blocks)]
+def blocks_for(n: int, distance: int = DISTANCE) -> int:
+    """The number of blocks at which ``n`` fingerprints cost least: rows of cells, and pairs that meet in them by chance."""
+
+    def cost(blocks: int) -> float:
+        agree = SEGMENTS * (blocks - distance) / blocks
+        return comb(blocks, distance) * n * (ROW_COST + n * ALIKE**agree / 2)
+
+    return min((b for b in BLOCKS if b > distance), key=cost)
+
+
+def grids(distance: int = DISTANCE, blocks: int = 8) -> list[int]:
+    """A mask for each choice of the blocks that must agree; blocks are runs of whole segments."""
+    cut = [SEGMENTS * k // blocks * 2 for k in range(blocks + 1)]
+    masks = [(1 << b) - (1 << a) for a, b in zip(cut, cut[1:], strict=False)]
     return [_signed(sum(c)) for c in combinations(masks, blocks - distance)]
 
 
@@ -116,15 +135,17 @@ def _links(distance: int, most: int):
             if large[-1]:
                 full = cells[-1]
             pairs = []
-            points = _embedded(fps)
+            points, total = _embedded(fps), np.bitwise_count(fps.view(np.uint64))
+            at = np.flatnonzero((size > 1) & ~large)
             for step in range(1, min(int(sizes.max()), most)):
-                at = np.flatnonzero((size > step) & ~large)
                 at = at[at + step < len(cells)]
-                at = at[cells[at] == cells[at + step]]
-                at = at[np.bitwise_count(points[at] ^ points[at + step]) <= distance]
-                at = at[np.bitwise_count((fps[at] ^ fps[at + step]).view(np.uint64)) <= distance]
-                if len(at):
-                    pairs.append(np.stack((fps[at], fps[at + step]), 1))
+                at = at[(cells[at] == cells[at + step]) & (total[at + step] - total[at] <= distance)]  # the rest of a cell lies further off
+                if not len(at):
+                    break
+                near = at[np.bitwise_count(points[at] ^ points[at + step]) <= distance]
+                near = near[np.bitwise_count((fps[near] ^ fps[near + step]).view(np.uint64)) <= distance]
+                if len(near):
+                    pairs.append(np.stack((fps[near], fps[near + step]), 1))
             found = forest(np.concatenate(pairs).tolist()) if pairs else []
             crowded = np.unique(fps[large]).tolist()
             if found or crowded:
@@ -142,16 +163,16 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
 
-def _met(rows: DataFrame, by: str) -> DataFrame:
+def _met(rows: DataFrame, by: str, *order) -> DataFrame:
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, by).sortWithinPartitions(by, "fp")
+    return rows.repartition(n, by).sortWithinPartitions(by, *order)
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, most: int = MOST_IN_CELL) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, most: int = MOST_IN_CELL, blocks: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fps.fp`` that connect whatever lies within ``distance`` bits."""
-    masks = F.array(*[F.lit(m) for m in grids(distance)])
+    masks = F.array(*[F.lit(m) for m in grids(distance, blocks or blocks_for(fps.count(), distance))])
     cells = fps.select("fp", embedding(F.col("fp")).alias("p"), F.explode(masks).alias("mask")).select(F.xxhash64("mask", F.col("p").bitwiseAND(F.col("mask"))).alias("cell"), "fp")
-    found = saved(_met(cells, "cell").mapInArrow(_links(distance, most), "a long, b long").distinct())
+    found = saved(_met(cells, "cell", F.bit_count("fp")).mapInArrow(_links(distance, most), "a long, b long").distinct())
     crowded = found.filter("b is null").select(F.col("a").alias("fp"))
     pairs = found.filter("b is not null")
     if crowded.isEmpty():
@@ -161,18 +182,42 @@ def links(fps: DataFrame, distance: int = DISTANCE, most: int = MOST_IN_CELL) ->
     return pairs.unionByName(_met(words, "word").mapInArrow(_stars, "a long, b long"))
 
 
-def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest id of its class)."""
+def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fp, root, least) for each row: its class, told by a fingerprint, and the smallest id of the fingerprint."""
     rows = saved(fingerprints(docs, text, key))
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = saved(components(links(distinct, distance)))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    ids = saved(named.groupBy("root").agg(F.min("least").alias("component_id")))  # apart, so that Spark can split the join where a class is large
-    of = saved(named.join(ids, "root").select("fp", "component_id"))
-    return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = saved(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"))
+    return rows.join(named, "fp")
 
 
-def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose class has a smaller id, columns as they were; rows without an id stay."""
-    gone = classes(docs, text, key).filter("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
+def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest id of its class)."""
+    rows = grouped(docs, text, key, distance)
+    ids = saved(rows.groupBy("root").agg(F.min("least").alias("component_id")))
+    return rows.join(ids, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each class, columns as they were: that of the smallest id, null ids last.
+
+    Rows are told by id, and where rows share one by fingerprint as well; of rows that share both one stays.
+    """
+    pairs = saved(grouped(docs, text, key, distance).groupBy("doc_id", "fp", "root").agg(F.count(F.lit(1)).alias("n")))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")
+    best = pairs.groupBy("root").agg(F.min(first).alias("best"))
+    pairs = pairs.join(best, "root").select("doc_id", "fp", "n", first.eqNullSafe(F.col("best")).alias("stays"))
+    per_id = saved(pairs.groupBy("doc_id").agg(F.sum("n").alias("rows"), F.max("stays").alias("stays")).filter("rows > 1 or not stays"))
+    n = per_id.count()
+    out = docs.join(small(per_id.select(F.col("doc_id").alias("__id")), n, 40), docs[key].eqNullSafe(F.col("__id")), "left_anti")
+    shared = saved(per_id.filter("rows > 1 and stays"))
+    n = shared.count()
+    if not n:
+        return out
+    # rows of an id that others have as well: their fingerprints are made again, and tell those that stay
+    again = docs.join(small(shared.select(F.col("doc_id").alias("__id")), n, 40), docs[key].eqNullSafe(F.col("__id")), "left_semi")
+    again = again.select(boxed(docs).alias("__doc"), again[key].alias("doc_id"), again[text].alias("text"))
+    again = through(again, [F.col("__doc"), F.col("doc_id").alias("__id")], whole(F.col("text")), _work, StructType([StructField("__fp", LongType())]))
+    kept = saved(pairs.filter("stays").select(F.col("doc_id").alias("__k"), "fp"))
+    again = again.join(small(kept, kept.count(), 40), F.col("__id").eqNullSafe(F.col("__k")) & (F.col("__fp") == F.col("fp")), "left_semi")
+    return out.unionByName(again.dropDuplicates(["__id", "__fp"]).select("__doc.*"))

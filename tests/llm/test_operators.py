@@ -151,10 +151,9 @@ def test_urls(spark):
 
 
 def test_fingerprints(docs, plain, edge):
-    for frame, rows in ((docs, plain[:80]), (edge, EDGE)):
+    for frame, rows in ((docs, plain), (edge, EDGE)):
         want = Counter((i, f"{brute.simhash(t):016x}") for i, t in rows)
-        got = Counter((r.doc_id, r.fingerprint) for r in simhash_dedup.classes(frame).collect())
-        assert all(got[k] == n for k, n in want.items())
+        assert Counter((r.doc_id, r.fingerprint) for r in simhash_dedup.classes(frame).collect()) == want
 
 
 def test_classes(docs):
@@ -164,8 +163,8 @@ def test_classes(docs):
     assert simhash_dedup.classes(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("most", [4096, 20, 1])
-def test_planted_links(spark, most):
+@pytest.mark.parametrize("most,blocks", [(4096, None), (20, 8), (1, 7), (4096, 6), (4096, 13)])
+def test_planted_links(spark, most, blocks):
     """Chains and dense balls of fingerprints, with and without the way for crowded cells."""
     rng = random.Random(5)
     prints = set()
@@ -178,7 +177,7 @@ def test_planted_links(spark, most):
             prints.add(x)
     prints = sorted(prints)
     frame = spark.createDataFrame([(simhash_dedup._signed(x),) for x in prints], "fp long")
-    roots = {r.node: r.root for r in components(simhash_dedup.links(frame, most=most)).collect()}
+    roots = {r.node: r.root for r in components(simhash_dedup.links(frame, most=most, blocks=blocks)).collect()}
     want = brute.classes(dict(enumerate(prints)))
     groups = lambda of: sorted(sorted(x for x in range(len(prints)) if of(x) == g) for g in {of(x) for x in range(len(prints))})
     assert groups(lambda x: roots.get(simhash_dedup._signed(prints[x]), simhash_dedup._signed(prints[x]))) == groups(want.get)
@@ -196,6 +195,21 @@ def test_simhash_keep_first(edge):
     assert {3, None, 6}.issubset({r.doc_id for r in kept.collect()}) and 7 not in {r.doc_id for r in kept.collect()}
 
 
+def test_simhash_keeps_what_shares_an_id(spark):
+    """Rows are told by id and fingerprint: B has no other row within four bits, whatever its id is."""
+    a, b, c = "one two three four five six", "wholly other words stand in this row", "and a third text of a third kind"
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda rows: Counter(map(tuple, simhash_dedup.keep_first(frame(rows)).collect()))
+    assert kept([(1, a), (5, a), (5, b), (9, c)]) == Counter([(1, a), (5, b), (9, c)])
+    assert kept([(3, a), (3, a), (3, b), (None, b), (None, c), (None, c)]) == Counter([(3, a), (3, b), (None, c)])
+    assert kept([]) == Counter()
+
+
+def test_blocks_follow_the_count():
+    assert [simhash_dedup.blocks_for(n) for n in (0, 10**3, 10**6, 10**9, 10**11)] == sorted(simhash_dedup.blocks_for(n) for n in (0, 10**3, 10**6, 10**9, 10**11))
+    assert simhash_dedup.blocks_for(10**9) > simhash_dedup.blocks_for(10**5)
+
+
 # --- pieces ------------------------------------------------------------------------------------------------------------
 
 
