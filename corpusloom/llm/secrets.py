@@ -1,13 +1,16 @@
 """Secret scans with multipart credential linking.
 
 Patterns find the parts of credentials: access identifiers, secrets and endpoints. Assignments, access keys and long
-hexadecimal runs are strong and always reported. Weak parts (tokens that look random, assignments of short values, account names) are reported only
-when a complementary part lies within WITHIN code points in the same scope, a scope being lines between blank ones:
-an interval join by bisection over each text's sorted parts. Texts are judged in place, so nothing is shuffled and a
+hexadecimal runs are strong and always reported. Weak parts (tokens that look random, assignments of short values,
+account names) are reported only when complementary parts lie in the same scope, a scope being lines between blank
+ones: an interval join of parts and scopes. Each scope keeps of each sort of part the least end and the greatest start,
+which tell at once whether it has one beside a given span. Texts are judged in place, so nothing is shuffled and a
 text's parts are the only state.
 
 Defined cases: a null text counts as empty and has no spans; ids may be null and rows repeated; spans are code points,
-end exclusive; long texts are scanned whole; an empty table gives an empty result; other columns are passed on, but for names that the results take.
+end exclusive; long texts and long scopes are taken whole; a weak part that overlaps a strong one is left out, and a
+part that overlaps a span doesn't complete it; an empty table gives an empty result; other columns are passed on, but
+for names that the results take.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,7 +37,8 @@ ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]+|\b(?:host|endpoi
 
 KINDS = ["assign", "access", "hex", "secret", "account"]
 BASE = KINDS[:3]
-WITHIN, MIN_ENTROPY, MIN_ASSIGNED = 400, 3.5, 12
+MIN_ENTROPY, MIN_ASSIGNED = 3.5, 12
+BREAK = re.compile(r"\n[\x20\t]*\n")
 
 Span = tuple[int, int, int]
 
@@ -53,37 +56,51 @@ def _random(token: str) -> bool:
     return bool(re.search("[a-z]", token) and re.search("[A-Z]", token)) and -sum(c / n * math.log2(c / n) for c in Counter(token).values()) >= MIN_ENTROPY
 
 
-def linked_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak parts that lie near a complementary part of their scope and overlap no strong one."""
-    weak = [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if _random(m[0])]
-    starts = [s for s, _, _ in weak]
+def weak_spans(text: str) -> list[Span]:
+    """Tokens that look random, assignments of short values that hold none of them, and accounts."""
+    tokens = [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if _random(m[0])]
+    if ":" not in text and "=" not in text:
+        return tokens
     short = [(m.start(), 3, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) < MIN_ASSIGNED]
-    # tokens don't overlap one another, so that only the last one that starts before a span's end can overlap it
-    weak += [a for a in short if not ((k := bisect_left(starts, a[2])) and weak[k - 1][2] > a[0])]
-    accounts = [(m.start(), 4, m.end()) for m in ACCOUNT.finditer(text)] if ":" in text or "=" in text else []
-    if not weak and not accounts:
+    return tokens + _apart(short, tokens) + [(m.start(), 4, m.end()) for m in ACCOUNT.finditer(text)]
+
+
+def _apart(spans: list[Span], others: list[Span]) -> list[Span]:
+    """Those of ``spans`` that overlap none of the ``others``."""
+    starts, ends = [], []  # what the others cover, as intervals apart from each other
+    for s, _, e in sorted(others):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return [x for x in spans if not ((k := bisect_left(starts, x[2])) and ends[k - 1] > x[0])]
+
+
+def linked_spans(text: str, base: list[Span]) -> list[Span]:
+    """Weak parts that have complementary parts beside them in their scope and overlap no strong one."""
+    weak = _apart(weak_spans(text), base)
+    if not weak:
         return []
-    weak += accounts
-    ends = [s for s, _, _ in base]
-    weak = [w for w in weak if not any(base[k][2] > w[0] and base[k][0] < w[2] for k in range(max(0, bisect_left(ends, w[0]) - 3), bisect_right(ends, w[2] - 1)))]
-    endpoints = sorted((m.start(), m.end()) for m in ENDPOINT.finditer(text))
-    identifiers = sorted([(s, e) for s, k, e in base if k == 1] + [(s, e) for s, k, e in weak if k == 4])
-    secrets = sorted([(s, e) for s, k, e in base if k in (0, 2)] + [(s, e) for s, k, e in weak if k == 3])
-    breaks = [m.start() for m in re.finditer(r"\n[\x20\t]*\n", text)]
-
-    # the furthest end so far, as a long part may start far before and end near
-    reach = {id(parts): list(accumulate((e for _, e in parts), max)) for parts in (endpoints, identifiers, secrets)}
-
-    def near(span: Span, parts: list[tuple[int, int]]) -> bool:
-        scope = bisect_right(breaks, span[0])
-        lo = bisect_left(reach[id(parts)], span[0] - WITHIN)
-        for s, e in parts[lo : bisect_right(parts, (span[2] + WITHIN, 0))]:
-            if e >= span[0] - WITHIN and bisect_right(breaks, s) == scope and (e <= span[0] or s >= span[2]):
-                return True
-        return False
+    breaks = [m.start() for m in BREAK.finditer(text)]
+    sorts = {
+        "endpoint": [(m.start(), m.end()) for m in ENDPOINT.finditer(text)],
+        "identifier": [(s, e) for s, k, e in base if k == 1] + [(s, e) for s, k, e in weak if k == 4],
+        "secret": [(s, e) for s, k, e in base if k in (0, 2)] + [(s, e) for s, k, e in weak if k == 3],
+    }
+    bounds: dict[tuple[str, int], tuple[int, int]] = {}  # of a sort in a scope: the least end, the greatest start
+    for sort, parts in sorts.items():
+        for s, e in parts:
+            at = sort, bisect_right(breaks, s)
+            end, start = bounds.get(at, (e, s))
+            bounds[at] = min(end, e), max(start, s)
+
+    def beside_it(span: Span, sort: str) -> bool:
+        end, start = bounds.get((sort, bisect_right(breaks, span[0])), (span[2], span[0]))
+        return end <= span[0] or start >= span[2]
 
     # a secret needs an identifier or an endpoint beside it; an account needs a secret and an endpoint
-    return [w for w in weak if (near(w, identifiers) or near(w, endpoints) if w[1] == 3 else near(w, secrets) and near(w, endpoints))]
+    return [w for w in weak if (beside_it(w, "identifier") or beside_it(w, "endpoint") if w[1] == 3 else beside_it(w, "secret") and beside_it(w, "endpoint"))]
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -113,4 +130,4 @@ def digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     found = scan(docs.select(docs[key].alias("doc_id"), docs[text].alias("base")), "base")  # the text gives way to its spans
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     counts = [count(kind).alias(f"n_{kind}") for kind in BASE]
-    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

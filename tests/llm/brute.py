@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -76,6 +77,36 @@ def secrets(text):
     return [f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in sorted(out)]
 
 
+def linked_secrets(text):
+    """All spans, weak parts compared with every other part of their scope."""
+    t = text or ""
+    base = [(int(s), k, int(e)) for k, s, e in (x.split(":") for x in secrets(t))]
+    blank, scopes = re.compile(r"\n[\x20\t]*\n"), [0] * (len(t) + 1)
+    for m in blank.finditer(t):
+        for p in range(m.start(), len(t) + 1):
+            scopes[p] += 1
+    tokens = []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", t):
+        w, n = m[0], len(m[0])
+        entropy = -sum(c / n * math.log2(c / n) for c in Counter(w).values())
+        if re.search("[0-9]", w) and re.search("[a-z]", w) and re.search("[A-Z]", w) and entropy >= 3.5:
+            tokens.append((m.start(), "secret", m.end()))
+    meets = lambda a, b: a[0] < b[2] and b[0] < a[2]
+    weak = list(tokens)
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A):
+        short = (m.start(), "secret", m.end())
+        if len(m[2]) < 12 and not any(meets(short, x) for x in tokens):
+            weak.append(short)
+    weak += [(m.start(), "account", m.end()) for m in re.finditer(r"""\b(client|account|user|access)[_ -]?(id|name|key)?["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}""", t, re.I | re.A)]
+    weak = [w for w in weak if not any(meets(w, x) for x in base)]
+    parts = [(m.start(), "endpoint", m.end()) for m in re.finditer(r"""\b[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]+|\b(host|endpoint|server|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[A-Za-z]{2,}""", t, re.I | re.A)]
+    parts += weak + [(s, "account" if k == "access" else "secret", e) for s, k, e in base]
+    has = lambda w, kind: any(p[1] == kind and scopes[p[0]] == scopes[w[0]] and not meets(p, w) for p in parts)
+    found = [w for w in weak if (has(w, "account") or has(w, "endpoint") if w[1] == "secret" else has(w, "secret") and has(w, "endpoint"))]
+    order = ["assign", "access", "hex", "secret", "account"]
+    return [f"{k}:{s}:{e}" for s, k, e in sorted(base + found, key=lambda x: (x[0], order.index(x[1]), x[2]))]
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):

@@ -256,8 +256,8 @@ def test_compiled_character_map(rule):
 
 def test_secrets(docs, plain, edge):
     for frame, rows in ((docs, plain), (edge, EDGE)):
-        got = Counter((r.doc_id, r.base_sha256) for r in secrets.digest(frame).collect())
-        assert got == Counter((i, brute.sha(",".join(brute.secrets(t)))) for i, t in rows)
+        got = Counter((r.doc_id, r.base_sha256, r.spans, r.n_spans) for r in secrets.digest(frame).collect())
+        assert got == Counter((i, brute.sha(",".join(brute.secrets(t))), ",".join(s := brute.linked_secrets(t)), len(s)) for i, t in rows)
     assert secrets.digest(docs.limit(0)).count() == 0
 
 
@@ -269,7 +269,8 @@ def test_linked_credentials():
     far = f"see https://db.example.com/x {'word ' * 100} with {weak} now"
     pair = f"user: admin77 and {weak}"
     kinds = lambda t: [secrets.KINDS[k] for _, k, _ in secrets.linked_spans(t, secrets.base_spans(t))]
-    assert kinds(alone) == kinds(apart) == kinds(far) == []
+    assert kinds(alone) == kinds(apart) == []
+    assert kinds(linked) == kinds(far) == kinds(f"host: a.example.com{chr(10)}{'word ' * 4000}{chr(10)}{weak}") == ["secret"]
     assert kinds(linked) == ["secret"] and kinds(pair) == ["secret"]
     assert kinds("user: admin77 at https://db.example.com/x with " + weak) == ["account", "secret"] or set(kinds("user: admin77 at https://db.example.com/x with " + weak)) == {"account", "secret"}
 
@@ -282,6 +283,15 @@ def test_linked_short_and_long_parts():
     assert spans(f"see https://db.example.com/{'x/' * 300} with {weak} now") == [("secret", weak)]
 
 
+def test_linked_parts_at_random(spark):
+    """Parts of every sort, near and far, overlapping and apart, in scopes of any length."""
+    rng = random.Random(11)
+    parts = ["https://db.example.com/x", "host: a.example.com", "user: admin77", "password: hunter2", "token = abcdefghijklmnop", "AKIA1234567890ABCD", "0123456789abcdef0", "Zx8Kq2Lm9Pw4Rt7Yv1Bn3Hd6", "api_key=Zx8Kq2Lm9Pw4Rt7Yv1Bn3Hd6", "token: " + "0123456789abcdef0." * 6 + "Zx8Kq2Lm9Pw4Rt7Yv1Bn3Hd6", "see https://x.example.com/?token=Zx8Kq2Lm9P", "word " * 120, "\n\n", "\n \t\n", "\n", "access_key: Zx8Kq2Lm9Pw4Rt7Yv1Bn3Hd6"]
+    rows = [(k, rng.choice([" ", "", "\n"]).join(rng.choice(parts) for _ in range(rng.randint(0, 12)))) for k in range(400)]
+    got = {r.doc_id: r.spans for r in secrets.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: ",".join(brute.linked_secrets(t)) for k, t in rows}
+
+
 # --- repeats -----------------------------------------------------------------------------------------------------------
 
 
