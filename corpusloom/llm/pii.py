@@ -1,9 +1,11 @@
 """Personal data by patterns and bootstrapped contexts, in Spark expressions only.
 
 Base spans: the regular expression cuts a text into matches and the parts between them, whose running lengths give the
-positions; quantifiers are possessive and starts are anchored at token starts, so that long runs cost linear time.
+positions: sums within chunks of CHUNK matches, and the sums of the chunks before, so that no match is copied once for
+each later one. Quantifiers are possessive and starts are anchored at token starts, so that long runs cost linear time.
+What overlaps what is told by windows over a text's spans and tokens in order, a running maximum of ends.
 
-Bootstrapping: base spans, whole, are the seeds of their kind; candidates are the tokens beside them that hold a digit or
+Bootstrapping: base spans, whole, are the seeds of their kind (of those that overlap, the first); candidates are the tokens beside them that hold a digit or
 an @, adjoining ones of digits and punctuation taken together. The two words before a candidate, however far and in lower
 case with digits as 0, are its lexical pattern, a candidate among them counting as MARK; an instance is its text in lower case, numbers without the signs that group them. Each round scores the
 graph of patterns and instances: a pattern's confidence is the part of its instances that is known to be of a kind, an
@@ -20,10 +22,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved, whole, words_of
+from .common import ascii_lower, saved, small, whole, words_of
 
 _MAIL = "[A-Za-z0-9._%+-]"
 #: What each base kind looks like, as listed; each starts where the last match ended or where a token starts.
@@ -44,6 +46,8 @@ NUMBER, GAP = r"^[^\p{L}@]*+$", r"^\x20(?:[-+./()]\x20)?$"
 MIN_PATTERN, MIN_INSTANCE, MIN_SEEDS = 0.8, 0.8, 3
 #: Stands for a candidate in the context of a later one; longer patterns than LONG are told apart by their SHA-256.
 MARK, LONG = "@", 128
+#: Matches whose places are summed up at once.
+CHUNK = 256
 
 
 def _digits(c: Column) -> Column:
@@ -71,19 +75,37 @@ def _holds(kind: str, m: Column) -> Column:
 
 def _matches(t: Column, pattern: str) -> Column:
     """Leftmost matches with their places: array of (start, end, m, before), code points."""
-    regex = F.lit(pattern)
-    found, between = F.regexp_extract_all(t, regex, F.lit(0)), F.split(t, pattern, -1)
-    steps = F.aggregate(
-        F.arrays_zip(found.alias("m"), F.slice(between, F.lit(1), F.size(found)).alias("b")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string,before:string>>").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["b"]) + F.length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["b"])).alias("start"), (acc["at"] + F.length(x["b"]) + F.length(x["m"])).alias("end"), x["m"].alias("m"), x["b"].alias("before")))).alias("out"),
-        ),
-    )
-    return steps["out"]
+    found, between = F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.split(t, pattern, -1)
+    pairs = F.arrays_zip(found.alias("m"), F.slice(between, F.lit(1), F.size(found)).alias("b"))
 
+    def chunks(pairs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(pairs) / CHUNK).cast("int") - 1, F.lit(0))), lambda k: F.slice(pairs, k * CHUNK + 1, F.lit(CHUNK)))
 
+    length = lambda x: F.length(x["b"]) + F.length(x["m"])
+
+    def starts(chunks: Column) -> Column:
+        """Where each chunk begins."""
+        size = lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + length(x))
+        step = lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(F.transform(chunks, size), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step)["out"]
+
+    def placed(chunk: Column, at: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + F.length(x["b"])
+            end = start + F.length(x["m"])
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m"), x["b"].alias("before")))).alias("out"))
+
+        return F.aggregate(chunk, F.struct(at.alias("at"), F.array().cast(_MATCHES).alias("out")), step)["out"]
+
+    return let(let(pairs, chunks), lambda cs: F.flatten(F.transform(F.arrays_zip(cs.alias("c"), starts(cs).alias("s")), lambda x: placed(x["c"], x["s"]))))
+
+
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+_MATCHES = "array<struct<start:int,end:int,m:string,before:string>>"
 _SPANS = "array<struct<start:int,order:int,end:int,kind:string>>"
 _SEEDS = "array<struct<start:int,order:int,end:int,kind:string,m:string>>"
 _TOKENS = "array<struct<start:int,end:int,m:string,before:string,gap:string>>"
@@ -96,53 +118,61 @@ def _base(t: Column, kind: str) -> Column:
 
 
 def _contexts(tokens: Column) -> Column:
-    """The tokens, each with the two words before it in place of all that stands between it and the one before, and their gap."""
+    """The tokens, each with the two words before it in place of all that stands between it and the one before, and their gap.
+
+    An earlier token is a word of its own, MARK, so that the two words lie in the last two parts between tokens.
+    """
+    words = F.transform(tokens, lambda x: let(words_of(x["before"]), lambda ws: F.slice(ws, F.greatest(F.size(ws) - 1, F.lit(1)), F.lit(2))))
 
-    def step(acc, x):
-        words = words_of(x["before"])
-        two = F.slice(F.concat(acc["two"], words), F.greatest(F.size(acc["two"]) + F.size(words) - 1, F.lit(1)), F.lit(2))
-        gap = F.when(F.length(x["before"]) <= 3, x["before"])
-        out = F.concat(acc["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["m"].alias("m"), F.array_join(two, " ").alias("before"), gap.alias("gap"))))
-        return F.struct(F.slice(F.concat(two, F.array(F.lit(MARK))), F.greatest(F.size(two), F.lit(1)), F.lit(2)).alias("two"), out.alias("out"))
+    def of(x: Column, i: Column, ws: Column) -> Column:
+        none, mark = F.array().cast("array<string>"), F.array(F.lit(MARK))
+        all_ = F.concat(F.when(i >= 2, mark).otherwise(none), F.when(i >= 1, F.concat(F.get(ws, i - 1), mark)).otherwise(none), F.get(ws, i))
+        two = let(all_, lambda a: F.slice(a, F.greatest(F.size(a) - 1, F.lit(1)), F.lit(2)))
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["m"].alias("m"), F.array_join(two, " ").alias("before"), F.when(F.length(x["before"]) <= 3, x["before"]).alias("gap"))
 
-    return F.aggregate(tokens, F.struct(F.array().cast("array<string>").alias("two"), F.array().cast(_TOKENS).alias("out")), step)["out"]
+    return let(words, lambda ws: F.transform(tokens, lambda x, i: of(x, i, ws)))
 
 
 def base(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(row, doc_id, an array of spans for each kind, the candidates with what stands before them)."""
     t = F.col("t")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("doc_id"), whole(docs[text]).alias("t"))
-    candidates = F.when(t.rlike("[0-9@]"), _contexts(_matches(t, CANDIDATE))).otherwise(F.array().cast(_TOKENS))
+    candidates = F.when(t.rlike("[0-9@]"), let(_matches(t, CANDIDATE), _contexts)).otherwise(F.array().cast(_TOKENS))
     return rows.select("row", "doc_id", *[_base(t, k).alias(k) for k in KINDS], candidates.alias("candidates"))
 
 
-def _runs(tokens: Column) -> Column:
-    """The tokens, those of digits and punctuation joined with such ones right after them."""
-
-    def step(out, x):
-        last = F.try_element_at(out, F.lit(-1))
-        on = (last["end"] + F.length(x["gap"]) == x["start"]) & x["gap"].rlike(GAP) & x["m"].rlike(NUMBER) & last["m"].rlike(NUMBER) & ~last["m"].rlike("[.,;:!?]$")
-        run = F.struct(last["start"].alias("start"), x["end"].alias("end"), F.concat(last["m"], x["gap"], x["m"]).alias("m"), last["before"].alias("before"), last["gap"].alias("gap"))
-        return F.when(F.coalesce(on, F.lit(False)), F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(run))).otherwise(F.concat(out, F.array(x)))
-
-    return F.aggregate(tokens, F.array().cast(_TOKENS), step)
-
-
 def _instance(m: Column) -> Column:
     """What a text is known by; numbers in groups are their digits, with the plus before them."""
     return F.when(m.rlike(r"^[+0-9\x20()-]++$"), F.regexp_replace(m, r"[\x20()-]", "")).otherwise(ascii_lower(m))
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(row, start, end, pattern, instance, kind): a span and its context; kind is that of a base span, null for a run of tokens beside them."""
-    # of base spans that overlap the first one counts
-    first = F.filter("spans", lambda s: ~F.exists("spans", lambda o: (o["start"] < s["end"]) & (o["end"] > s["start"]) & (F.struct(o["start"], o["order"]) < F.struct(s["start"], s["order"]))))
-    before = lambda s: F.try_element_at(F.filter("tokens", lambda x: (x["start"] <= s["start"]) & (x["end"] > s["start"])), F.lit(1))["before"]
-    seeds = F.transform(first, lambda s: F.struct(s["start"].alias("start"), s["m"].alias("m"), before(s).alias("before"), s["kind"].alias("kind")))
-    free = F.filter("tokens", lambda x: ~F.exists("spans", lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"])))
-    runs = F.transform(_runs(free), lambda x: F.struct(x["start"].alias("start"), F.regexp_replace(x["m"], r"[.,;:!?)\]}\"']+$", "").alias("m"), x["before"].alias("before"), F.lit(None).cast("string").alias("kind")))
-    c = rows.filter(F.size("candidates") > 0).select("row", F.concat(*[F.col(k) for k in KINDS]).alias("spans"), F.col("candidates").alias("tokens"))
-    c = c.select("row", F.explode(F.concat(seeds, runs)).alias("c")).select("row", "c.*")
+    """(row, start, end, pattern, instance, kind): a span and its context; kind is that of a base span, null for a run of tokens beside them.
+
+    Runs are free tokens of digits and punctuation joined with such ones right after them.
+    """
+    some = rows.filter(F.size("candidates") > 0)
+    spans = some.select("row", F.explode(F.concat(*KINDS)).alias("s")).select("row", "s.start", "s.order", "s.end", "s.kind", "s.m", F.lit("").alias("before"), F.lit(None).cast("string").alias("gap"))
+    tokens = some.select("row", F.explode("candidates").alias("s")).select("row", "s.start", F.lit(-1).alias("order"), "s.end", F.lit(None).cast("string").alias("kind"), "s.m", "s.before", "s.gap")
+    is_span = F.col("order") >= 0
+    down = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("order")).rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("row").orderBy("start", "order")
+    up = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    every = spans.unionByName(tokens).withColumn("ahead", F.last(F.when(is_span, F.col("start")), True).over(down))
+    every = every.withColumns({"back": F.max(F.when(is_span, F.col("end"))).over(up), "token": F.last(F.when(~is_span, F.struct("end", "before")), True).over(up)})
+    clear = F.coalesce(F.col("back") <= F.col("start"), F.lit(True))
+    every = every.filter(clear & (is_span | F.coalesce(F.col("ahead") >= F.col("end"), F.lit(True))))  # the first of spans that overlap, and free tokens
+    every = every.withColumn("before", F.when(is_span, F.when(F.col("token.end") > F.col("start"), F.col("token.before"))).otherwise(F.col("before")))
+    last = lambda c: F.lag(c).over(in_order)
+    on = ~is_span & (last("order") < 0) & (last("end") + F.length("gap") == F.col("start")) & F.col("gap").rlike(GAP) & F.col("m").rlike(NUMBER) & last("m").rlike(NUMBER) & ~last("m").rlike("[.,;:!?]$")
+    every = every.withColumn("on", F.coalesce(on, F.lit(False)))
+    every = every.withColumn("run", F.sum(F.when(F.col("on"), 0).otherwise(1)).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    part = F.struct("start", F.when(F.col("on"), F.concat("gap", "m")).otherwise(F.col("m")).alias("m"), "before")
+    runs = every.groupBy("row", "run").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.max("kind").alias("kind"))
+    m = F.array_join(F.transform("parts", lambda p: p["m"]), "")
+    m = F.when(F.col("kind").isNull(), F.regexp_replace(m, r"[.,;:!?)\]}\"']+$", "")).otherwise(m)
+    first = F.get("parts", F.lit(0))
+    c = runs.select("row", first["start"].alias("start"), m.alias("m"), first["before"].alias("before"), "kind")
     pattern = F.regexp_replace(ascii_lower(F.col("before")), "[0-9]+", "0")
     pattern = F.when(F.length(pattern) > LONG, F.sha2(pattern, 256)).otherwise(pattern)
     return c.select("row", "start", (F.col("start") + F.length("m")).alias("end"), pattern.alias("pattern"), _instance(F.col("m")).alias("instance"), "kind").filter("pattern != '' and instance != ''")
@@ -164,13 +194,14 @@ def bootstrap(found: DataFrame) -> DataFrame:
     while True:
         patterns = _confident(edges, known)
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
-        scored = edges.join(known, "instance", "left_anti").join(patterns, "pattern").groupBy("instance", "kind").agg((1 - doubt).alias("score"))
+        scored = edges.join(known, "instance", "left_anti").join(patterns, "pattern").groupBy("instance", "kind").agg(F.round(1 - doubt, 9).alias("score"))  # whatever order it was summed in
         new = scored.filter(F.col("score") >= MIN_INSTANCE).groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b")).select("instance", "b.kind")
         new = saved(new)
         if new.isEmpty():
             break
         known = saved(known.unionByName(new))
     patterns = saved(_confident(edges, known).select("pattern", "kind"))
+    patterns = small(patterns, patterns.count(), 4 * LONG)
     return found.filter("kind is null").drop("kind").join(patterns, "pattern").join(known, ["instance", "kind"]).select("row", "start", "end", "kind")
 
 
@@ -193,4 +224,4 @@ def joined(spans: Column) -> Column:
 
 def digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     found = scan(docs, text, key)
-    return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

@@ -7,6 +7,7 @@ import math
 import re
 from collections import Counter
 
+import regex
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -127,6 +128,76 @@ def pii(text):
     return [f"{('email', 'ip', 'card', 'phone')[k]}:{s}:{e}" for s, k, e in sorted(out)]
 
 
+def pii_spans(rows):
+    """[all spans] of rows (id, text), with those that bootstrapped contexts add."""
+    kinds = ["email", "ip", "card", "phone"]
+    lower = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x)
+    number = lambda x: not regex.search(r"[\p{L}@]", x)
+    name = lambda x: re.sub(r"[\x20()-]", "", x) if re.fullmatch(r"[+0-9\x20()-]+", x) else lower(x)
+    base, found = [], []  # found: (row, start, end, pattern, instance, kind)
+    for r, (_, t) in enumerate(rows):
+        t = t or ""
+        spans = sorted((int(s), kinds.index(k), int(e)) for k, s, e in (x.split(":") for x in pii(t)))
+        base.append(spans)
+        words = [(m.start(), m.end(), bool(re.search("[0-9@]", m[0]))) for m in WORD.finditer(t)]
+        marked = ["@" if token else t[s:e] for s, e, token in words]
+        before = {s: " ".join(marked[max(0, k - 2) : k]) for k, (s, _, _) in enumerate(words)}
+        out, ends, runs = [], -1, []
+        for s, k, e in spans:
+            if s >= ends:
+                inside = [w for w in words if w[2] and w[0] <= s < w[1]]
+                out.append((s, t[s:e], before[inside[0][0]] if inside else "", kinds[k]))
+            ends = max(ends, e)
+        covered = bytearray(len(t))
+        for s, _, e in spans:
+            covered[s:e] = b"\1" * (e - s)
+        for s, e, token in words:
+            if token and not any(covered[s:e]):
+                joins = runs and number(t[s:e]) and number(t[runs[-1][2] : runs[-1][1]]) and t[runs[-1][1] - 1] not in ".,;:!?" and re.fullmatch(r"\x20([-+./()]\x20)?", t[runs[-1][1] : s])
+                if joins:
+                    runs[-1] = (runs[-1][0], e, s)
+                else:
+                    runs.append((s, e, s))
+        out += [(s, re.sub(r"""[.,;:!?)\]}"']+$""", "", t[s:e]), before[s], None) for s, e, _ in runs]
+        for s, m, context, kind in out:
+            pattern = re.sub("[0-9]+", "0", lower(context))
+            pattern = sha(pattern) if len(pattern) > 128 else pattern
+            if pattern and name(m):
+                found.append((r, s, s + len(m), pattern, name(m), kind))
+    edges = {(p, i) for _, _, _, p, i, _ in found}
+    known = {}
+    for _, _, _, _, i, k in found:
+        if k and k > known.get(i, ""):
+            known[i] = k
+
+    def confident():
+        count, of = Counter(p for p, _ in edges), Counter((p, known[i]) for p, i in edges if i in known)
+        best = {}
+        for (p, k), n in of.items():
+            best[p] = max(best.get(p, (0, "")), (n, k))
+        return {p: (k, n / count[p]) for p, (n, k) in best.items() if n >= 3 and n / count[p] >= 0.8}
+
+    while True:
+        patterns, doubt = confident(), {}
+        for p, i in edges:
+            if i not in known and p in patterns:
+                k, c = patterns[p]
+                doubt[i, k] = doubt.get((i, k), 1.0) * max(1 - c, 1e-9)
+        new = {}
+        for (i, k), d in doubt.items():
+            if round(1 - d, 9) >= 0.8:
+                new[i] = max(new.get(i, (0, "")), (round(1 - d, 9), k))
+        if not new:
+            break
+        known |= {i: k for i, (_, k) in new.items()}
+    patterns = confident()
+    more = [[] for _ in rows]
+    for r, s, e, p, i, kind in found:
+        if kind is None and p in patterns and known.get(i) == patterns[p][0]:
+            more[r].append((s, 4 + kinds.index(known[i]), e))
+    return [",".join(f"{(kinds + ['like_' + k for k in kinds])[k]}:{s}:{e}" for s, k, e in sorted(a + b)) for a, b in zip(base, more, strict=True)]
+
+
 def repeats(rows, window=50):
     """{row: (bytes, removed, spans, digest of what is left)} for rows (id, text); a null id is above all."""
     key = lambda i: float("inf") if i is None else i

@@ -383,17 +383,46 @@ NASTY = ["a@b.c%x@d.e @f.g x@y..z a@b-c.d.e@q.r", "1.2.3.4.5.6.7.8 001.002.0003.
 def test_pii(spark, docs, plain, edge):
     nasty = [(k, t) for k, t in enumerate(NASTY)]
     for frame, rows in ((docs, plain), (edge, EDGE), (spark.createDataFrame(nasty, "doc_id long, text string"), nasty)):
-        got = Counter((r.doc_id, r.base_sha256) for r in pii.digest(frame).collect())
-        assert got == Counter((i, brute.sha(",".join(brute.pii(t)))) for i, t in rows)
+        got = Counter((r.doc_id, r.base_sha256, r.spans) for r in pii.digest(frame).collect())
+        assert got == Counter((i, brute.sha(",".join(brute.pii(t))), s) for (i, t), s in zip(rows, brute.pii_spans(rows), strict=True))
     assert pii.digest(docs.limit(0)).count() == 0
 
 
+def test_pii_of_many_tokens(spark):
+    """A hundred thousand tokens of every kind in one text, in time linear in them."""
+    import time
+
+    many = " ".join(("call +1 (132) 555-1352", "n 12", "10.0.0.7", "a@b.cd", "4111 1111 1111 1111", "x 7 y")[k % 6] for k in range(60_000))
+    rows = [(1, many), (2, " ".join(map(str, range(100_000)))), (3, "a 1.2.3.4@x.yz " * 20_000)]
+    began = time.perf_counter()
+    got = {r.doc_id: r.base_sha256 for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.perf_counter() - began < 60
+    assert got == {i: brute.sha(",".join(brute.pii(t))) for i, t in rows}
+
+
 def test_bootstrapped_contexts(spark):
     rows = [(k, f"Some words. contact email: user{k}@x.example.com and more") for k in range(20)] + [(100 + k, f"x contact email: jo{k}(at)x-example and") for k in range(2)] + [(200, "seen in chapter 12 or so")]
     got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == "email:27:46" and got[100] == "like_email:17:33" and got[200] == ""
 
 
+def test_pii_contexts_at_random(spark):
+    """Seeds, unseen values and contexts mixed at random, against the plain version."""
+    rng = random.Random(4)
+    usual = {"mail to": "u{}@x.yz", "call me": "+1 (132) 555-13{}", "ring": "+1 (132) 555-14{}", "paid by card": "4111 1111 1111 1111", "at host": "10.0.0.{}", "see 12 of": "{},", "(x)": "{} - {}"}
+    odd = ["u{}@x.yz", "jo{}(at)x", "0132 555 13{}", "10.0.0.{}.", "10.0.{}", "4111 1111 1111 11{}", "n.{}@a.b, c{}"]
+
+    def phrase():
+        context = rng.choice(list(usual))
+        value = usual[context] if rng.random() < 0.95 else rng.choice(odd)
+        return f"{context} {value.replace('{}', str(rng.randint(10, 60)))}{rng.choice(['', '.', ' and', chr(10)])}"
+
+    rows = [(k, " ".join(phrase() for _ in range(rng.randint(0, 9)))) for k in range(300)]
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.pii_spans(rows)
+    assert got == {k: want[k] for k, _ in rows} and any("like_" in w for w in want)
+
+
 def test_bootstrapped_spaced_numbers(spark):
     phones = [(k, f"Some words. my phone: +1 ({132 + k}) 555-135{k % 10} and more") for k in range(20)]
     cards = [(50 + k, f"Some words. paid by {c} and more") for k, c in enumerate(("4111 1111 1111 1111", "4012 8888 8888 1881", "5555 5555 5555 4444", "5105 1051 0510 5100"))]
