@@ -1,23 +1,26 @@
 """Long repeats across documents, by run-length indexes over content-defined pieces.
 
 A byte goes if a string of WINDOW bytes that covers it also starts in a document of a smaller id. The corpus is packed
-into slices of about SLICE bytes, compressed, in a bucketed table, so that later joins move only what is learned about
-a slice, as a few blobs:
-
-1. Anchors: every window has its least gram; windows of the same anchor are consecutive and make a piece (about 63
-   bytes). Equal windows have equal anchors. Each slice sends its distinct anchor hashes, and gets back which of them
-   other slices or documents have too. Anchors without company end here.
-2. Pieces of shared anchors are told apart by a hash of 64 bits beside the anchor's 64. Each distinct one is sent once
-   from each slice with its least document, and gets back the least of all, and whether its anchor has other pieces.
-3. Only pieces that have siblings, the edges of repeats, are sent as bytes, to the bucket of their anchor. A bucket
-   drops those that share no window's hash with another, builds a run-length index over the rest, and streams them
-   through it: where the matching statistic reaches WINDOW, the interval of rows gives the least document that has the
-   window.
-4. Each slice gets, for each window of its pieces, that least document, and cuts its texts.
-
-Skew: a slice sends a piece once however often it occurs there. An anchor that more than MOST slices share (the edge
-of a passage found everywhere, with as many continuations) isn't gathered: its windows are pieces of their own, sent by
-their own hash, so that step 2 settles them with one row for each slice of any window.
+into compressed slices of about SLICE bytes in a bucketed table; what is learned about a slice travels as rows of fixed
+width, which Spark shuffles, sorts and spills:
+
+1. Parsing: every window has its least gram; windows of the same anchor are consecutive and make a piece (about 63
+   bytes). Equal windows have equal anchors. Each slice sends its distinct pieces, as 64 bits of the anchor's hash, 64
+   of the piece's own, and the least document. It gets back which of them a smaller document has elsewhere; their
+   copies in the slice all go. Of the others it learns whether their anchor has other pieces: siblings, the edges of
+   repeats, which may still share windows.
+2. Indexing: the slice that holds the first document of a sibling sends its bytes, once, to the bucket of the anchor.
+   A bucket builds a run-length index over pieces that may serve others, streams those that others may serve through
+   it, and where the matching statistic reaches WINDOW, the interval of rows gives the least document that has the
+   window. What goes back is a mask of windows.
+3. Cutting: each slice removes what its pieces and masks cover.
+
+Skew: a slice sends a piece once however often it occurs there, and as bytes only if it has the first document. An
+anchor of more than MOST pieces (the edge of a passage found everywhere, with as many continuations) isn't indexed: its
+pieces' windows are sent by two hashes of 64 bits of their own, and settled like pieces in step 1.
+
+Identity: pieces and single windows are told apart by 128 bits, as in the hashed parse from which such transforms are
+built; what the index compares are the bytes.
 
 Defined cases: a null text counts as empty; a null id is larger than any id, and two null ids aren't smaller than each
 other; rows that repeat an id are no smaller documents to each other; texts under WINDOW bytes stay whole; an empty
@@ -28,25 +31,22 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from xxhash import xxh64_digest
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import WINDOW, anchors
+from .anchors import WINDOW, anchors, string_hashes, words_at
 from .common import remove, saved, scratch, whole
 from .rindex import RunLengthIndex
 
-GRAM, SLICE, MOST = 24, 2 << 20, 64
-#: Bytes of text for each part of the anchor exchange and for each bucket of pieces.
-PART_BYTES, BUCKET_BYTES = 32 << 20, 4 << 20
+#: Bytes of a slice and of a bucket's pieces; pieces of an anchor that are indexed.
+SLICE, BUCKET, MOST = 4 << 20, 2 << 20, 64
 NO_ID = np.iinfo(np.int64).max
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+GONE, SIBLING, WIDE = 0, 1, 2
 
 
 def _zip(data: bytes | np.ndarray) -> bytes:
@@ -57,360 +57,309 @@ def _unzip(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(blob), kind)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text bytes) into slices (slice, ids, lengths, data, bytes). A slice ends with the text that fills it."""
-    task, k = TaskContext.get().partitionId(), 0
-    ids, texts, size = [], [], 0
+def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    def slice_() -> pa.RecordBatch:
-        data = b"".join(texts)
-        arrays = [[(task << 32) | k], [_zip(np.array(ids, np.int64))], [_zip(np.array([len(t) for t in texts], np.int64))], [_zip(data)], [len(data)]]
-        return pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()], strict=True)], ["slice", "ids", "lengths", "data", "bytes"])
 
-    for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids.append(NO_ID if i is None else i)
-            texts.append(t.as_py())
-            size += len(texts[-1])
-            if size >= SLICE:
-                yield slice_()
-                k, ids, texts, size = k + 1, [], [], 0
-    if ids:
-        yield slice_()
+def _blobs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The strings of ``data`` that begin at ``starts``."""
+    ends = np.cumsum(lengths)
+    at = np.repeat(starts - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(data[at])])
+
+
+_PACKED = pa.schema([("slice", pa.int64()), ("ids", pa.binary()), ("lengths", pa.binary()), ("data", pa.binary())])
+
+
+def _pack(size: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (id, text bytes) into slices. A slice ends with the text that fills it."""
+        task, k = TaskContext.get().partitionId(), 0
+        ids, texts, filled = [], [], 0
 
+        def slice_() -> pa.RecordBatch:
+            return _batch(_PACKED, [(task << 32) | k], [_zip(np.array(ids, np.int64))], [_zip(np.array([len(t) for t in texts], np.int64))], [_zip(b"".join(texts))])
 
-class _Slice:
-    """A slice's texts, anchors and pieces, the same however often they are made."""
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids.append(NO_ID if i is None else i)
+                texts.append(t.as_py())
+                filled += len(texts[-1])
+                if filled >= size:
+                    yield slice_()
+                    k, ids, texts, filled = k + 1, [], [], 0
+        if ids:
+            yield slice_()
+
+    return pack
+
+
+class _Texts:
+    """The texts of a slice, end to end."""
 
     def __init__(self, ids: bytes, lengths: bytes, data: bytes):
         self.ids, self.lengths = _unzip(ids, np.int64), _unzip(lengths, np.int64)
         self.bytes = zstandard.decompress(data)
         self.data = np.frombuffer(self.bytes, np.uint8)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.at, self.hash, self.first, self.last = anchors(self.data, self.starts, WINDOW, GRAM)
-        self.doc = np.searchsorted(self.starts, self.at, "right") - 1
-
-    @cached_property
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes in order, the number of each anchor's hash, and which hashes several ids have."""
-        u, inverse = np.unique(self.hash, return_inverse=True)
-        least, most = np.full(len(u), NO_ID), np.full(len(u), np.iinfo(np.int64).min)
-        np.minimum.at(least, inverse, self.ids[self.doc])
-        np.maximum.at(most, inverse, self.ids[self.doc])
-        return u, inverse, least != most
-
-    def pieces(self, company: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pieces of anchors with company (1, or 2 if found in too many slices), given for each distinct hash.
-
-        Returns the pieces, their hashes, least ids and routes, then for each occurrence its piece, first byte and document.
-        """
-        _, inverse, _ = self.distinct
-        kind = company[inverse]
-        narrow, wide = np.flatnonzero(kind == 1), np.flatnonzero(kind == 2)
-        windows = self.last[wide] - self.first[wide] + 1
-        each = np.repeat(np.cumsum(windows) - windows, windows)
-        single = np.repeat(self.first[wide], windows) + np.arange(len(each)) - each
-        a = np.concatenate((self.first[narrow], single))
-        b = np.concatenate((self.last[narrow], single)) + WINDOW
-        doc = np.concatenate((self.doc[narrow], np.repeat(self.doc[wide], windows)))
-        number: dict[bytes, int] = {}
-        data = self.bytes
-        which = np.array([number.setdefault(data[x:y], len(number)) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.int64)
-        least = np.full(len(number), NO_ID)
-        np.minimum.at(least, which, self.ids[doc])
-        keys = list(number)
-        hashes = np.frombuffer(b"".join([xxh64_digest(k, 1) for k in keys]), np.uint64)
-        route = hashes.copy()  # a window alone goes by its own hash, a piece by its anchor's
-        route[which[: len(narrow)]] = self.hash[narrow]
-        return keys, hashes, least, route, which, a, doc
-
-
-def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return ((hashes * _MIX) >> np.uint64(33)) % np.uint64(parts)
-
-
-_BATCH = [("part", pa.int64()), ("slice", pa.int64()), ("blob", pa.binary())]
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(_BATCH)], [n for n, _ in _BATCH])
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Slice]]:
+
+    def owner(self, places: np.ndarray) -> np.ndarray:
+        """The id of the text that holds each place."""
+        return self.ids[np.searchsorted(self.starts, places, "right") - 1]
+
+
+class _Slice(_Texts):
+    """A slice's pieces, in the same order whenever they are made: for each distinct one an occurrence and the least id."""
+
+    def __init__(self, *blobs: bytes):
+        super().__init__(*blobs)
+        anchor, self.first, self.last = anchors(self.data, self.starts)
+        self.id = self.owner(self.first)
+        self.words = words_at(self.data)
+        hashes = string_hashes(self.words, self.first, self.last - self.first + WINDOW)
+        self.which, some, self.least = _distinct(anchor, hashes, self.id)
+        self.route, self.hash, self.some = anchor[some], hashes[some], some
+
+
+def _distinct(route: np.ndarray, hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the distinct (route, hash), for each of them a place where it stands, and its least id."""
+    order = np.argsort(hashes)
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (route[order[1:]] != route[order[:-1]])
+    first = np.flatnonzero(new)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return which, order[first], np.minimum.reduceat(ids[order], first) if len(first) else ids
+
+
+_PIECES = pa.schema([("route", pa.int64()), ("hash", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32())])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(batch.num_rows):
-            row = {n: batch.column(n)[k].as_py() for n in batch.schema.names}
-            yield row, _Slice(row["ids"], row["lengths"], row["data"])
-
-
-def _ask(parts: int):
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, s in _slices(batches):
-            u, _, several = s.distinct
-            part = _part(u, parts)
-            order = np.argsort(part, kind="stable")
-            cut = np.searchsorted(part[order], np.arange(parts + 1))
-            rows = []
-            for p in np.flatnonzero(np.diff(cut)).tolist():
-                own = order[cut[p] : cut[p + 1]]
-                h = u[own]
-                rows.append((p, row["slice"], _zip(np.concatenate((h[:1], np.diff(h))).view(np.uint8).tobytes() + np.packbits(several[own]).tobytes())))
-            if rows:
-                yield _batch(rows)
-
-    return ask
-
-
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[bytes]]]:
-    """Sorted rows (part, slice, blob), a part at a time."""
-    here, slices, blobs = None, [], []
+        for row in batch.to_pylist():
+            s = _Slice(row["ids"], row["lengths"], row["data"])
+            n = len(s.least)
+            for a in range(0, n, 1 << 16):
+                b = min(n, a + (1 << 16))
+                yield _batch(_PIECES, s.route[a:b].view(np.int64), s.hash[a:b].view(np.int64), s.least[a:b], np.full(b - a, row["slice"]), np.arange(a, b, dtype=np.int32))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], least: int = 0) -> Iterator[pa.Table]:
+    """Sorted rows in tables that hold whole groups of their first column, and ``least`` rows or more but for the last."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
     for batch in batches:
-        for p, s, b in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if p != here and slices:
-                yield here, slices, blobs
-                slices, blobs = [], []
-            here = p
-            slices.append(s)
-            blobs.append(b)
-    if slices:
-        yield here, slices, blobs
-
-
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each slice's hashes of a part: 0, or 1 if another slice or document has them, or 2 if over MOST slices have."""
-    for part, slices, blobs in _by_part(batches):
-        hashes, several = [], []
-        for blob in blobs:
-            raw = zstandard.decompress(blob)
-            n = (8 * len(raw)) // 65
-            hashes.append(np.cumsum(np.frombuffer(raw, np.uint64, n), dtype=np.uint64))
-            several.append(np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 * n), count=n))
-        sizes = np.array([len(h) for h in hashes])
-        _, inverse, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        shared = np.zeros(len(count), np.uint8)
-        np.maximum.at(shared, inverse, np.concatenate(several))
-        shared |= count > 1
-        shared[count > MOST] = 2
-        out = np.split(shared[inverse], np.cumsum(sizes)[:-1])
-        yield _batch([(part, s, _zip(o)) for s, o in zip(slices, out, strict=True)])
-
-
-def _company(s: _Slice, answers: list[dict], parts: int) -> np.ndarray:
-    u, _, _ = s.distinct
-    out, part = np.zeros(len(u), np.uint8), _part(u, parts)
-    order = np.argsort(part, kind="stable")
-    cut = np.searchsorted(part[order], np.arange(parts + 1))
-    for a in answers or []:
-        out[order[cut[a["part"]] : cut[a["part"] + 1]]] = _unzip(a["blob"], np.uint8)
-    return out
-
-
-def _dealt(route: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces by part, by route within it; and where each part begins."""
-    part = _part(route, parts)
-    order = np.lexsort((route, part))
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
-
-
-def _name(parts: int):
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy()
+        begins = int(np.count_nonzero(keys != keys[-1]))  # where its last group does
+        if held and not begins and held[-1].column(0)[-1].as_py() != keys[-1]:  # the batch is one group, another than the last
+            if rows >= least:
+                yield pa.Table.from_batches(held)
+                held, rows = [], 0
+        elif begins and rows + begins >= least:
+            yield pa.Table.from_batches([*held, batch.slice(0, begins)])
+            held, rows, batch = [], 0, batch.slice(begins)
+        held.append(batch)
+        rows += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+_TOLD = pa.schema([("slice", pa.int64()), ("k", pa.int32()), ("what", pa.int32())])
+
+
+def _name(most: int):
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, s in _slices(batches):
-            _, hashes, least, route, *_ = s.pieces(_company(s, row["answers"], parts))
-            order, cut = _dealt(route, parts)
-            rows = []
-            for p in np.flatnonzero(np.diff(cut)).tolist():
-                own = order[cut[p] : cut[p + 1]]
-                r = route[own]
-                rows.append((p, row["slice"], _zip(b"".join((np.concatenate((r[:1], np.diff(r))).tobytes(), hashes[own].tobytes(), least[own].tobytes())))))
-            if rows:
-                yield _batch(rows)
+        """From rows by route, hash and least id: what a slice must know of its pieces."""
+        for t in _groups(batches):
+            route, hashes, least = (t.column(k).to_numpy() for k in range(3))
+            new_route = np.ones(len(route), bool)
+            new_route[1:] = route[1:] != route[:-1]
+            new = new_route.copy()
+            new[1:] |= hashes[1:] != hashes[:-1]
+            low = least[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_route))[np.cumsum(new_route) - 1]
+            what = np.where(low < least, GONE, np.where(kinds > most, WIDE, SIBLING)).astype(np.int32)
+            some = np.flatnonzero((low < least) | (kinds > 1))
+            if len(some):
+                yield _batch(_TOLD, t.column(3).to_numpy()[some], t.column(4).to_numpy()[some], what[some])
 
     return name
 
 
-def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each slice's pieces of a part: the least document of each, and whether its route has other pieces."""
-    for part, slices, blobs in _by_part(batches):
-        columns = [_unzip(b, np.uint64).reshape(3, -1) for b in blobs]
-        sizes = np.array([c.shape[1] for c in columns])
-        route = np.concatenate([np.cumsum(c[0], dtype=np.uint64) for c in columns])
-        hashes, least = np.concatenate([c[1] for c in columns]), np.concatenate([c[2] for c in columns]).view(np.int64)
-        order = np.lexsort((least, hashes, route))
-        r, h = route[order], hashes[order]
-        new_route = np.concatenate(([True], r[1:] != r[:-1]))
-        new = new_route | np.concatenate(([True], h[1:] != h[:-1]))
-        low, several = np.empty(len(order), np.int64), np.empty(len(order), np.uint8)
-        low[order] = least[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_route)) > 1
-        several[order] = kinds[np.cumsum(new_route) - 1]
-        bounds = np.cumsum(sizes)[:-1]
-        yield _batch([(part, s, _zip(a.tobytes() + np.packbits(b).tobytes())) for s, a, b in zip(slices, np.split(low, bounds), np.split(several, bounds), strict=True)])
-
-
-def _named(route: np.ndarray, answers: list[dict] | None, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each piece the least document of all its copies, and whether it has siblings."""
-    low, several = np.empty(len(route), np.int64), np.zeros(len(route), bool)
-    order, cut = _dealt(route, parts)
-    for a in answers or []:
-        own, raw = order[cut[a["part"]] : cut[a["part"] + 1]], zstandard.decompress(a["blob"])
-        low[own] = np.frombuffer(raw, np.int64, len(own))
-        several[own] = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 * len(own)), count=len(own))
-    return low, several
-
-
-def _siblings(keys: list[bytes], route: np.ndarray, several: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces to be sent as bytes, by bucket; and where each bucket begins."""
-    chosen = np.flatnonzero(several)
-    order, cut = _dealt(route[chosen], buckets)
-    return chosen[order], cut
-
-
-def _send(parts: int, buckets: int):
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, s in _slices(batches):
-            keys, _, _, route, *_ = s.pieces(_company(s, row["answers"], parts))
-            low, several = _named(route, row["named"], parts)
-            order, cut = _siblings(keys, route, several, buckets)
-            for b in np.flatnonzero(np.diff(cut)).tolist():
-                own = order[cut[b] : cut[b + 1]].tolist()
-                head = np.concatenate(([len(own)], [len(keys[k]) for k in own], low[own])).astype(np.int64)
-                yield _batch([(b, row["slice"], _zip(head.tobytes() + b"".join([keys[k] for k in own])))])
-
-    return send
-
-
-def _window_hashes(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of strings end to end, and the string of each."""
-    base = np.uint64(0x5851F42D4C957F2D)
-    power = np.full(len(data) + 1, base)
-    power[0] = 1
-    power = np.cumprod(power, dtype=np.uint64)
-    terms = ((data.astype(np.uint64) + np.uint64(1)) * _MIX) ^ (data.astype(np.uint64) << np.uint64(23))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms * power[:-1], dtype=np.uint64)))
-    count = lengths - WINDOW + 1
-    owner = np.repeat(np.arange(len(lengths)), count)
-    at = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(count) - count), count) + np.arange(len(owner))
-    # bring all windows to one power: multiply by what is missing up to the last place
-    return (sums[at + WINDOW] - sums[at]) * power[len(data) - at], owner
-
-
-def least_documents(strings: list[bytes], least: np.ndarray) -> np.ndarray:
-    """For each window of each string in turn, the smallest ``least`` of the strings that have it."""
-    lengths = np.array([len(x) for x in strings], np.int64)
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    hashes, owner = _window_hashes(data, lengths)
-    out = least[owner]
-    _, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    meets = np.zeros(len(strings), bool)
-    meets[owner[count[inverse] > 1]] = True  # only strings with a window that another may have
-    chosen = np.flatnonzero(meets)
-    if len(chosen):
-        index = RunLengthIndex(data[np.repeat(meets, lengths)], lengths[chosen])
-        out[meets[owner]] = index.least_of_matches(WINDOW, least[chosen])
-    return out
+_STATE, _EDGE, _WINDOW = 0, 1, 2
+_SENT = pa.schema([("kind", pa.int32()), ("route", pa.int64()), ("hash", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32()), ("piece", pa.binary())])
+
+
+def _send(slices: pa.Table, told: pa.Table) -> pa.Table:
+    """What is sure of a slice and what is open, the bytes of its siblings, and the windows of its wide pieces."""
+    (row,) = slices.to_pylist()
+    s = _Slice(row["ids"], row["lengths"], row["data"])
+    what = np.full(len(s.least), -1)
+    what[told.column("k").to_numpy()] = told.column("what").to_numpy()
+    sure = (what[s.which] == GONE) | (s.least[s.which] < s.id)
+    open_ = np.flatnonzero(~sure & (what[s.which] == SIBLING))
+    wide = np.flatnonzero(~sure & (what[s.which] == WIDE))
+    siblings = np.flatnonzero(what == SIBLING)
+    at = s.some[siblings]
+    size = s.last[at] - s.first[at] + WINDOW
+    # windows of wide pieces, each by itself: numbered after the pieces
+    each = s.last[wide] - s.first[wide] + 1
+    place = np.repeat(s.first[wide] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
+    fifty = np.full(len(place), WINDOW)
+    lanes = [string_hashes(s.words, place, fifty, lane) for lane in (0, 1)]
+    owner = np.repeat(s.id[wide], each)
+    which, some, least = _distinct(*lanes, owner)
+    surely = least[which] < owner  # a smaller document of this very slice
+    ranges = [(s.first[sure], s.last[sure] + WINDOW), (place[surely], place[surely] + WINDOW)]
+    state = [np.concatenate([r[k] for r in ranges]) for k in (0, 1)]
+    state += [np.concatenate((s.first[open_], place[~surely])), np.concatenate((s.which[open_], len(s.least) + which[~surely]))]
+    blob = b"".join(np.array([len(x)], np.int64).tobytes() + x.astype(np.int64).tobytes() for x in state)
+    n, none = row["slice"], lambda m: pa.nulls(m, pa.int64())
+    out = [_batch(_SENT, [_STATE], none(1), none(1), none(1), [n], [-1], [_zip(blob)])]
+    m = len(siblings)
+    out.append(_batch(_SENT, np.full(m, _EDGE, np.int32), s.route[siblings].view(np.int64), s.hash[siblings].view(np.int64), s.least[siblings], np.full(m, n), siblings.astype(np.int32), _blobs(s.data, s.first[at], size)))
+    m = len(some)
+    out.append(_batch(_SENT, np.full(m, _WINDOW, np.int32), lanes[0][some].view(np.int64), lanes[1][some].view(np.int64), least, np.full(m, n), (len(s.least) + np.arange(m)).astype(np.int32), pa.nulls(m, pa.binary())))
+    return pa.Table.from_batches(out)
+
+
+_FOUND = pa.schema([("slice", pa.int64()), ("k", pa.int32()), ("mask", pa.int64())])
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each slice's pieces of a bucket: the least document of each window, over all slices."""
-    for bucket, slices, blobs in _by_part(batches):
-        number: dict[bytes, int] = {}
-        which, least = [], []
-        for blob in blobs:
-            raw = zstandard.decompress(blob)
-            n = int(np.frombuffer(raw, np.int64, 1)[0])
-            lengths, low = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
-            to = (8 + 16 * n + np.cumsum(lengths)).tolist()
-            which.append(np.array([number.setdefault(raw[b - k : b], len(number)) for b, k in zip(to, lengths.tolist(), strict=True)], np.int64))
-            least.append(low)
-        strings, lowest = list(number), np.full(len(number), NO_ID)
-        for w, low in zip(which, least, strict=True):
-            np.minimum.at(lowest, w, low)
-        found = least_documents(strings, lowest)
-        count = np.array([len(x) - WINDOW + 1 for x in strings])
-        first = np.cumsum(count) - count
-        for s, w in zip(slices, which, strict=True):
-            skip = np.cumsum(count[w]) - count[w]
-            at = np.repeat(first[w] - skip, count[w]) + np.arange(int(count[w].sum()))
-            yield _batch([(bucket, s, _zip(found[at]))])
-
-
-def _cut(parts: int, buckets: int):
-    def cut_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, s in _slices(batches):
-            keys, _, _, route, which, first, doc = s.pieces(_company(s, row["answers"], parts))
-            alike, several = _named(route, row["named"], parts)
-            count = np.array([len(k) - WINDOW + 1 for k in keys], np.int64)
-            order, cut = _siblings(keys, route, several, buckets)
-            at = np.cumsum(count) - count
-            value = np.repeat(alike, count)
-            for f in row["found"] or []:
-                own = order[cut[f["part"]] : cut[f["part"] + 1]]
-                skip = np.cumsum(count[own]) - count[own]
-                value[np.repeat(at[own] - skip, count[own]) + np.arange(int(count[own].sum()))] = _unzip(f["blob"], np.int64)
-            times = count[which]
-            skip = np.repeat(np.cumsum(times) - times, times)
-            place = np.arange(len(skip)) - skip
-            low = value[np.repeat(at[which], times) + place]
-            gone = low < np.repeat(s.ids[doc], times)
-            windows = (np.repeat(first, times) + place)[gone]
-            marks = np.zeros(len(s.data) + 1, np.int32)
-            np.add.at(marks, windows, 1)
-            np.add.at(marks, windows + WINDOW, -1)
-            removed = np.cumsum(marks)[:-1] > 0
-            rows = []
-            for i, a, length in zip(s.ids.tolist(), s.starts.tolist(), s.lengths.tolist(), strict=True):
-                out = removed[a : a + length]
-                n_out = int(np.count_nonzero(out))
-                text = s.bytes[a : a + length] if not n_out else s.data[a : a + length][~out].tobytes()
-                spans = np.flatnonzero(np.diff(np.concatenate(([0], out.astype(np.int8), [0])))).reshape(-1, 2)
-                rows.append((None if i == NO_ID else i, length, n_out, len(spans), hashlib.sha256(text).hexdigest(), spans.tolist()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.string(), pa.list_(pa.list_(pa.int64()))], strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
-            )
-
-    return cut_
-
-
-def _sorted_parts(rows: DataFrame) -> DataFrame:
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part").sortWithinPartitions("part", "slice")
-
-
-def _table(root: str) -> str:
-    return "slices_" + root.rsplit("-", 1)[1]
-
-
-def _bucketed(rows: DataFrame, root: str) -> DataFrame:
+    """From siblings by route, hash and least id: masks of the windows that a smaller document has."""
+    for t in _groups(batches, BUCKET // WINDOW):
+        route, hashes, least = (t.column(k).to_numpy() for k in range(3))
+        pieces = t.column(5).combine_chunks()
+        pieces = pieces.chunk(0) if isinstance(pieces, pa.ChunkedArray) else pieces
+        offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+        data = np.frombuffer(pieces.buffers()[2], np.uint8)
+        new_route = np.ones(len(route), bool)
+        new_route[1:] = route[1:] != route[:-1]
+        new = new_route.copy()
+        new[1:] |= hashes[1:] != hashes[:-1]
+        group, at = np.cumsum(new_route) - 1, np.flatnonzero(new_route)
+        low, high = np.minimum.reduceat(least, at)[group], np.maximum.reduceat(least, at)[group]
+        piece = np.cumsum(new) - 1  # rows that repeat an id may send one piece twice
+        single = np.flatnonzero(new)
+        serves, asks = single[(least < high)[single]], single[(least > low)[single]]
+        if not len(asks):
+            continue
+        strings = [(_strings(data, offsets, own), offsets[own + 1] - offsets[own]) for own in (serves, asks)]
+        index = RunLengthIndex(*strings[0], least[serves], WINDOW)
+        found = index.least_of_matches(*strings[1], least[asks])
+        windows = strings[1][1] - WINDOW + 1
+        first = np.cumsum(windows) - windows
+        bit = np.arange(len(found)) - np.repeat(first, windows)
+        smaller = found < np.repeat(least[asks], windows)
+        mask = np.zeros(int(piece[-1]) + 1, np.int64)
+        mask[piece[asks]] = np.add.reduceat(np.where(smaller, np.int64(1) << bit, np.int64(0)), first)
+        some = np.flatnonzero(mask[piece])
+        if len(some):
+            yield _batch(_FOUND, t.column(3).to_numpy()[some], t.column(4).to_numpy()[some], mask[piece[some]])
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The strings ``own`` of ``data``, end to end."""
+    lengths = offsets[own + 1] - offsets[own]
+    return data[np.repeat(offsets[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+
+
+_CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.list_(pa.int64())))])
+
+
+def _covered(s: _Texts, state: bytes, found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which bytes of a slice go."""
+    raw, parts, at = _unzip(state, np.int64), [], 0
+    for _ in range(4):
+        parts.append(raw[at + 1 : at + 1 + raw[at]])
+        at += 1 + int(raw[at])
+    begin, end, first, number = parts
+    marks = np.zeros(len(s.data) + 1, np.int32)
+    np.add.at(marks, begin, 1)
+    np.add.at(marks, end, -1)
+    order = np.argsort(found[0])
+    k, masks = found[0][order], found[1][order]
+    if len(k):
+        near = np.minimum(np.searchsorted(k, number), len(k) - 1)
+        hit = np.flatnonzero(k[near] == number)
+        mask = masks[near[hit]]
+        for bit in range(int(mask.max()).bit_length() if len(mask) else 0):
+            window = first[hit[(mask >> bit) & 1 == 1]] + bit
+            np.add.at(marks, window, 1)
+            np.add.at(marks, window + WINDOW, -1)
+    return np.cumsum(marks[:-1]) > 0
+
+
+def _cut(slices: pa.Table, told: pa.Table) -> pa.Table:
+    (row,) = slices.to_pylist()
+    s = _Texts(row["ids"], row["lengths"], row["data"])
+    k, state = told.column("k").to_numpy(), told.column("piece")
+    (own,) = np.flatnonzero(k == -1).tolist()
+    others = np.flatnonzero(k >= 0)
+    gone = _covered(s, state[own].as_py(), (k[others], told.column("mask").to_numpy()[others].astype(np.int64)))
+    n, ends = len(s.data), s.starts + s.lengths
+    before = np.concatenate(([0], np.cumsum(gone)))
+    n_gone = before[ends] - before[s.starts]
+    edge = np.zeros(n + 1, bool)  # where a text begins
+    edge[s.starts] = True
+    edge[n] = True
+    last, next_ = np.concatenate(([False], gone[:-1])), np.concatenate((gone[1:], [False]))
+    begin, end = np.flatnonzero(gone & (~last | edge[:-1])), np.flatnonzero(gone & (~next_ | edge[1:])) + 1
+    text = np.searchsorted(s.starts, begin, "right") - 1
+    spans = np.bincount(text, minlength=len(s.ids)).astype(np.int64)
+    flat = np.stack((begin - s.starts[text], end - s.starts[text]), 1).reshape(-1)
+    pairs = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2), pa.int32()), pa.array(flat, pa.int64()))
+    spans_ = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(spans))), pa.int32()), pairs)
+    left = memoryview(s.data[~gone].tobytes())
+    to = np.cumsum(s.lengths - n_gone).tolist()
+    sums = [hashlib.sha256(left[a:b]).hexdigest() for a, b in zip([0, *to], to, strict=False)]
+    ids = pa.array(s.ids, pa.int64(), mask=s.ids == NO_ID)
+    return pa.Table.from_batches([_batch(_CUT, ids, s.lengths, n_gone, spans, sums, spans_)])
+
+
+def _met(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt by the first column, sorted by all."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), by[0]).sortWithinPartitions(*by)
+
+
+def _bucketed(rows: DataFrame, root: str, name: str) -> DataFrame:
     """The slices as a table bucketed by slice, so that they are shuffled in no join."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.write.format("parquet").bucketBy(n, "slice").option("compression", "none").option("path", f"{root}/slices").saveAsTable(_table(root))
-    return spark.table(_table(root))
+    rows.write.format("parquet").bucketBy(n, "slice").option("compression", "none").option("path", f"{root}/slices").saveAsTable(name)
+    return spark.table(name)
 
 
-def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int = MOST, slice_bytes: int = SLICE) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans [first, end) in bytes."""
     spark = docs.sparkSession
     root = scratch(spark, "repeats")
+    table = "slices_" + root.rsplit("-", 1)[1]
     rows = docs.select(docs[key].cast("long").alias("id"), F.encode(whole(docs[text]), "UTF-8").alias("text"))
-    rows = rows.mapInArrow(_pack, "slice long, ids binary, lengths binary, data binary, bytes long")
-    slices = _bucketed(rows, root)
-    size = slices.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    parts, buckets = max(16, size // PART_BYTES), max(16, size // BUCKET_BYTES)
-    shape = "part long, slice long, blob binary"
-
-    def gathered(rows: DataFrame, name: str) -> DataFrame:
-        """Written, then the blobs of each slice together; a slice's anchors and pieces bound their sum."""
-        rows.write.parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}").groupBy("slice").agg(F.collect_list(F.struct("part", "blob")).alias(name))
-
-    slices = slices.drop("bytes")
-    answers = gathered(_sorted_parts(slices.mapInArrow(_ask(parts), shape)).mapInArrow(_answer, shape), "answers")
-    told = slices.join(answers, "slice", "left")
-    named = gathered(_sorted_parts(told.mapInArrow(_name(parts), shape)).mapInArrow(_least, shape), "named")
-    told = told.join(named, "slice", "left")
-    found = gathered(_sorted_parts(told.mapInArrow(_send(parts, buckets), shape)).mapInArrow(_index, shape), "found")
-    told = told.join(found, "slice", "left")
-    out = saved(told.mapInArrow(_cut(parts, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"))
-    spark.sql(f"DROP TABLE IF EXISTS {_table(root)}")
-    remove(spark, root)
-    return out
+    pieces = "route long, hash long, least long, slice long, k int"
+    sent_shape, found_shape = f"kind int, {pieces}, piece binary", "slice long, k int, mask long"
+    try:
+        slices = _bucketed(rows.mapInArrow(_pack(slice_bytes), "slice long, ids binary, lengths binary, data binary"), root, table)
+
+        def named(rows: DataFrame) -> DataFrame:
+            return _met(rows, "route", "hash", "least").mapInArrow(_name(most), "slice long, k int, what int")
+
+        told = named(slices.mapInArrow(_pieces, pieces))
+        sent = slices.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(_send, sent_shape)
+        sent.write.partitionBy("kind").parquet(f"{root}/sent")
+        sent = spark.read.schema(sent_shape).parquet(f"{root}/sent")
+        state = sent.filter(F.col("kind") == _STATE).select("slice", "k", F.lit(0).cast("long").alias("mask"), "piece")
+        edges = sent.filter(F.col("kind") == _EDGE).select("route", "hash", "least", "slice", "k", "piece")
+        windows = sent.filter(F.col("kind") == _WINDOW).select("route", "hash", "least", "slice", "k")
+        masks = _met(edges, "route", "hash", "least").mapInArrow(_index, found_shape)
+        masks = masks.unionByName(named(windows).filter(F.col("what") == GONE).select("slice", "k", F.lit(1).cast("long").alias("mask")))
+        told = state.unionByName(masks.withColumn("piece", F.lit(None).cast("binary")))
+        shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
+        return saved(slices.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(_cut, shape))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(spark, root)

@@ -295,8 +295,8 @@ def test_linked_parts_at_random(spark):
 # --- repeats -----------------------------------------------------------------------------------------------------------
 
 
-def _cut(frame):
-    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeats(frame).collect())
+def _cut(frame, **how):
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeats(frame, **how).collect())
 
 
 def _passages(n=150):
@@ -307,14 +307,36 @@ def _passages(n=150):
     return [(i, make(rng.randint(0, 60)) + (shared if i % 2 else shared[: rng.randint(0, len(shared))]) + make(rng.randint(0, 30))) for i in range(n)] + [(900, None), (901, "a" * 300), (902, "a" * 200), (903, "a" * 49), (None, shared), (None, shared)]
 
 
-@pytest.mark.parametrize("most,size", [(64, 2 << 20), (1, 9000)])
-def test_repeats(spark, edge, monkeypatch, most, size):
-    """As in production, and with small slices of which two make an anchor common."""
-    monkeypatch.setattr(suffix_dedup, "MOST", most)
-    monkeypatch.setattr(suffix_dedup, "SLICE", size)
+@pytest.mark.parametrize("most,size", [(64, 4 << 20), (1, 9000), (2, 500), (0, 9000)])
+def test_repeats(spark, edge, most, size):
+    """As in production, and with small slices and windows that are sent one by one."""
     rows = _passages()
-    assert _cut(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == Counter(brute.repeats(rows))
-    assert _cut(edge) == Counter(brute.repeats(EDGE))
+    assert _cut(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), most=most, slice_bytes=size) == Counter(brute.repeats(rows))
+    assert _cut(edge, most=most, slice_bytes=size) == Counter(brute.repeats(EDGE))
+
+
+def test_repeats_of_documents(docs, plain):
+    assert _cut(docs.select("doc_id", "text"), slice_bytes=1 << 16) == Counter(brute.repeats(plain))
+
+
+def test_removed_spans(spark):
+    rows = _passages(40)
+    for r in suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id is not null").collect():
+        text = (dict(rows)[r.doc_id] or "").encode()
+        kept = b"".join(text[a:b] for a, b in zip([0, *[e for _, e in r.spans]], [*[s for s, _ in r.spans], len(text)], strict=True))
+        assert brute.sha(kept) == r.kept_sha256 and sum(e - s for s, e in r.spans) == r.n_removed
+
+
+def test_groups_are_whole():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    for _ in range(200):
+        keys = sorted(rng.randint(-5, 5) for _ in range(rng.randint(0, 30)))
+        cuts = sorted(rng.randint(0, len(keys)) for _ in range(rng.randint(0, 6)))
+        batches = [pa.RecordBatch.from_pydict({"k": pa.array(keys[a:b], pa.int64())}) for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True)]
+        got = [t.column(0).to_pylist() for t in suffix_dedup._groups(iter(batches), rng.randint(0, 8))]
+        assert sum(got, []) == keys and all(a[-1] != b[0] for a, b in zip(got, got[1:], strict=False))
 
 
 def test_repeats_empty(docs):
@@ -322,21 +344,27 @@ def test_repeats_empty(docs):
 
 
 def test_run_length_index():
+    """Matching statistics of any patterns, by brute force; places come from the samples at run ends."""
     import numpy as np
 
     from corpusloom.llm.rindex import RunLengthIndex
 
     rng = random.Random(1)
-    for _ in range(40):
-        strings = [bytes(rng.choice([0, 97, 98, 255]) for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 12))]
-        least = [rng.randint(0, 9) for _ in strings]
-        index = RunLengthIndex(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]))
-        suffixes = [([c + 1 for c in s[p:]] + [0], j) for j, s in enumerate(strings) for p in range(len(s) + 1)]
-        order = sorted(range(len(suffixes)), key=lambda k: suffixes[k])
-        assert index.order.tolist() == order and index.runs <= len(order)
-        assert [order[r] for r in index.run_row] == index.sample_first.tolist()
-        want = [min(v for v, t in zip(least, strings, strict=True) if s[p : p + 8] in t) for s in strings for p in range(len(s) - 7)]
-        assert index.least_of_matches(8, np.array(least)).tolist() == want
+    joined = lambda xs: (np.frombuffer(b"".join(xs), np.uint8), np.array([len(x) for x in xs]))
+    for _ in range(60):
+        letters = [rng.randrange(256) for _ in range(rng.choice([1, 2, 3, 300]))]
+        strings = [bytes(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 12))]
+        patterns = [bytes(rng.choice([*letters, 7]) for _ in range(rng.randint(1, 40))) for _ in range(6)] + [x[rng.randint(0, len(x) - 1) :] for x in strings]
+        least, depth = np.array([rng.randint(0, 9) for _ in strings]), rng.randint(1, 12)
+        index = RunLengthIndex(*joined(strings), least, depth)
+        assert index.runs <= index.rows == sum(len(x) + 1 for x in strings)
+        for which, at, _, place, length in index.matching_statistics(*joined(patterns)):
+            for w, a, p, n in zip(which, at, place, length, strict=True):
+                rest = patterns[w][a:]
+                assert n == max(k for k in range(len(rest) + 1) if any(rest[:k] in x for x in strings))
+                assert index.text[p : p + n].tolist() == index.code[list(rest[:n])].tolist()
+        want = [min([int(v) for v, x in zip(least, strings, strict=True) if p[i : i + depth] in x], default=99) for p in patterns for i in range(len(p) - depth + 1)]
+        assert index.least_of_matches(*joined(patterns), np.full(len(patterns), 99)).tolist() == want
 
 
 # --- WARC --------------------------------------------------------------------------------------------------------------
