@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,10 +19,12 @@ BROADCAST_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only where all run on one machine may it be unset."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not at:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="corpusloom-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(at)
@@ -39,6 +43,14 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def written(rows: DataFrame, path: str) -> None:
+    """Rows as Parquet, unless a run before has finished the same: then its files, and places in them, stay."""
+    spark = rows.sparkSession
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        rows.write.mode("overwrite").parquet(path)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
@@ -50,6 +62,57 @@ def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+#: A row's place: its file, and its number there.
+FILE, AT = "__file", "__at"
+_BITS, _BITMAP_BYTES, _PLACE_BYTES = 32768, 4300, 200
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row's place in its file.
+
+    Rows that come straight from Parquet files have theirs; others are written to the shared folder first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias") and plan.children().size() == 1:
+        plan = plan.children().apply(0)
+    straight = plan.nodeName().startswith(("LogicalRelation", "Relation")) and "parquet" in plan.toString().split("\n")[0].lower()
+    if not straight:
+        path = scratch(docs.sparkSession, "landed")
+        docs.write.parquet(path)
+        docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
+    return docs.withColumns({FILE: F.col("_metadata.file_path"), AT: F.col("_metadata.row_index")})
+
+
+def at_places(rows: DataFrame, marks: DataFrame, n: int, inside: bool = True) -> DataFrame:
+    """The located ``rows`` at the ``n`` places of ``marks``, or (``inside`` false) all others. No other row is shuffled.
+
+    Few marks are broadcast as they are. More of them become bitmaps, a bit for each row of a file, which are broadcast
+    for as many files at a time as BROADCAST_BYTES hold; each file is still read once.
+    """
+    marks = marks.select(F.col(FILE).alias("__f"), F.col(AT).alias("__a"))
+    if n * _PLACE_BYTES <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(marks), (F.col(FILE) == F.col("__f")) & (F.col(AT) == F.col("__a")), "left_semi" if inside else "left_anti")
+    number = F.col("__a") + 1
+    maps = saved(marks.groupBy("__f", F.bitmap_bucket_number(number).alias("__b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("__bits")))
+    groups, size = [[]], 0
+    for f, k in sorted(maps.groupBy("__f").count().collect()):  # as many as there are files
+        if groups[-1] and (size + k) * _BITMAP_BYTES > BROADCAST_BYTES:
+            groups.append([])
+            size = 0
+        groups[-1].append(f)
+        size += k
+    # a byte of the bitmap as two hexadecimal digits, and a bit of it
+    bit = F.expr(f"(conv(hex(substring(__bits, cast(({AT} % {_BITS}) div 8 as int) + 1, 1)), 16, 10) >> cast({AT} % 8 as int)) & 1")
+    parts = []
+    for files in groups:
+        side = F.broadcast(maps.filter(F.col("__f").isin(files)))
+        found = rows.filter(F.col(FILE).isin(files)).join(side, (F.col(FILE) == F.col("__f")) & (F.bitmap_bucket_number(F.col(AT) + 1) == F.col("__b")), "inner" if inside else "left")
+        parts.append(found.filter((bit == 1) if inside else F.coalesce(bit == 0, F.lit(True))).drop("__f", "__b", "__bits"))
+    if not inside:
+        parts.append(rows.filter(~F.col(FILE).isin([f for files in groups for f in files])))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import boxed, saved, small, through, whole
+from .common import AT, FILE, at_places, located, saved, through, whole
 from .components import components
 from .fingerprint import simhash
 
@@ -49,14 +49,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _work():
-    return lambda texts: [pa.array(np.frombuffer(b"".join([simhash(t) for t in texts]), ">i8").astype(np.int64))]
+def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", *own: str) -> DataFrame:
+    """(doc_id, own columns, fp) for each row, fp as a signed long."""
 
+    def work():
+        return lambda texts: [pa.array(np.frombuffer(b"".join([simhash(t) for t in texts]), ">i8").astype(np.int64))]
 
-def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, fp) for each row, fp as a signed long."""
-
-    return through(docs, [docs[key].alias("doc_id")], whole(docs[text]), _work, StructType([StructField("fp", LongType())]))
+    return through(docs, [docs[key].alias("doc_id"), *own], whole(docs[text]), work, StructType([StructField("fp", LongType())]))
 
 
 def embedding(fp: Column) -> Column:
@@ -182,9 +181,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, most: int = MOST_IN_CELL, bl
     return pairs.unionByName(_met(words, "word").mapInArrow(_stars, "a long, b long"))
 
 
-def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, root, least) for each row: its class, told by a fingerprint, and the smallest id of the fingerprint."""
-    rows = saved(fingerprints(docs, text, key))
+def _grouped(rows: DataFrame, distance: int) -> DataFrame:
+    """Rows (doc_id, fp and others) with root, which tells their class, and least, the smallest id of their fingerprint."""
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = saved(components(links(distinct, distance)))
     named = saved(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"))
@@ -193,31 +191,19 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", distance:
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest id of its class)."""
-    rows = grouped(docs, text, key, distance)
+    rows = _grouped(saved(fingerprints(docs, text, key)), distance)
     ids = saved(rows.groupBy("root").agg(F.min("least").alias("component_id")))
     return rows.join(ids, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each class, columns as they were: that of the smallest id, null ids last.
+    """``docs`` with one row of each class, columns as they were: that of the smallest id, null ids last, then the first place.
 
-    Rows are told by id, and where rows share one by fingerprint as well; of rows that share both one stays.
+    Rows are told by their places, so that those which share an id are judged each by its own text.
     """
-    pairs = saved(grouped(docs, text, key, distance).groupBy("doc_id", "fp", "root").agg(F.count(F.lit(1)).alias("n")))
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")
-    best = pairs.groupBy("root").agg(F.min(first).alias("best"))
-    pairs = pairs.join(best, "root").select("doc_id", "fp", "n", first.eqNullSafe(F.col("best")).alias("stays"))
-    per_id = saved(pairs.groupBy("doc_id").agg(F.sum("n").alias("rows"), F.max("stays").alias("stays")).filter("rows > 1 or not stays"))
-    n = per_id.count()
-    out = docs.join(small(per_id.select(F.col("doc_id").alias("__id")), n, 40), docs[key].eqNullSafe(F.col("__id")), "left_anti")
-    shared = saved(per_id.filter("rows > 1 and stays"))
-    n = shared.count()
-    if not n:
-        return out
-    # rows of an id that others have as well: their fingerprints are made again, and tell those that stay
-    again = docs.join(small(shared.select(F.col("doc_id").alias("__id")), n, 40), docs[key].eqNullSafe(F.col("__id")), "left_semi")
-    again = again.select(boxed(docs).alias("__doc"), again[key].alias("doc_id"), again[text].alias("text"))
-    again = through(again, [F.col("__doc"), F.col("doc_id").alias("__id")], whole(F.col("text")), _work, StructType([StructField("__fp", LongType())]))
-    kept = saved(pairs.filter("stays").select(F.col("doc_id").alias("__k"), "fp"))
-    again = again.join(small(kept, kept.count(), 40), F.col("__id").eqNullSafe(F.col("__k")) & (F.col("__fp") == F.col("fp")), "left_semi")
-    return out.unionByName(again.dropDuplicates(["__id", "__fp"]).select("__doc.*"))
+    content = located(docs)
+    rows = _grouped(saved(fingerprints(content, text, key, FILE, AT)), distance)
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", FILE, AT)
+    best = rows.groupBy("root").agg(F.min(first).alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    gone = saved(rows.join(best, "root").filter(F.struct(FILE, AT) != F.struct(f"best.{FILE}", f"best.{AT}")).select(FILE, AT))
+    return at_places(content, gone, gone.count(), inside=False).drop(FILE, AT)

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, mixing, pieces, pii, quality, secrets, simhash_dedup, suffix_dedup, urls, warc
+from corpusloom.llm import common, exact_dedup, mixing, pieces, pii, quality, secrets, simhash_dedup, suffix_dedup, urls, warc
 from corpusloom.llm.components import components
 
 from . import brute
@@ -78,16 +78,36 @@ def test_exact_keep_first(docs, plain, edge):
     assert exact_dedup.decide(docs.limit(0)).count() == 0
 
 
-def test_exact_state_goes_on(spark, docs, tmp_path):
-    """A second run with the same folders goes on from the first one's state."""
-    records = exact_dedup.records(docs)
-    schema = records.schema
-    for day in range(2):
-        records.filter(F.col("doc_id") % 2 == day).write.parquet(f"{tmp_path}/in/day{day}")
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
-        exact_dedup.update_state(spark, stream, f"{tmp_path}/state", f"{tmp_path}/changes")
-    state = exact_dedup.current_state(spark, f"{tmp_path}/changes")
-    assert state.agg(F.sum("n"), F.count("digest")).first() == (docs.count(), records.select("digest").distinct().count())
+@pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda t: F.substring(exact_dedup.sha256(t), 1, 1)])
+def test_exact_state_goes_on(spark, docs, plain, edge, tmp_path, digest):
+    """Days one after the other give what one batch gives, with clashing digests too; nothing is counted twice."""
+    both = docs.select("doc_id", "text").unionByName(edge.select("doc_id", "text"))
+    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(3))
+    for day in (0, 1, 2, 2):
+        exact_dedup.add(both.filter(key == day), f"file://{tmp_path}/store", f"day{day}", digest=digest)
+    got = exact_dedup.decisions(spark, f"file://{tmp_path}/store").collect()
+    rows = plain + EDGE
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == _groups(rows)
+    assert sum(r.kept for r in got) == len({brute.re.sub(r"[\x20\x09-\x0D]", "", t or "") for _, t in rows})
+
+
+def test_only_hits_move(spark, data, docs, plain, tmp_path, monkeypatch):
+    """Where the hits are too many to broadcast, bitmaps of their places are, and no other text is shuffled."""
+    files = f"{tmp_path}/many"
+    docs.repartition(5).write.parquet(files)
+    many = spark.read.parquet(files)
+    want = Counter(exact_dedup.keep_first(many).select("doc_id").collect())
+    near = Counter(simhash_dedup.keep_first(many).select("doc_id").collect())
+    for size in (0, 10_000):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", size)
+        monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", size)
+        kept = exact_dedup.keep_first(many)
+        assert Counter(kept.select("doc_id").collect()) == want and Counter(simhash_dedup.keep_first(many).select("doc_id").collect()) == near
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan.replace("hashpartitioning(__f", "")
+    marks = common.located(many).filter("doc_id % 3 = 0").select(common.FILE, common.AT)
+    assert common.at_places(common.located(many), marks, 1 << 40).filter("doc_id % 3 != 0").count() == 0
+    assert common.at_places(common.located(many), marks, 1 << 40).count() == marks.count()
 
 
 # --- mixing ------------------------------------------------------------------------------------------------------------
