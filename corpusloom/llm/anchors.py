@@ -101,4 +101,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: in
         last = np.minimum(last, ends[text] - window)
     else:
         last = first
-    return np.concatenate(hashes), first, last
+    h = np.concatenate(hashes)  # the least of many are small: spread them over all numbers again
+    h = (h ^ (h >> np.uint64(32))) * _D
+    h = (h ^ (h >> np.uint64(29))) * _C
+    return h ^ (h >> np.uint64(32)), first, last

@@ -1,23 +1,27 @@
 """Long repeats across documents, by run-length indexes over content-defined pieces.
 
 A byte goes if a string of WINDOW bytes that covers it also starts in a document of a smaller id. The corpus is packed
-into compressed slices of about SLICE bytes in a bucketed table; what is learned about a slice travels as rows of fixed
-width, which Spark shuffles, sorts and spills:
+into compressed slices of about SLICE bytes in a bucketed table, and what is learned about a slice travels:
 
 1. Parsing: every window has its least gram; windows of the same anchor are consecutive and make a piece (about 63
-   bytes). Equal windows have equal anchors. Each slice sends its distinct pieces, as 64 bits of the anchor's hash, 64
-   of the piece's own, and the least document. It gets back which of them a smaller document has elsewhere; their
-   copies in the slice all go. Of the others it learns whether their anchor has other pieces: siblings, the edges of
-   repeats, which may still share windows.
-2. Indexing: the slice that holds the first document of a sibling sends its bytes, once, to the bucket of the anchor.
+   bytes). Equal windows have equal anchors, so an anchor that no other slice has needs no more. Each slice sends the
+   leading bits of its anchors' hashes, as many as make chance meetings rare at the corpus's counted size, sorted and
+   as differences; it gets back a bit for each.
+2. Naming: of anchors with company, each slice sends its distinct pieces as rows of fixed width: 64 bits of the
+   anchor's hash, 64 of the piece's own, and the least document. It gets back which of them a smaller document has
+   elsewhere; their copies in the slice all go. Of the others it learns whether their anchor has other pieces:
+   siblings, the edges of repeats, which may still share windows.
+3. Indexing: the slice that holds the first document of a sibling sends its bytes, once, to the bucket of the anchor.
    A bucket builds a run-length index over pieces that may serve others, streams those that others may serve through
    it, and where the matching statistic reaches WINDOW, the interval of rows gives the least document that has the
    window. What goes back is a mask of windows.
-3. Cutting: each slice removes what its pieces and masks cover.
+4. Cutting: each slice removes what its pieces and masks cover.
 
 Skew: a slice sends a piece once however often it occurs there, and as bytes only if it has the first document. An
 anchor of more than MOST pieces (the edge of a passage found everywhere, with as many continuations) isn't indexed: its
-pieces' windows are sent by two hashes of 64 bits of their own, and settled like pieces in step 1.
+pieces' windows are sent by two hashes of 64 bits of their own, and settled like pieces in step 2. Steps 2 and 3 are
+Spark's shuffles of rows, which spill; of step 1, there are never more blobs than anchors, and a part holds those of
+PART_BYTES of text.
 
 Identity: pieces and single windows are told apart by 128 bits, as in the hashed parse from which such transforms are
 built; what the index compares are the bytes.
@@ -43,8 +47,8 @@ from .anchors import WINDOW, anchors, string_hashes, words_at
 from .common import remove, saved, scratch, whole
 from .rindex import RunLengthIndex
 
-#: Bytes of a slice and of a bucket's pieces; pieces of an anchor that are indexed.
-SLICE, BUCKET, MOST = 4 << 20, 2 << 20, 64
+#: Bytes of a slice, of a bucket's pieces, and of the text for each part of the anchors; pieces of an anchor that are indexed.
+SLICE, BUCKET, PART_BYTES, MOST = 2 << 20, 2 << 20, 128 << 20, 4096
 NO_ID = np.iinfo(np.int64).max
 GONE, SIBLING, WIDE = 0, 1, 2
 
@@ -68,7 +72,7 @@ def _blobs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Arra
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(data[at])])
 
 
-_PACKED = pa.schema([("slice", pa.int64()), ("ids", pa.binary()), ("lengths", pa.binary()), ("data", pa.binary())])
+_PACKED = pa.schema([("slice", pa.int64()), ("ids", pa.binary()), ("lengths", pa.binary()), ("data", pa.binary()), ("bytes", pa.int64())])
 
 
 def _pack(size: int):
@@ -78,7 +82,7 @@ def _pack(size: int):
         ids, texts, filled = [], [], 0
 
         def slice_() -> pa.RecordBatch:
-            return _batch(_PACKED, [(task << 32) | k], [_zip(np.array(ids, np.int64))], [_zip(np.array([len(t) for t in texts], np.int64))], [_zip(b"".join(texts))])
+            return _batch(_PACKED, [(task << 32) | k], [_zip(np.array(ids, np.int64))], [_zip(np.array([len(t) for t in texts], np.int64))], [_zip(b"".join(texts))], [filled])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -132,17 +136,83 @@ def _distinct(route: np.ndarray, hashes: np.ndarray, ids: np.ndarray) -> tuple[n
     return which, order[first], np.minimum.reduceat(ids[order], first) if len(first) else ids
 
 
+_BLOBS = pa.schema([("part", pa.int32()), ("slice", pa.int64()), ("blob", pa.binary())])
+
+
+def _keys(route: np.ndarray, bits: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted hashes: the distinct leading ``bits``, the number of each one's, and where each part begins."""
+    keys = route >> np.uint64(64 - bits)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    keys = keys[new]
+    edges = [((p << bits) + parts - 1) // parts for p in range(1, parts)]  # parts are ranges of keys
+    return keys, np.cumsum(new) - 1, np.concatenate(([0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]))
+
+
+def _planes(keys: np.ndarray) -> bytes:
+    """Sorted numbers as differences, their bytes by rank, so that the leading zeros lie together."""
+    raw = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return _zip(raw)
+
+
+def _from_planes(blob: bytes) -> np.ndarray:
+    raw = _unzip(blob, np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
+def _ask(bits: int, parts: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                s = _Texts(row["ids"], row["lengths"], row["data"])
+                keys, _, cut = _keys(np.sort(anchors(s.data, s.starts)[0]), bits, parts)
+                some = np.flatnonzero(np.diff(cut)).tolist()
+                if some:
+                    yield _batch(_BLOBS, np.array(some, np.int32), np.full(len(some), row["slice"]), [_planes(keys[cut[p] : cut[p + 1]]) for p in some])
+
+    return ask
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each slice's keys of a part a bit, set if another slice has it too."""
+    for t in _groups(batches):
+        keys = [_from_planes(b.as_py()) for b in t.column(2)]
+        sizes = np.array([len(k) for k in keys])
+        every = np.concatenate(keys)
+        order = np.argsort(every)
+        ordered = every[order]
+        alike = np.zeros(len(every), bool)
+        alike[1:] = ordered[1:] == ordered[:-1]
+        alike[:-1] |= alike[1:]
+        shared = np.empty(len(every), bool)
+        shared[order] = alike
+        bits = [np.packbits(x).tobytes() for x in np.split(shared, np.cumsum(sizes)[:-1])]
+        yield _batch(_BLOBS, t.column(0).to_numpy(), t.column(1).to_numpy(), bits)
+
+
 _PIECES = pa.schema([("route", pa.int64()), ("hash", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32())])
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            s = _Slice(row["ids"], row["lengths"], row["data"])
-            n = len(s.least)
-            for a in range(0, n, 1 << 16):
-                b = min(n, a + (1 << 16))
-                yield _batch(_PIECES, s.route[a:b].view(np.int64), s.hash[a:b].view(np.int64), s.least[a:b], np.full(b - a, row["slice"]), np.arange(a, b, dtype=np.int32))
+def _pieces(bits: int, parts: int):
+    def pieces(slices: pa.Table, answers: pa.Table) -> pa.Table:
+        """The distinct pieces of a slice whose anchors have company, or that have siblings in the slice itself."""
+        (row,) = slices.to_pylist()
+        s = _Slice(row["ids"], row["lengths"], row["data"])
+        order = np.argsort(s.route)
+        route = s.route[order]
+        keys, number, cut = _keys(route, bits, parts)
+        shared = np.zeros(len(keys), bool)
+        for p, blob in zip(answers.column("part").to_pylist(), answers.column("blob"), strict=True):
+            shared[cut[p] : cut[p + 1]] = np.unpackbits(np.frombuffer(blob.as_buffer(), np.uint8), count=int(cut[p + 1] - cut[p]))
+        company = np.zeros(len(route), bool)
+        company[:-1] = route[1:] == route[:-1]
+        company[1:] |= company[:-1]
+        company |= shared[number]
+        company[order] = company.copy()
+        some = np.flatnonzero(company)
+        return pa.Table.from_batches([_batch(_PIECES, s.route[some].view(np.int64), s.hash[some].view(np.int64), s.least[some], np.full(len(some), row["slice"]), some.astype(np.int32))])
+
+    return pieces
 
 
 def _groups(batches: Iterator[pa.RecordBatch], least: int = 0) -> Iterator[pa.Table]:
@@ -213,8 +283,11 @@ def _send(slices: pa.Table, told: pa.Table) -> pa.Table:
     owner = np.repeat(s.id[wide], each)
     which, some, least = _distinct(*lanes, owner)
     surely = least[which] < owner  # a smaller document of this very slice
-    ranges = [(s.first[sure], s.last[sure] + WINDOW), (place[surely], place[surely] + WINDOW)]
-    state = [np.concatenate([r[k] for r in ranges]) for k in (0, 1)]
+    begin = np.sort(np.concatenate((s.first[sure], place[surely])))
+    end = np.sort(np.concatenate((s.last[sure], place[surely]))) + WINDOW
+    apart = np.ones(len(begin) + 1, bool)  # ranges that touch become one
+    apart[1:-1] = begin[1:] > end[:-1]
+    state = [begin[apart[:-1]], end[apart[1:]]]
     state += [np.concatenate((s.first[open_], place[~surely])), np.concatenate((s.which[open_], len(s.least) + which[~surely]))]
     blob = b"".join(np.array([len(x)], np.int64).tobytes() + x.astype(np.int64).tobytes() for x in state)
     n, none = row["slice"], lambda m: pa.nulls(m, pa.int64())
@@ -340,15 +413,19 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int
     root = scratch(spark, "repeats")
     table = "slices_" + root.rsplit("-", 1)[1]
     rows = docs.select(docs[key].cast("long").alias("id"), F.encode(whole(docs[text]), "UTF-8").alias("text"))
-    pieces = "route long, hash long, least long, slice long, k int"
+    pieces, blobs = "route long, hash long, least long, slice long, k int", "part int, slice long, blob binary"
     sent_shape, found_shape = f"kind int, {pieces}, piece binary", "slice long, k int, mask long"
     try:
-        slices = _bucketed(rows.mapInArrow(_pack(slice_bytes), "slice long, ids binary, lengths binary, data binary"), root, table)
+        slices = _bucketed(rows.mapInArrow(_pack(slice_bytes), "slice long, ids binary, lengths binary, data binary, bytes long"), root, table)
+        size = slices.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+        slices = slices.drop("bytes")
+        parts, bits = max(16, size // PART_BYTES), min(64, max(16, (size // 8).bit_length() + 8))
 
         def named(rows: DataFrame) -> DataFrame:
             return _met(rows, "route", "hash", "least").mapInArrow(_name(most), "slice long, k int, what int")
 
-        told = named(slices.mapInArrow(_pieces, pieces))
+        answers = _met(slices.mapInArrow(_ask(bits, parts), blobs), "part").mapInArrow(_answer, blobs)
+        told = named(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_pieces(bits, parts), pieces))
         sent = slices.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(_send, sent_shape)
         sent.write.partitionBy("kind").parquet(f"{root}/sent")
         sent = spark.read.schema(sent_shape).parquet(f"{root}/sent")
