@@ -1,8 +1,12 @@
 """SentencePiece encoding and decoding with offsets.
 
 Text is normalised by longest prefixes of the model's compiled character map, and for each normalised byte the source
-byte it came from is kept. The sentencepiece library gives the ids; with byte fallback their pieces tile the normalised
-text, so running sums of piece lengths, looked up in the alignment, project every piece to a span of original bytes.
+byte it came from is kept. The sentencepiece library gives the ids; their pieces tile the normalised text, so running
+sums of piece lengths, looked up in the alignment, project every piece to a span of original bytes. With byte fallback
+an id tells its piece's length; without it, an unknown piece has that of its surface, which the library gives too. A
+model without a character map, as the query's, has the identity as its alignment.
+
+The model is named or given by a path that workers have, and opened there.
 
 Each row is encoded by itself in Arrow batches: no shuffle, and memory bounded by a batch. Defined cases: a null text
 counts as empty and has the end id only; ids may be null and rows repeated; very long texts are not cut; other columns
@@ -148,7 +152,7 @@ class Encoder:
         #: Normalised bytes that each id stands for; the end id stands for none.
         self.lengths = np.array([1 if p.type == byte else len(p.piece.encode()) for p in proto.pieces], np.int64)
         self.lengths[self.eos] = 0
-        self.tiles = proto.trainer_spec.byte_fallback
+        self.fallback = proto.trainer_spec.byte_fallback
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [[*x, self.eos] for x in self.sp.encode(texts, num_threads=1)]
@@ -159,18 +163,21 @@ class Encoder:
     def bounds(self, text: str, ids: list[int]) -> np.ndarray:
         """Original bytes at which the pieces begin, and the end: piece k is ``bounds[k]:bounds[k + 1]``."""
         source = self.normaliser.source(text)
-        ends = np.cumsum(self.lengths[ids])
-        if not self.tiles or ends[-1] != len(source) - 1:
-            raise ValueError("pieces don't tile the normalised text; spans need a model with byte fallback")
+        if self.fallback:
+            lengths = self.lengths[ids]
+        else:
+            lengths = np.array([*(len(p.piece.encode()) for p in self.sp.encode(text, return_type="proto").pieces), 0], np.int64)
+        ends = np.cumsum(lengths)
+        if ends[-1] != len(source) - 1:
+            raise ValueError("pieces don't tile the normalised text")
         return np.concatenate(([source[0]], source[ends]))
 
 
 def encode(docs: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
     """``docs`` with ``ids``, ``bounds`` (original byte at which each id's span begins, then the end) and ``decoded``."""
-    path = model or model_file()
 
     def work():
-        coder = Encoder(path)
+        coder = Encoder(model or model_file())
 
         def job(texts: list[str]) -> list[pa.Array]:
             ids = coder.ids(texts)
@@ -197,4 +204,5 @@ def digest(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.element_at("bounds", -1) - F.element_at("bounds", 1)).alias("covered_bytes"),
+        F.sha2(F.array_join("bounds", " "), 256).alias("bounds_sha256"),
     )

@@ -17,7 +17,7 @@ from .common import WS, boxed, whole, words_of
 
 SYMBOLS = "#*$%&|<>"
 
-#: Frequent function words of the languages that the corpus has.
+#: Frequent function words of the languages that the corpus has, in lower case.
 STOP_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "on", "with", "as", "be", "by", "at", "this", "are", "from", "an"],
     "fr": ["le", "la", "les", "de", "des", "et", "un", "une", "du", "que", "est", "pour", "dans", "sur", "en", "au", "avec", "pas", "ce", "il"],
@@ -30,7 +30,7 @@ THRESHOLDS = [
     ("mean_word_length", "word_chars", "n_words", 2.0, 14.0),
     ("longest_word", "longest_word", None, None, 1000.0),
     ("symbols_per_word", "n_symbols", "n_words", None, 0.1),
-    ("stop_words", "n_stop_words", None, 2.0, None),
+    ("stop_words", "n_stop_words", "n_words", 0.02, None),
     ("duplicate_lines", "n_dup_lines", "n_lines", None, 0.5),
 ]
 
@@ -99,7 +99,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
                 "n_lines": F.size(lines).cast("long"),
                 "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
                 "n_repeat_words": F.when(F.col("__row") >= 0, _repeat_words(words, F.col("__a"))).cast("long"),
-                "n_stop_words": F.size(F.filter(words, lambda w: w.isin(stop))).cast("long"),
+                "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(stop))).cast("long"),
                 "longest_word": F.coalesce(F.array_max(F.transform(words, lambda w: F.length(w))), F.lit(0)).cast("long"),
             }
         )

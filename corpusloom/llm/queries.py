@@ -128,11 +128,11 @@ ORACLE_SQL: dict[str, str] = {
         cov AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) v(k) GROUP BY r),
         m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
                 length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines,
-                coalesce(n, 0) AS n_repeat_words, len(list_filter(ws, lambda x: x IN ({_STOP}))) AS n_stop, coalesce(list_max(list_transform(ws, lambda x: length(x))), 0) AS longest
+                coalesce(n, 0) AS n_repeat_words, len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS n_stop, coalesce(list_max(list_transform(ws, lambda x: length(x))), 0) AS longest
               FROM w LEFT JOIN cov USING (r)),
         b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-            NOT base_failed AND word_chars / n_words >= 2 AND word_chars / n_words <= 14 AND longest <= 1000 AND n_symbols / n_words <= 0.1 AND n_stop >= 2 AND n_dup_lines / n_lines <= 0.5 AS kept
+            NOT base_failed AND word_chars / n_words >= 2 AND word_chars / n_words <= 14 AND longest <= 1000 AND n_symbols / n_words <= 0.1 AND n_stop / n_words >= 0.02 AND n_dup_lines / n_lines <= 0.5 AS kept
         FROM b""",
     "op9_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),

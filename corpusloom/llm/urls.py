@@ -1,12 +1,14 @@
 """URL filters: a trie over reversed host labels and path segments, broadcast, longest match first.
 
 Hosts and paths are cut out by Spark expressions; distinct batches of them walk the trie in an Arrow function. The trie
-is broadcast because its size is proven when it is built: at most MAX_RULES entries of at most MAX_RULE_BYTES. Longer
-rule lists go through :func:`judge_by_join`, which explodes each URL into its possible keys and joins.
+is broadcast if its size is proven when it is built: no more than MAX_NODES nodes and rules, of no more than MAX_BYTES of
+text. Larger rule lists go by themselves through :func:`judge_by_join`, which looks up each URL's host suffixes and path
+segments as keys of a join.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and gets the default verdict; an empty host
-matches no rule; repeated rows are judged one by one; an empty table gives an empty result; clashing names of other
-columns don't matter, as only the id and the URL are read.
+matches no rule; a null path of a rule is empty, a rule without a host or verdict is none; repeated rows are judged one
+by one; an empty table gives an empty result; clashing names of other columns don't matter, as only the id and the URL
+are read.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower
 
-MAX_RULES, MAX_RULE_BYTES = 100_000, 200
+MAX_NODES, MAX_BYTES = 100_000, 4 << 20
 DEFAULT = "allow"
 
 
@@ -40,20 +42,30 @@ def _node() -> dict:
     return {"labels": {}, "segments": {}, "tails": {}}
 
 
-def build(rules: Iterable[Rule]) -> dict:
-    """The trie, in plain dictionaries so that any worker can read the broadcast."""
+def build(rules: Iterable[Rule], max_nodes: int = MAX_NODES, max_bytes: int = MAX_BYTES) -> dict | None:
+    """The trie, in plain dictionaries so that any worker can read the broadcast; None if it exceeds the bounds."""
     root = _node()
-    for n, rule in enumerate(rules):
-        if n >= MAX_RULES or len(rule.text.encode()) > MAX_RULE_BYTES:
-            raise ValueError("too large a rule list to broadcast; use judge_by_join")
+    nodes = size = 0
+
+    def under(children: dict, name: str) -> dict:
+        nonlocal nodes
+        if name not in children:
+            children[name] = _node()
+            nodes += 1
+        return children[name]
+
+    for rule in rules:
         node = root
         for label in reversed(rule.host.split(".")):
-            node = node["labels"].setdefault(label, _node())
+            node = under(node["labels"], label)
         *full, tail = rule.path.split("/")
         for segment in full:
-            node = node["segments"].setdefault(segment, _node())
+            node = under(node["segments"], segment)
         if node["tails"].get(tail, ("", ""))[1] != "block":  # of an allow and a block entry of the same text, block holds
             node["tails"][tail] = (rule.text, rule.verdict)
+        nodes, size = nodes + 1, size + len(rule.text.encode())
+        if nodes > max_nodes or size > max_bytes:
+            return None
     return root
 
 
@@ -88,9 +100,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def judge(pages: DataFrame, rules: Iterable[Rule], key: str = "page_id", url: str = "url", default: str = DEFAULT) -> DataFrame:
+def judge(pages: DataFrame, rules: Iterable[Rule], key: str = "page_id", url: str = "url", default: str = DEFAULT, max_nodes: int = MAX_NODES) -> DataFrame:
     """page_id, host, path, rule (null if none fits), verdict."""
-    trie = pages.sparkSession.sparkContext.broadcast(build(rules))
+    rules = list(rules)
+    root = build(rules, max_nodes)
+    if root is None:
+        rows = pages.sparkSession.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+        return judge_by_join(pages, rows, key, url, default)
+    trie = pages.sparkSession.sparkContext.broadcast(root)
 
     @F.pandas_udf("struct<rule string, verdict string>")
     def look(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -104,11 +121,22 @@ def judge(pages: DataFrame, rules: Iterable[Rule], key: str = "page_id", url: st
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = DEFAULT) -> DataFrame:
-    """The same for a rule table (verdict, host, path) of any size: each URL looks up its host suffixes, and paths are compared."""
-    cut = pages.select(F.monotonically_increasing_id().alias("row"), pages[key].alias("page_id"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"))
-    labels = F.split("host", r"\.", -1)
+    """The same for a rule table (verdict, host, path) of any size.
+
+    A rule's key is its host and the whole segments of its path. Rules of one key become one row with the last, open
+    segments of all of them, and distinct (host, path) look up the keys that they may have, so that a host of many pages,
+    or of many rules, meets each key once.
+    """
+    parts = F.split(F.coalesce("path", F.lit("")), "/", -1)
+    keyed = rules.filter("host is not null and verdict is not null").select("host", F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("full"), F.size(parts).alias("n"), F.element_at(parts, -1).alias("tail"), "verdict")
+    tails = keyed.groupBy(F.col("host").alias("r_host"), F.col("full").alias("r_full"), F.col("n").alias("r_n")).agg(F.collect_set(F.struct("tail", "verdict")).alias("tails"))
+    cut = pages.select(pages[key].alias("page_id"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"))
+    labels, segments = F.split("host", r"\.", -1), F.split("path", "/", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    r = rules.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
-    fits = cut.withColumn("suffix", F.explode(suffixes)).join(r, (F.col("suffix") == F.col("r_host")) & F.col("path").startswith(F.col("r_path")))
-    best = fits.groupBy("row").agg(F.max(F.struct(F.length("r_host").alias("h"), F.length("r_path").alias("p"), (F.col("r_verdict") == "block").alias("b"), F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
-    return cut.join(best, "row", "left").select("page_id", "host", "path", "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    fulls = F.transform(F.sequence(F.lit(1), F.size(segments)), lambda i: F.struct(F.array_join(F.slice(segments, F.lit(1), i - 1), "/").alias("full"), i.alias("n"), F.get(segments, i - 1).alias("segment")))
+    asked = cut.select("host", "path").distinct().withColumn("suffix", F.explode(suffixes)).withColumn("f", F.explode(fulls)).select("host", "path", "suffix", "f.*")
+    fits = asked.join(tails, (F.col("suffix") == F.col("r_host")) & (F.col("full") == F.col("r_full")) & (F.col("n") == F.col("r_n"))).withColumn("t", F.explode(F.filter("tails", lambda t: F.col("segment").startswith(t["tail"]))))
+    path = F.concat("full", F.when(F.col("n") > 1, "/").otherwise(""), F.col("t.tail"))
+    rank = F.struct(F.length("suffix").alias("h"), F.length(path).alias("p"), (F.col("t.verdict") == "block").alias("b"), F.concat("suffix", path).alias("rule"), F.col("t.verdict").alias("verdict"))
+    best = fits.groupBy(F.col("host").alias("b_host"), F.col("path").alias("b_path")).agg(F.max(rank).alias("best"))
+    return cut.join(best, (F.col("host") == F.col("b_host")) & (F.col("path") == F.col("b_path")), "left").select("page_id", "host", "path", "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

@@ -1,4 +1,4 @@
-"""WARC archives: written with revisit records, read back by boundary-chain verification.
+"""WARC archives (1.1, uncompressed, HTTP/1.1 responses): written with revisit records, read back by boundary-chain verification.
 
 Writing: each row becomes one record; Spark's text writer puts the records of a task into one file, with the record
 end as its line end. Equal payloads of MIN_REVISIT bytes or more are stored once; the least id of a digest is found by

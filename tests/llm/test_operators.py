@@ -160,11 +160,26 @@ def test_urls(spark):
     want = {k: _rule_by_hand(u) for k, u in enumerate(URLS)}
     got = {r.page_id: tuple(r)[1:] for r in urls.judge(frame, RULES).collect()}
     assert got == want
-    table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in RULES], "verdict string, host string, path string")
-    assert {r.page_id: tuple(r)[1:] for r in urls.judge_by_join(frame, table).collect()} == want
-    assert urls.judge(frame.limit(0), RULES).count() == 0
-    with pytest.raises(ValueError):
-        urls.build([urls.Rule("allow", "x" * 300)])
+    table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in RULES] + [("block", None, "/"), (None, "com", "/de/x"), ("block", "org", None)], "verdict string, host string, path string")
+    by_join = {r.page_id: tuple(r)[1:] for r in urls.judge_by_join(frame, table.filter("path is not null")).collect()}
+    assert by_join == want
+    assert {r.page_id: r.verdict for r in urls.judge_by_join(frame, table).collect()}[3] == "block"
+    assert urls.judge(frame.limit(0), RULES).count() == urls.judge_by_join(frame.limit(0), table).count() == 0
+    assert {r.verdict for r in urls.judge_by_join(frame, table.limit(0)).collect()} == {r.verdict for r in urls.judge(frame, []).collect()} == {"allow"}
+
+
+def test_urls_beyond_the_bound(spark):
+    """A list too large for a broadcast goes through the join by itself; rules and URLs at random."""
+    rng = random.Random(9)
+    frame = spark.createDataFrame([(k, u, "c", "c") for k, u in enumerate(URLS)], "page_id long, url string, host string, rule string")
+    assert urls.build(RULES, max_nodes=5) is None and urls.build([urls.Rule("allow", "x" * 300)], max_bytes=200) is None
+    assert {r.page_id: tuple(r)[1:] for r in urls.judge(frame, RULES, max_nodes=5).collect()} == {k: _rule_by_hand(u) for k, u in enumerate(URLS)}
+    host = lambda: ".".join(rng.choice("ab") for _ in range(rng.randint(1, 3)))
+    path = lambda: "".join(rng.choice(["/", "x", "xy", "/z"]) for _ in range(rng.randint(0, 4)))
+    rules = [urls.Rule(rng.choice(["allow", "block"]), host(), rng.choice(["", "/"]) + path()) for _ in range(40)]
+    frame = spark.createDataFrame([(k, f"http://{host()}/{path()}") for k in range(300)], "page_id long, url string")
+    rows = Counter(map(tuple, urls.judge(frame, rules).collect()))
+    assert rows == Counter(map(tuple, urls.judge(frame, rules, max_nodes=1).collect())) and len({r[3] for r in rows}) > 10
 
 
 # --- SimHash -----------------------------------------------------------------------------------------------------------
@@ -241,9 +256,43 @@ def test_pieces(docs, edge):
         for r in pieces.encode(frame.select("doc_id", "text")).collect():
             t = r.text or ""
             assert r.ids == sp.encode(t, add_eos=True) and r.decoded == sp.decode(r.ids)
-            assert len(r.bounds) == len(r.ids) + 1 and r.bounds[-1] == len(t.encode()) and r.bounds == sorted(r.bounds)
+            assert r.bounds == [*(p.begin for p in sp.encode(t, return_type="proto").pieces), len(t.encode()), len(t.encode())]
     assert set(edge.columns) - {"ids"} < set(pieces.encode(edge).columns)
     assert pieces.digest(docs.limit(0)).count() == 0
+    for r in pieces.digest(edge).collect():
+        assert r.doc_id != 1 or r.bounds_sha256 == brute.sha(" ".join(map(str, [*(p.begin for p in sp.encode(ROWS[0][1], return_type="proto").pieces), *[len(ROWS[0][1])] * 2])))
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+def test_pieces_with_a_character_map(docs, edge, tmp_path, fallback):
+    """A model that rewrites texts, with and without byte fallback, through the operator."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto, rules = pb.ModelProto(), pb.ModelProto()
+    with open(pieces.model_file(), "rb") as f:
+        proto.ParseFromString(f.read())
+    rules.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+    proto.normalizer_spec.precompiled_charsmap = rules.normalizer_spec.precompiled_charsmap
+    proto.normalizer_spec.remove_extra_whitespaces = True
+    if not fallback:
+        proto.trainer_spec.byte_fallback = False
+        for p in proto.pieces:
+            if p.type == pb.ModelProto.SentencePiece.BYTE:
+                p.type = pb.ModelProto.SentencePiece.UNUSED
+    path = tmp_path / "own.model"
+    path.write_bytes(proto.SerializeToString())
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    odd = docs.sparkSession.createDataFrame([(1, " ＡＢＣ  ﬁ ① x "), (2, "½ ㌀ Straße 😀日本"), (3, "a\tb\u00ad"), (4, "  "), (5, None)], "doc_id long, text string")
+    for frame in (odd, docs.select("doc_id", "text").limit(60), edge.select("doc_id", "text")):
+        for r in pieces.encode(frame, model=str(path)).collect():
+            t = r.text or ""
+            assert r.ids == sp.encode(t, add_eos=True) and r.decoded == sp.decode(r.ids)
+            size = len(t.encode())
+            begins = [p.begin for p in sp.encode(t, return_type="proto").pieces]
+            assert len(r.bounds) == len(r.ids) + 1 and r.bounds == sorted(r.bounds) and 0 <= r.bounds[0] and r.bounds[-1] <= size
+            # where a piece begins with a character of its own, the library says the same
+            assert sum(a == b for a, b in zip(r.bounds, begins, strict=False)) >= 0.9 * len(begins) - 3
 
 
 def test_piece_spans_hold_the_pieces():
