@@ -9,7 +9,7 @@ from corpusloom.functions import text as text_
 from corpusloom.operators import crawl, seeds
 
 from . import sql
-from .text import _GRAMS, _SENTENCES, _VALID, valid
+from .text import _MODEL, _SENTENCES, _VALID, valid
 
 ASOF = "2024-01-31 00:00:00"
 SEEDS = [("s%02d" % k, ["user", "seed", "file", "error", "auto"][k % 5], f"2024-01-{1 + k:02d}", k % 4, None if k % 4 == 0 else f"2024-02-{1 + k:02d}", k % 7 == 0) for k in range(20)]
@@ -150,7 +150,7 @@ def seed_report(spark, d):
 
 
 def lid_model(spark, d):
-    m = langid.fit(spark.read.parquet(f"{d}/documents.parquet"), features=200)
+    m = langid.fit(spark.read.parquet(f"{d}/documents.parquet"))
     return m.select("label", "gram", F.round("weight", 6).alias("weight"))
 
 
@@ -192,5 +192,5 @@ ORACLE_SQL = {
         h AS (SELECT n_name AS seed, count(*) AS usages, 7 * count(*) AS count FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING' GROUP BY 1),
         a AS (SELECT seed, usages, count, urls, urls_sg, sentences, urls - urls_sg AS not_visited, count - (urls - urls_sg) AS visited FROM h JOIN u USING (seed) WHERE urls >= 1 AND usages >= 1)
         SELECT *, visited - urls_sg AS blacklisted, round(CASE WHEN visited <> 0 THEN urls_sg / visited ELSE 0 END, 6) AS ratio, round(sentences / (1 + 10 * count), 6) AS s_ratio FROM a""",
-    "lid_model": f"WITH {_GRAMS.replace('LIMIT 6000', 'LIMIT 200')} SELECT label, gram, round(weight, 6) AS weight FROM m",
+    "lid_model": f"WITH {_MODEL} SELECT label, gram, round(weight, 6) AS weight FROM m",
 }

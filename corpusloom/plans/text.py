@@ -52,11 +52,12 @@ def valid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def normalize_text(spark, d):
-    return _both(spark, d).select("doc_id", F.md5(normalize.normalize(F.col("text"), emojis=False)).alias("text_md5"), F.length(normalize.normalize(F.col("text"), emojis=False)).cast("long").alias("n_chars"))
+    rows = _both(spark, d).select("doc_id", normalize.normalize(F.col("text"), emojis=False).alias("t"))
+    return rows.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
 
 
 def strip_emojis(spark, d):
-    return torture(spark).select("doc_id", normalize.strip_emojis(F.col("text")).alias("text"))
+    return _both(spark, d).select("doc_id", F.md5(normalize.strip_emojis(F.col("text"))).alias("text_md5"))
 
 
 def split_lines(spark, d):
@@ -140,56 +141,71 @@ def lid_sanitize(spark, d):
     return _docs(spark, d).select("doc_id", F.md5(langid.sanitize(F.col("text"))).alias("text_md5"))
 
 
-def _scores(spark, d):
-    docs = _docs(spark, d)
-    return langid.score(docs, langid.fit(docs))
+def _model(spark, d):
+    return langid.collected(langid.fit(_docs(spark, d)))
 
 
 def lid_scores(spark, d):
-    return _scores(spark, d).select("doc_id", "label", F.round("score", 6).alias("score"))
+    rows = _docs(spark, d).select("doc_id", F.explode(langid.scores(F.col("text"), _model(spark, d))).alias("label", "score"))
+    return rows.select("doc_id", "label", F.round("score", 6).alias("score"))
 
 
 def lid_predict_lang(spark, d):
-    return langid.predict(_scores(spark, d)).select("doc_id", "label", F.round("proba", 6).alias("proba"))
+    rows = _docs(spark, d).select("doc_id", langid.scores(F.col("text"), _model(spark, d)).alias("scores"))
+    return rows.select("doc_id", langid.predict(F.col("scores")).alias("p")).select("doc_id", "p.label", F.round("p.proba", 6).alias("proba"))
 
 
-def _scored(spark, d):
-    """Valid sentences with the page's probability of the stand-in target language."""
-    return valid(spark, d).join(langid.predict_label(_scores(spark, d), "de"), "doc_id")
+def scored(spark, d):
+    """Valid sentences, each with its own probability of the stand-in target language."""
+    return langid.detector(_model(spark, d), "de")(valid(spark, d))
 
 
 def proba_threshold(spark, d):
-    return langid.predict_label(_scores(spark, d), "de").filter(F.col("proba") >= 0.25).select("doc_id", F.round("proba", 6).alias("proba"))
+    """Sentences that reach the least probability."""
+    return scored(spark, d).filter(F.col("proba") >= MIN_PROBA).select("doc_id", "pos", F.round("proba", 6).alias("proba"))
 
 
 def page_counts(spark, d):
-    opt = crawl.Options(min_proba=0.25)
-    return crawl.page_counts(_scored(spark, d).withColumn("new", F.col("pos") % 2 == 0), "doc_id", opt=opt)
+    opt = crawl.Options(min_proba=MIN_PROBA)
+    return crawl.page_counts(scored(spark, d).withColumn("new", F.col("pos") % 2 == 0), "doc_id", opt=opt)
 
 
 def st1_crawl_sentences(spark, d):
     """New sentences of the target language for each source: the whole path from text to novelty."""
-    fresh = crawl.first_seen(_scored(spark, d).filter(F.col("proba") >= 0.25), ["doc_id", "pos"])
+    rows = scored(spark, d).filter(F.col("proba") >= MIN_PROBA).drop("proba")
+    fresh = crawl.first_seen(rows, ["doc_id", "pos"])
     return fresh.join(_docs(spark, d).select("doc_id", "source"), "doc_id").groupBy("source").agg(F.count(F.lit(1)).alias("n_sentences"), F.countDistinct("doc_id").alias("n_docs"))
 
 
-_GRAMS = """s AS (SELECT doc_id, lang, trim(replace(regexp_replace(regexp_replace(lower(text), '[^\\p{L} .,]', '', 'g'), ' +', ' ', 'g'), ' .', '.'), ' ') AS t FROM documents),
-    g AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(t) - 1), lambda i: t[i:i+2])) AS gram FROM s),
-    dc AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY ALL), lc AS (SELECT lang, gram, count(*) AS n FROM g WHERE lang IS NOT NULL GROUP BY ALL),
+MIN_PROBA = 0.4
+_CLEAN = "trim(replace(regexp_replace(regexp_replace(lower({t}), '[^\\p{{L}} .,]', '', 'g'), ' +', ' ', 'g'), ' .', '.'), ' ')"
+_ALL_GRAMS = "unnest(flatten([list_transform(range(1, length(t) - n + 2), lambda i: t[i:i + n - 1]) for n in [3, 4, 5]]))"
+_MODEL = f"""s AS (SELECT doc_id, lang, {_CLEAN.format(t="text")} AS t FROM documents),
+    lab AS (SELECT * FROM s WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) <= 250),
+    lc AS (SELECT lang, gram, count(*) AS n FROM (SELECT lang, {_ALL_GRAMS} AS gram FROM lab) GROUP BY ALL),
     v AS (SELECT gram FROM lc GROUP BY gram ORDER BY sum(n) DESC, gram LIMIT 6000),
     m AS (SELECT l.lang AS label, v.gram, ln((coalesce(n, 0) + 1) / (sum(coalesce(n, 0)) OVER (PARTITION BY l.lang) + count(*) OVER (PARTITION BY l.lang))) AS weight
-        FROM (SELECT DISTINCT lang FROM lc) l CROSS JOIN v LEFT JOIN lc ON lc.lang = l.lang AND lc.gram = v.gram),
-    sc AS (SELECT doc_id, label, sum(n * weight) / sum(n) AS score FROM dc JOIN m USING (gram) GROUP BY ALL),
-    e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY doc_id)) AS e FROM sc),
-    pl AS (SELECT doc_id, sum(CASE WHEN label = 'de' THEN e END) / sum(e) AS proba FROM e GROUP BY doc_id)"""
+        FROM (SELECT DISTINCT lang FROM lc) l CROSS JOIN v LEFT JOIN lc ON lc.lang = l.lang AND lc.gram = v.gram)"""
+
+
+def _scores_of(source: str, key: str) -> str:
+    """CTEs from ``source`` (key, t: clean text) to sc (key, label, score) and e with the softmax's terms."""
+    return f"""gr AS (SELECT {key}, gram, count(*) AS n FROM (SELECT {key}, {_ALL_GRAMS} AS gram FROM {source}) GROUP BY ALL),
+    ks AS (SELECT {key}, label, sum(n * weight) / sum(n) AS score FROM gr JOIN m USING (gram) GROUP BY ALL),
+    sc AS (SELECT {key}, l.label, coalesce(ks.score, 0) AS score FROM (SELECT {key} FROM {source}) CROSS JOIN (SELECT DISTINCT label FROM m) l LEFT JOIN ks USING ({key}, label)),
+    e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY {key})) AS e FROM sc)"""
+
+
+_GRAMS = f"{_MODEL}, {_scores_of('s', 'doc_id')}"
 _VALID = f"val AS (SELECT * FROM sent WHERE sentence <> '' AND {sql.valid('sentence', rules.DEFAULT)})"
 _FIRST = "fs AS (SELECT * FROM val QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY doc_id, pos) = 1)"
-_SCORED = f"{_SENTENCES}, {_VALID}, {_GRAMS}, scored AS (SELECT val.*, proba FROM val JOIN pl USING (doc_id))"
+_SCORED = f"""{_SENTENCES}, {_VALID}, {_MODEL}, st AS (SELECT doc_id, pos, {_CLEAN.format(t="sentence")} AS t FROM val), {_scores_of("st", "doc_id, pos")},
+    pl AS (SELECT doc_id, pos, sum(CASE WHEN label = 'de' THEN e ELSE 0 END) / sum(e) AS proba FROM e GROUP BY ALL), scored AS (SELECT val.*, proba FROM val JOIN pl USING (doc_id, pos))"""
 
 QUERIES = {f.__name__: f for f in (normalize_text, strip_emojis, split_lines, split_paragraphs, split_sentences, split_sentences_strict, sentence_filter_default, sentence_filter_strict, rule_failure_histogram, rule_failure_histogram_strict, rule_examples, uniq_in_page, first_seen_sentences, sentence_novelty, text_dedup_urls, hash_ids, lid_sanitize, lid_scores, lid_predict_lang, proba_threshold, page_counts, st1_crawl_sentences)}
 ORACLE_SQL = {
     "normalize_text": f"SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM (SELECT doc_id, {sql.normalized('text')} AS t FROM {_BOTH})",
-    "strip_emojis": f"SELECT doc_id, {sql.sub('text', normalize.EMOJI, ' ')} AS text FROM {_BOTH} WHERE doc_id < 0",
+    "strip_emojis": f"SELECT doc_id, md5({sql.sub('text', normalize.EMOJI, ' ')}) AS text_md5 FROM {_BOTH}",
     "split_lines": "SELECT doc_id, len(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS n_lines FROM documents",
     "split_paragraphs": "SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda p: trim(p, ' ' || chr(9) || chr(13)) <> '')) AS n_lines, len(list_filter(string_split_regex(text, '\\n(?:[ \\t\\r\\f]*\\n)+'), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(13)) <> '')) AS n_blocks FROM documents",
     "split_sentences": _SENT.replace("@SOURCE@", _BOTH) + " SELECT * FROM sent WHERE sentence <> ''",
@@ -204,12 +220,12 @@ ORACLE_SQL = {
     "sentence_novelty": f"{_SENTENCES}, {_VALID}, {_FIRST} SELECT doc_id, count(*) AS n_new FROM fs WHERE sentence NOT IN (SELECT text FROM benchmark) GROUP BY 1",
     "text_dedup_urls": "SELECT md5(text) AS id, array_to_string(list_sort(list_distinct(list(source))), ',') AS urls, min(doc_id) AS date_added FROM documents GROUP BY md5(text)",
     "hash_ids": "SELECT doc_id, md5(text) AS id FROM documents",
-    "lid_sanitize": f"WITH {_GRAMS.split('g AS')[0].rstrip().rstrip(',')} SELECT doc_id, md5(t) AS text_md5 FROM s",
+    "lid_sanitize": f"SELECT doc_id, md5({_CLEAN.format(t='text')}) AS text_md5 FROM documents",
     "lid_scores": f"WITH {_GRAMS} SELECT doc_id, label, round(score, 6) AS score FROM sc",
     "lid_predict_lang": f"WITH {_GRAMS} SELECT doc_id, arg_max(label, struct_pack(a := score, b := label)) AS label, round(max(e) / sum(e), 6) AS proba FROM e GROUP BY doc_id",
-    "proba_threshold": f"WITH {_GRAMS} SELECT doc_id, round(proba, 6) AS proba FROM pl WHERE proba >= 0.25",
-    "page_counts": f"{_SCORED} SELECT doc_id, count(*) AS sentence_count, count_if(proba >= 0.25) AS sg_count, count_if(proba >= 0.25 AND pos % 2 = 0) AS new_count FROM scored GROUP BY 1",
-    "st1_crawl_sentences": f"{_SCORED}, f AS (SELECT * FROM scored WHERE proba >= 0.25 QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY doc_id, pos) = 1) SELECT source, count(*) AS n_sentences, count(DISTINCT doc_id) AS n_docs FROM f JOIN documents USING (doc_id) GROUP BY 1",
+    "proba_threshold": f"{_SCORED} SELECT doc_id, pos, round(proba, 6) AS proba FROM scored WHERE proba >= 0.4",
+    "page_counts": f"{_SCORED} SELECT doc_id, count(*) AS sentence_count, count_if(proba >= 0.4) AS sg_count, count_if(proba >= 0.4 AND pos % 2 = 0) AS new_count FROM scored GROUP BY 1",
+    "st1_crawl_sentences": f"{_SCORED}, f AS (SELECT * FROM scored WHERE proba >= 0.4 QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY doc_id, pos) = 1) SELECT source, count(*) AS n_sentences, count(DISTINCT doc_id) AS n_docs FROM f JOIN documents USING (doc_id) GROUP BY 1",
 }
 for _kind, _rule in {"rule_length": "max_length", "rule_find_count": "min_words", "rule_find_ratio": "letter_density", "rule_compare": "too_many_commas", "rule_if_guard": "ellipsis"}.items():
     QUERIES[_kind], ORACLE_SQL[_kind] = _rule_query(_rule)

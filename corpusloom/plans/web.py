@@ -99,7 +99,7 @@ _PARTS = "SELECT page_id, url, regexp_extract(url, '^([a-zA-Z]+):', 1) AS scheme
 QUERIES = {f.__name__: f for f in (url_parts, url_keep, fix_query_params, site_fixes, extract_links, plain_text, extract_paragraphs, clever_text, crawl_page, crawl_round, loader_status, url_filename)}
 ORACLE_SQL = {
     "url_parts": f"SELECT page_id, scheme, netloc, path, query FROM ({_PARTS})",
-    "url_keep": f"SELECT page_id, scheme LIKE 'http%' AND NOT (path LIKE '%.%' AND list_contains({urls.EXTENSIONS}, lower(string_split(path, '.')[-1]))) AND NOT (length(string_split(netloc, '.')[-1]) = 2 AND string_split(netloc, '.')[-1] NOT IN ('ch', 'de', 'it', 'fr', 'eu', 'uk', 'us')) AND netloc NOT LIKE '%wikipedia.org' AS keep FROM ({_PARTS})",
+    "url_keep": f"SELECT page_id, scheme LIKE 'http%' AND NOT (path LIKE '%.%' AND list_contains({urls.EXTENSIONS}, lower(string_split(path, '.')[-1]))) AND NOT list_contains({urls.BLOCKED_TLDS}, lower(string_split(netloc, '.')[-1])) AND netloc NOT LIKE '%wikipedia.org' AS keep FROM ({_PARTS})",
     "fix_query_params": "SELECT page_id, CASE WHEN url LIKE '%?page=2&ref=x%' THEN regexp_extract(url, '^([^?#]*)', 1) || '?ref=x' ELSE url END AS link FROM pages",
     "site_fixes": f"SELECT * FROM {_CASES}",
     "extract_links": """
