@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import exact_dedup, mixing, pieces, quality, simhash_dedup
-from corpusloom.llm.common import scratch, table
+from corpusloom.llm.common import remove, saved, scratch, table
 
 #: Names that measures and marks of the stages may not take from the documents.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -49,14 +49,19 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each one's result is written as Parquet and read again. What a stage has read goes when it has written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             path = scratch(spark, f"pipeline-{name}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+        else:
+            docs = saved(docs)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
 
 
