@@ -23,9 +23,16 @@ def quoted_words(query: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.split(query, r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit('"'), w, F.lit('"'))), " ")
 
 
+#: What isn't a word character, as the number removal sees it.
+_NO_WORD = r"[^\p{L}\p{N}_]"
+
+
 def without_numbers(text: Column) -> Column:
-    """Stand-alone numbers become a space."""
-    return F.regexp_replace(text, r"\b[0-9]+\b", " ")
+    """Numbers between other characters than those of words become a space, and so do the characters on either side.
+
+    As those are used up, of numbers in a row each second one stays.
+    """
+    return F.regexp_replace(text, rf"(?:^|{_NO_WORD})\p{{Nd}}+(?:$|{_NO_WORD})", " ")
 
 
 def words(text: Column) -> Column:
@@ -33,7 +40,14 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
 
 
-def ngrams(tokens: Column, n: int = 3) -> Column:
+def without_words(tokens: Column, stop_words: list[str]) -> Column:
+    return F.filter(tokens, lambda w: ~w.isin(stop_words)) if stop_words else tokens
+
+
+def ngrams(tokens: Column, n: int | tuple[int, int] = 3) -> Column:
+    """The runs of n tokens, or of from n[0] to n[1] tokens."""
+    if isinstance(n, tuple):
+        return F.flatten(F.array(*[ngrams(tokens, k) for k in range(n[0], n[1] + 1)]))
     return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions import extract, normalize, rules, split, urls
+from corpusloom.functions import extract, langid, normalize, rules, split, urls
 from corpusloom.functions.text import seconds
 
 
@@ -62,32 +63,73 @@ def should_blacklist(delta_date: Column, hits: Column) -> Column:
     return delta_date.isNull() & (hits == 0)
 
 
-def always(_: Column | None = None) -> Column:
-    return F.lit(True)
+class Decider:
+    """What to crawl, follow and blacklist, as columns; subclasses change one or the other."""
+
+    def __init__(self, **options):
+        self.opt = Options(**options)
+
+    def crawl(self, delta_date: Column, delta: Column, asof: Column) -> Column:
+        return should_crawl(delta_date, delta, asof, self.opt)
+
+    def follow(self, sentences: Column, hits: Column, new: Column) -> Column:
+        return should_follow(sentences, hits, self.opt)
+
+    def blacklist(self, delta_date: Column, hits: Column) -> Column:
+        return should_blacklist(delta_date, hits)
+
+
+class NewPagesDecider(Decider):
+    """Only pages that were never crawled."""
+
+    def crawl(self, delta_date: Column, delta: Column, asof: Column) -> Column:
+        return should_crawl_new_only(delta_date)
+
+
+class NewSentenceDecider(Decider):
+    """Only links of pages that gave a new sentence."""
+
+    def follow(self, sentences: Column, hits: Column, new: Column) -> Column:
+        return should_follow_new(sentences, hits, new, self.opt)
 
 
 # --- sentences -------------------------------------------------------------------------------------------------------
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, in the folder the session names or else one of our own."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; a local one only where all run on one machine."""
+    sc = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not at:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = tempfile.mkdtemp(prefix="corpusloom-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
 def spread(df: DataFrame, waves: int = 2) -> DataFrame:
     """Rows over all cores where a source has fewer partitions than cores; larger sources stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= waves * cores else df.repartition(waves * cores)
 
 
-def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", opt: Options = Options(), compose: bool = True) -> DataFrame:
+def page_sentences(docs: DataFrame, key: str, text: str, normalizer: Callable[[Column], Column], splitter: Callable[[Column], Column]) -> DataFrame:
     """(key, pos, sentence): each page's distinct sentences, the first place of each."""
-    clean = normalize.normalize(F.col(text), repair=opt.fix_encoding, emojis=not opt.strip_emojis, compose=compose)
-    rows = spread(docs.select(key, F.col(text))).filter(F.col(text).isNotNull()).select(key, clean.alias("t"))
-    return rows.select(key, F.posexplode(F.array_distinct(split.split(F.col("t"), opt.more, opt.keep_newlines))).alias("pos", "sentence")).filter("sentence != ''")
+    rows = spread(docs.select(key, F.col(text))).filter(F.col(text).isNotNull()).select(key, normalizer(F.col(text)).alias("t"))
+    return rows.select(key, F.posexplode(F.array_distinct(splitter(F.col("t")))).alias("pos", "sentence")).filter("sentence != ''")
+
+
+def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", opt: Options = Options(), compose: bool = True) -> DataFrame:
+    """:func:`page_sentences` by the usual normaliser and splitter."""
+    return page_sentences(docs, key, text, lambda t: normalize.normalize(t, repair=opt.fix_encoding, emojis=not opt.strip_emojis, compose=compose), lambda t: split.split(t, opt.more, opt.keep_newlines))
 
 
 def valid_sentences(rows: DataFrame, profile: list[rules.Rule] = rules.DEFAULT, sentence: str = "sentence") -> DataFrame:
@@ -171,6 +213,33 @@ def rounds(edges: DataFrame, start: DataFrame, max_depth: int, src: str = "src",
     return visited, next_frontier(edges, frontier, visited, src, dst, key).withColumn("depth", F.lit(max_depth + 1))
 
 
+@dataclass(frozen=True)
+class Tools:
+    """The stages of a crawl, each of which a user may exchange; the defaults do as little as a stage can, but for the crawler and the decider."""
+
+    crawler: Callable[[DataFrame], DataFrame] = extract.crawl  # (url, html) to (url, text, hrefs, error)
+    normalizer: Callable[[Column], Column] = lambda text: text
+    splitter: Callable[[Column], Column] = split.split_lines
+    sentence_filter: Callable[[Column], Column] = lambda sentence: F.lit(True)
+    sg_detector: Callable[[DataFrame], DataFrame] = langid.always  # adds proba to sentences
+    seed_creator: Callable[[DataFrame], DataFrame] | None = None  # new sentences to n-grams
+    url_filter: Callable[[Column, Column], Column] = lambda url, href: url  # null for links that aren't followed
+    decider: Decider = Decider()
+    saver: Callable[[Round], None] | None = None  # is given each round
+
+
+def usual(detector: Callable[[DataFrame], DataFrame], opt: Options = Options()) -> Tools:
+    """The usual stages with a detector."""
+    return Tools(
+        normalizer=lambda t: normalize.normalize(t, repair=opt.fix_encoding, emojis=not opt.strip_emojis),
+        splitter=lambda t: split.split(t, opt.more, opt.keep_newlines),
+        sentence_filter=lambda s: rules.valid(s, rules.DEFAULT),
+        sg_detector=detector,
+        url_filter=urls.fix,
+        decider=Decider(min_ratio=opt.min_ratio, active_recrawl=opt.active_recrawl, min_recrawl=opt.min_recrawl),
+    )
+
+
 @dataclass
 class Round:
     """What one round over pages gives."""
@@ -179,28 +248,30 @@ class Round:
     counts: DataFrame
     blacklist: DataFrame
     children: DataFrame
+    texts: DataFrame
 
 
-def crawl_round(pages: DataFrame, store: DataFrame, blacklist: DataFrame, proba, opt: Options = Options(), cut=lambda df: df) -> Round:
+def crawl_round(pages: DataFrame, store: DataFrame, blacklist: DataFrame, tools: Tools | Callable[[DataFrame], DataFrame], opt: Options = Options(), cut=lambda df: df) -> Round:
     """One breadth-first round: (url, html, depth, delta_date) to new sentences, counters, blacklist entries and children.
 
-    ``proba`` maps a frame with a ``sentence`` column to that frame with a ``proba`` column. ``cut`` may checkpoint what
-    several results share: the extracted pages, the scored sentences and the counters.
+    ``tools`` are the stages, or a detector alone for the usual ones. ``cut`` may checkpoint what several results share:
+    the extracted pages, the scored sentences and the counters.
     """
+    tools = tools if isinstance(tools, Tools) else usual(tools, opt)
     ok = pages.filter(F.col("depth") <= opt.max_depth)
-    got = cut(extract.crawl(ok).join(ok.select("url", "depth", "delta_date"), "url"))
-    found = sentences(got.filter("error is null"), "url", "text", opt)
-    scored = cut(proba(valid_sentences(found)))
+    got = cut(tools.crawler(ok).join(ok.select("url", "depth", "delta_date"), "url"))
+    found = page_sentences(got.filter("error is null"), "url", "text", tools.normalizer, tools.splitter)
+    scored = cut(tools.sg_detector(found.filter(tools.sentence_filter(F.col("sentence")))))
     hits = scored.filter(F.col("proba") >= opt.min_proba)
     fresh = unseen(first_seen(hits.select("sentence", "url", "pos", "proba"), ["url", "pos"]), store)
     marked = scored.join(fresh.select("url", "pos", F.lit(True).alias("new")), ["url", "pos"], "left").withColumn("new", F.coalesce("new", F.lit(False)))
     counts = got.select("url", "depth", "delta_date", "error", "hrefs").join(page_counts(marked, "url", opt=opt), "url", "left")
     counts = cut(counts.fillna(0, ["sentence_count", "sg_count", "new_count"]))
-    failed = counts.filter(F.col("error").isNotNull() | should_blacklist(F.col("delta_date"), F.col("sg_count"))).select("url", "error")
-    follow = counts.filter(F.col("error").isNull() & should_follow(F.col("sentence_count"), F.col("sg_count"), opt))
-    links = urls.filter_links(follow.withColumn("base", F.col("url")), "url", "base", "hrefs")
+    failed = counts.filter(F.col("error").isNotNull() | tools.decider.blacklist(F.col("delta_date"), F.col("sg_count"))).select("url", "error")
+    follow = counts.filter(F.col("error").isNull() & ~tools.decider.blacklist(F.col("delta_date"), F.col("sg_count")) & tools.decider.follow(F.col("sentence_count"), F.col("sg_count"), F.col("new_count")))
+    links = urls.filter_links(follow.withColumn("base", F.col("url")), "url", "base", "hrefs", tools.url_filter)
     children = not_blacklisted(links.join(follow.select("url", "depth"), "url").groupBy(F.col("link").alias("url")).agg(F.min(F.struct((F.col("depth") + 1).alias("depth"), F.col("url").alias("parent"))).alias("c")).select("url", "c.depth", "c.parent"), blacklist)
-    return Round(fresh, counts.drop("hrefs"), failed, children)
+    return Round(fresh, counts.drop("hrefs"), failed, children, got.filter("error is null").select("url", "text"))
 
 
 # --- bootstrap -------------------------------------------------------------------------------------------------------
@@ -228,6 +299,7 @@ def loader_status(rows: DataFrame, url: str, known: DataFrame) -> DataFrame:
     """malformed, ignored, duplicate or enqueued for each line of a URL list."""
     fixed = urls.fix(F.col(url))
     r = rows.withColumn("__ok", urls.is_url(F.col(url))).withColumn("link", F.when(F.col("__ok"), fixed))
-    seen = F.row_number().over(Window.partitionBy("link").orderBy("line")) > 1
+    each = F.coalesce("link", F.concat(F.lit("line "), F.col("line").cast("string")))  # lines without a link are alone
+    seen = F.row_number().over(Window.partitionBy(each).orderBy("line")) > 1
     r = r.join(known.select(F.col("url").alias("__k")).distinct(), F.col("link") == F.col("__k"), "left")
     return r.withColumn("status", F.when(~F.col("__ok"), "malformed").when(F.col("link").isNull(), "ignored").when(F.col("__k").isNotNull() | seen, "duplicate").otherwise("enqueued")).drop("__ok", "__k")

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIALECTS = {"be": "Bern", "bs": "Basel", "gr": "Graubünden", "lu": "Luzern", "sg": "St. Gallen", "vs": "Wallis", "zh": "Zürich", "fr": "Freiburg", "ar": "Appenzell", "?": "skip"}
-
-
 def icontains(c: Column, what: str) -> Column:
     return F.contains(F.lower(c), F.lit(what.lower()))
 
@@ -107,6 +104,51 @@ def delete_cascade(urls: DataFrame, sentences: DataFrame, gone: DataFrame) -> di
     }
 
 
+def delete_found(urls: DataFrame, sentences: DataFrame, sure: bool, **search) -> dict[str, DataFrame]:
+    """:func:`delete_cascade` for what a search finds; a search without any filter, or one that isn't confirmed, deletes nothing and raises."""
+    if not sure:
+        raise ValueError("not confirmed")
+    if not any(v not in ("", 0, None) for v in search.values()):
+        raise ValueError("a bulk delete needs a filter")
+    return delete_cascade(urls, sentences, search_urls(urls, **search))
+
+
+def add_url(rows: DataFrame, url: str, user: str, date: Column, sure: bool = False) -> tuple[str, DataFrame]:
+    """(exists, similar or added; the URL's row, up to ten similar ones unless ``sure``, or the rows with the new one)."""
+    same = rows.filter(F.col("url") == url)
+    if not same.isEmpty():
+        return "exists", same
+    alike = similar_urls(rows, url).orderBy("url").limit(10)
+    if not sure and not alike.isEmpty():
+        return "similar", alike
+    new = rows.sparkSession.range(1).select(F.lit(url).alias("url"), F.struct(F.lit("user").alias("type"), F.lit(user).alias("extra")).alias("source"), date.alias("date_added"))
+    return "added", rows.unionByName(new, allowMissingColumns=True)
+
+
+def next_to_label(rows: DataFrame, user: int | str, id_: str | None = None) -> DataFrame:
+    """The sentence to label, with the user's label so far (``?`` if skipped) and how many of its URL are left: the one asked for, if it is validated, else the first of those to label."""
+    if id_ is None:
+        one = to_label(rows, user, most=1)
+    else:
+        one = rows.filter((F.col("id") == id_) & (F.size("validated_by") > 0))
+    mine = F.get(F.filter("labels", lambda x: x["user"] == user), F.lit(0))["label"]
+    one = one.withColumn("current", F.when(F.array_contains("skipped_by", user), "?").otherwise(mine))
+    left = to_label(rows, user, most=1 << 30).groupBy(F.col("url").alias("__url")).agg(F.count(F.lit(1)).alias("remaining"))
+    return one.join(left, F.col("url") == F.col("__url"), "left").drop("__url").withColumn("remaining", F.coalesce("remaining", F.lit(0)))
+
+
+def label_one(rows: DataFrame, id_: str, user: int | str, value: str, date: Column, delete: bool = False) -> DataFrame:
+    """The rows after a user's answer for one sentence: deleted, skipped (values that begin with ?), or labelled; a new label or skip takes the place of the old one."""
+    it, skip = F.col("id") == id_, value.startswith("?")
+    if delete:
+        return mark_deleted(rows, rows.filter(it).select("id"), str(user), date)
+    others = F.filter("labels", lambda x: x["user"] != user)
+    label = F.array(F.struct(F.lit(user).alias("user"), F.lit(value).alias("label"), date.alias("date")))
+    skippers = F.array_except("skipped_by", F.array(F.lit(user)))
+    rows = rows.withColumn("labels", F.when(it, others if skip else F.concat(others, label.cast(dict(rows.dtypes)["labels"]))).otherwise(F.col("labels")))
+    return rows.withColumn("skipped_by", F.when(it, F.concat(skippers, F.array(F.lit(user))) if skip else skippers).otherwise(F.col("skipped_by")))
+
+
 def export_rows(rows: DataFrame) -> DataFrame:
     """The columns of the CSV export."""
     return rows.select("id", "text", "url", "crawl_proba", "dialect", "dialect_confidence", "dialect_nb_votes")
@@ -132,8 +174,3 @@ def remaining_per_url(rows: DataFrame) -> DataFrame:
 
 def urls_of_texts(texts: DataFrame) -> DataFrame:
     return texts.select("id", F.explode("urls").alias("url"))
-
-
-def latest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Latest row wins."""
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(c) for c in order]))).filter("__r = 1").drop("__r")

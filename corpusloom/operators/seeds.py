@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import ngrams, without_numbers, words
+from corpusloom.functions.text import ngrams, without_numbers, without_words, words
+from corpusloom.operators.crawl import checkpointed
 
 
-def top_ngrams(rows: DataFrame, text: str = "sentence", n: int = 3, most: int = 10) -> DataFrame:
-    """The most frequent word n-grams; ties by n-gram descending."""
-    return rows.select(F.explode(ngrams(words(F.col(text)), n)).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("ngram")).limit(most)
+def top_ngrams(rows: DataFrame, text: str = "sentence", n: int | tuple[int, int] = 3, most: int = 10, stop_words: list[str] = ()) -> DataFrame:
+    """The most frequent word n-grams without stop words; ties by n-gram descending."""
+    found = ngrams(without_words(words(F.col(text)), list(stop_words)), n)
+    return rows.select(F.explode(found).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("ngram")).limit(most)
 
 
-def tfidf_ngrams(rows: DataFrame, key: list[str], text: str = "sentence", n: int = 3, most: int = 10) -> DataFrame:
-    """N-grams by the sum over texts of l2-normalised (1 + ln tf) (ln((1 + N) / (1 + df)) + 1)."""
-    tf = rows.select(*key, F.explode(ngrams(words(without_numbers(F.col(text))), n)).alias("ngram")).groupBy(*key, "ngram").agg(F.count(F.lit(1)).alias("tf"))
+def tfidf_ngrams(rows: DataFrame, key: list[str], text: str = "sentence", n: int | tuple[int, int] = 3, most: int = 10, stop_words: list[str] = (), sanitize: bool = True) -> DataFrame:
+    """N-grams by the sum over texts of l2-normalised (1 + ln tf) (ln((1 + N) / (1 + df)) + 1); ``sanitize`` removes numbers."""
+    clean = without_numbers(F.col(text)) if sanitize else F.col(text)
+    tf = rows.select(*key, F.explode(ngrams(without_words(words(clean), list(stop_words)), n)).alias("ngram")).groupBy(*key, "ngram").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("ngram").agg(F.count(F.lit(1)).alias("df"))
     total = rows.agg(F.count(F.lit(1)).alias("total"))
     weighed = tf.join(df, "ngram").join(F.broadcast(total), F.lit(True)).withColumn("w", (1 + F.log("tf")) * (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1))
@@ -47,16 +50,40 @@ def top_results(results: DataFrame, k: int, query: str = "query", rank: str = "r
     return results.withColumn("__r", F.row_number().over(Window.partitionBy(query).orderBy(rank))).filter(F.col("__r") <= k).drop("__r")
 
 
-def accept(results: DataFrame, known: DataFrame, blacklist: DataFrame, most: int = 10, max_fetches: int = -1, order: str = "seed_order") -> DataFrame:
-    """Results (seed_order, query, rank, link) that become URLs: no blacklisted or known ones, each link once over all
-    queries, and no more than ``most`` for a query."""
+def accept(results: DataFrame, known: DataFrame, blacklist: DataFrame, most: int = 10, max_fetches: int = -1, order: str = "seed_order", cut=checkpointed) -> DataFrame:
+    """Results (seed_order, query, rank, link) that become URLs, as if the queries were searched one after the other.
+
+    No blacklisted or known links, each link once over all queries, and no more than ``most`` for a query; a query also
+    ends with the first link that it takes from rank ``max_fetches`` (counted from zero) on. A link that a query doesn't
+    come to is free for later ones: rounds drop such links until there are none, one round a query at most.
+    """
     rows = results.filter("link is not null")
-    if max_fetches > 0:
-        rows = rows.filter(F.col("rank") <= max_fetches)
     for gone in (blacklist, known):
         rows = rows.join(gone.select(F.col("url").alias("link")).distinct(), "link", "left_anti")
-    first = rows.groupBy("link").agg(F.min(F.struct(order, "rank", "query")).alias("f")).select("link", f"f.{order}", "f.rank", "f.query")
-    return first.withColumn("taken", F.row_number().over(Window.partitionBy("query").orderBy("rank"))).filter(F.col("taken") <= most)
+    rows = cut(rows.groupBy("link", "query", order).agg(F.min("rank").alias("rank")))
+    in_rank = Window.partitionBy("query").orderBy("rank", "link")
+    while True:
+        first = rows.groupBy("link").agg(F.min(F.struct(order, "rank", "query")).alias("f")).select("link", f"f.{order}", "f.rank", "f.query")
+        first = first.withColumns({"taken": F.row_number().over(in_rank), "before": F.lag("rank").over(in_rank)})
+        within = F.col("taken") <= most
+        if max_fetches > 0:
+            within &= F.coalesce(F.col("before") < max_fetches, F.lit(True))
+        first = cut(first.withColumn("within", within).drop("before"))
+        late = first.filter("not within").select("link", "query")
+        if late.isEmpty():
+            return first.drop("within")
+        rows = cut(rows.join(late, ["link", "query"], "left_anti"))
+
+
+def save_searched(seeds: DataFrame, taken: DataFrame, date: Column) -> tuple[DataFrame, DataFrame]:
+    """What a search leaves: (a use of every seed searched, with its number of new links; the new URLs with the seed as their source).
+
+    ``seeds`` are the queries searched (query); ``taken`` is what :func:`accept` gave.
+    """
+    n = taken.groupBy("query").agg(F.count(F.lit(1)).alias("count"))
+    uses = seeds.select("query").distinct().join(n, "query", "left").select(F.col("query").alias("id"), date.alias("date"), F.coalesce("count", F.lit(0)).alias("count"))
+    urls = taken.select(F.col("link").alias("url"), F.struct(F.lit("seed").alias("type"), F.col("query").alias("extra")).alias("source"), date.alias("date_added"))
+    return uses, urls
 
 
 def similar(seeds: DataFrame, query: str, column: str = "id") -> DataFrame:

@@ -79,16 +79,16 @@ def bootstrap_sample(spark, d):
 def frontier_rounds(spark, d):
     """Breadth-first rounds over two synthetic links of each page."""
     p = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("src"))
-    n = p.count()
-    edges = p.select("src", F.explode(F.array((F.col("src") * 7 + 3) % n, (F.col("src") * 13 + 5) % n)).alias("dst"))
+    p = p.join(F.broadcast(p.agg(F.count(F.lit(1)).alias("n"))), F.lit(True))  # one row of one number
+    edges = p.select("src", F.explode(F.array((F.col("src") * 7 + 3) % F.col("n"), (F.col("src") * 13 + 5) % F.col("n"))).alias("dst"))
     visited, left = crawl.rounds(edges, spark.range(1).select(F.col("id").alias("url")), 4)
     return visited.unionByName(left).select("url", "parent", F.col("depth").cast("long").alias("depth"))
 
 
 def link_state(spark, d):
-    links = spark.range(100).select(F.concat(F.lit("u"), "id").alias("link"))
-    known, black = links.filter("length(link) = 2").select(F.col("link").alias("url")), links.filter("link like '%5'").select(F.col("link").alias("url"))
-    return crawl.link_state(links, known, black)
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    known, black = pages.filter("page_id % 2 = 0").select("url"), pages.filter("page_id % 5 = 0").select("url")
+    return crawl.link_state(pages.select("page_id", F.col("url").alias("link")), known, black).select("page_id", "state")
 
 
 def seeds_ngram(spark, d):
@@ -99,6 +99,11 @@ def seeds_tfidf(spark, d):
     return seeds.tfidf_ngrams(valid(spark, d), ["doc_id", "pos"], most=20)
 
 
+def seeds_ranges(spark, d):
+    """Runs of one to three words, without stop words."""
+    return seeds.top_ngrams(valid(spark, d), n=(1, 3), most=40, stop_words=["the", "of", "der", "die"])
+
+
 def query_builders(spark, d):
     g = seeds.top_ngrams(valid(spark, d), most=20)
     return g.select("ngram", text_.quoted(F.col("ngram")).alias("whole"), text_.quoted_words(F.col("ngram")).alias("words"))
@@ -120,18 +125,30 @@ def seed_selection_any(spark, d):
     return seeds.any_seeds(_seeds(spark), 8).select("id", "source")
 
 
-def _results(spark):
-    r = spark.range(400)
-    return r.select((F.col("id") % 8).alias("seed_order"), F.concat(F.lit("q"), F.col("id") % 8).alias("query"), F.floor(F.col("id") / 8).cast("long").alias("rank"), F.concat(F.lit("http://h"), (F.col("id") * 37) % 150, F.lit(".ch/")).alias("link"))
+def _results(spark, d):
+    """Pages as the results of eight queries, a link in more than one of them."""
+    r = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("id"))
+    return r.select((F.col("id") % 8).alias("seed_order"), F.concat(F.lit("q"), F.col("id") % 8).alias("query"), F.floor(F.col("id") / 8).cast("long").alias("rank"), F.concat(F.lit("http://h"), (F.col("id") * 37) % 150 % 61, F.lit(".ch/")).alias("link"))
+
+
+def _seen(spark, d, rest):
+    return _results(spark, d).filter(F.regexp_extract("link", "h([0-9]+)", 1).cast("int") % 10 == rest).select(F.col("link").alias("url"))
 
 
 def search_accept(spark, d):
-    r = spark.range(150).select(F.col("id"), F.concat(F.lit("http://h"), "id", F.lit(".ch/")).alias("url"))
-    return seeds.accept(_results(spark), r.filter("id % 10 = 3"), r.filter("id % 10 = 4")).select("query", "rank", "link")
+    return seeds.accept(_results(spark, d), _seen(spark, d, 3), _seen(spark, d, 4), 5).select("query", "rank", "link")
+
+
+def search_fetches(spark, d):
+    """The search ends with the first link that is taken from the third fetch on; what it leaves are uses of the seeds and new URLs."""
+    results = _results(spark, d)
+    taken = seeds.accept(results, _seen(spark, d, 3), _seen(spark, d, 4), 50, max_fetches=3)
+    uses, urls = seeds.save_searched(results, taken, F.lit("2024-01-01").cast("timestamp"))
+    return uses.select(F.col("id").alias("query"), "count", F.lit(None).cast("string").alias("url")).unionByName(urls.select(F.col("source.extra").alias("query"), F.lit(None).cast("long").alias("count"), "url"))
 
 
 def top_results(spark, d):
-    return seeds.top_results(_results(spark), 5).select("query", "rank", "link")
+    return seeds.top_results(_results(spark, d), 5).select("query", "rank", "link")
 
 
 def similar_seeds(spark, d):
@@ -156,10 +173,20 @@ def lid_model(spark, d):
 
 _TOK = "list_filter(regexp_extract_all(lower({t}), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda w: true)"
 _NG = f"ng AS (SELECT doc_id, pos, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS ngram FROM (SELECT doc_id, pos, {_TOK.format(t='sentence')} AS w FROM val))"
+_NO_NUMBERS = "lower(regexp_replace(sentence, '(?:^|[^\\p{L}\\p{N}_])\\p{Nd}+(?:$|[^\\p{L}\\p{N}_])', ' ', 'g'))"
 _TOP = "SELECT ngram, count(*) AS n FROM ng GROUP BY 1 ORDER BY n DESC, ngram DESC LIMIT "
-QUERIES = {f.__name__: f for f in (url_counters, decider_recrawl, decider_children, blacklist_decision, bootstrap_oldest, bootstrap_new, bootstrap_ext, bootstrap_sample, frontier_rounds, link_state, seeds_ngram, seeds_tfidf, query_builders, newest_sentences, seed_selection_new, seed_selection_any, search_accept, top_results, similar_seeds, seed_report, lid_model)}
+QUERIES = {f.__name__: f for f in (url_counters, decider_recrawl, decider_children, blacklist_decision, bootstrap_oldest, bootstrap_new, bootstrap_ext, bootstrap_sample, frontier_rounds, link_state, seeds_ngram, seeds_tfidf, seeds_ranges, query_builders, newest_sentences, seed_selection_new, seed_selection_any, search_accept, search_fetches, top_results, similar_seeds, seed_report, lid_model)}
 _CNT = f"{_SENTENCES}, {_VALID}, c AS (SELECT doc_id, count(*) AS sentences, count_if(regexp_matches(sentence, '^[A-M]')) AS hits, count_if(pos = 0) AS new FROM val GROUP BY 1)"
-_RES = "r AS (SELECT id % 8 AS seed_order, 'q' || (id % 8) AS query, id // 8 AS rank, 'http://h' || ((id * 37) % 150) || '.ch/' AS link, (id * 37) % 150 AS h FROM range(400) t(id))"
+_RES = "r AS (SELECT page_id % 8 AS seed_order, 'q' || (page_id % 8) AS query, page_id // 8 AS rank, 'http://h' || ((page_id * 37) % 150 % 61) || '.ch/' AS link, (page_id * 37) % 150 % 61 AS h FROM pages)"
+
+
+def _accepted(most: int, fetches: int) -> str:
+    """One query after the other, with the links taken so far. Of a query's links the first ``most``, and none after one of rank ``fetches`` or more."""
+    return f"""WITH RECURSIVE {_RES}, c AS (SELECT seed_order, query, link, min(rank) AS rank FROM r WHERE h % 10 NOT IN (3, 4) GROUP BY ALL),
+        l AS (SELECT s AS seed_order, coalesce(list(struct_pack(rank := rank, link := link) ORDER BY rank, link) FILTER (link IS NOT NULL), []) AS l FROM range(8) t(s) LEFT JOIN c ON seed_order = s GROUP BY 1),
+        w(step, got, taken) AS (SELECT 0, []::STRUCT(rank BIGINT, link VARCHAR)[], []::VARCHAR[] UNION ALL SELECT step + 1, n, list_concat(taken, list_transform(n, lambda x: x.link)) FROM (SELECT step, taken, list_filter(f, lambda x, i: i <= {most} AND (i = 1 OR f[i - 1].rank < {fetches})) AS n FROM (SELECT step, taken, list_filter(l, lambda x: NOT list_contains(taken, x.link)) AS f FROM w JOIN l ON seed_order = step)))"""
+
+
 ORACLE_SQL = {
     "url_counters": f"WITH {_EVENTS}, {_COUNTERS} SELECT k, count, delta, delta_date, crawls FROM uc",
     "decider_recrawl": f"WITH {_EVENTS}, {_COUNTERS} SELECT k, CASE WHEN delta % 2 > 0 THEN TIMESTAMP '{ASOF}' - delta_date > INTERVAL 26 HOUR ELSE TIMESTAMP '{ASOF}' - delta_date > INTERVAL 28 HOUR END AS again, delta_date IS NULL AS new FROM uc",
@@ -174,16 +201,19 @@ ORACLE_SQL = {
         w(url, depth) AS (SELECT 0::BIGINT, 1 UNION SELECT dst, depth + 1 FROM w JOIN e ON src = url WHERE depth < 5),
         f AS (SELECT url, min(depth) AS depth FROM w GROUP BY url)
         SELECT f.url, (SELECT min(e.src) FROM e JOIN f g ON g.url = e.src WHERE e.dst = f.url AND g.depth = f.depth - 1) AS parent, CAST(f.depth AS BIGINT) AS depth FROM f""",
-    "link_state": "SELECT 'u' || id AS link, CASE WHEN id % 10 = 5 THEN 2 WHEN id < 10 THEN 1 ELSE 0 END AS state FROM range(100) t(id)",
+    "link_state": "SELECT page_id, CASE WHEN url IN (SELECT url FROM pages WHERE page_id % 5 = 0) THEN 2 WHEN url IN (SELECT url FROM pages WHERE page_id % 2 = 0) THEN 1 ELSE 0 END AS state FROM pages",
     "seeds_ngram": f"{_SENTENCES}, {_VALID}, {_NG} {_TOP} 20",
-    "seeds_tfidf": f"""{_SENTENCES}, {_VALID}, {_NG.replace("lower(sentence)", "lower(regexp_replace(sentence, '[0-9]+', ' ', 'g'))") if False else _NG}, tf AS (SELECT doc_id, pos, ngram, count(*) AS tf FROM ng GROUP BY ALL), df AS (SELECT ngram, count(*) AS df FROM tf GROUP BY 1), t AS (SELECT count(*) AS total FROM val),
+    "seeds_tfidf": f"""{_SENTENCES}, {_VALID}, {_NG.replace("lower(sentence)", _NO_NUMBERS)}, tf AS (SELECT doc_id, pos, ngram, count(*) AS tf FROM ng GROUP BY ALL), df AS (SELECT ngram, count(*) AS df FROM tf GROUP BY 1), t AS (SELECT count(*) AS total FROM val),
         w AS (SELECT tf.*, (1 + ln(tf)) * (ln((1 + total) / (1 + df)) + 1) AS w FROM tf JOIN df USING (ngram), t), nn AS (SELECT doc_id, pos, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL)
         SELECT ngram, round(sum(w / norm), 6) AS score FROM w JOIN nn USING (doc_id, pos) GROUP BY 1 ORDER BY score DESC, ngram DESC LIMIT 20""",
+    "seeds_ranges": f"""{_SENTENCES}, {_VALID}, ws AS (SELECT list_filter({_TOK.format(t='sentence')}, lambda w: w NOT IN ('the', 'of', 'der', 'die')) AS w FROM val),
+        ng AS (SELECT unnest(flatten([list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' ')) for n in [1, 2, 3]])) AS ngram FROM ws) {_TOP} 40""",
     "query_builders": f"""{_SENTENCES}, {_VALID}, {_NG} SELECT ngram, '"' || ngram || '"' AS whole, '"' || replace(ngram, ' ', '" "') || '"' AS words FROM ({_TOP} 20)""",
     "newest_sentences": f"{_SENTENCES}, {_VALID} SELECT doc_id, pos FROM val ORDER BY doc_id DESC, doc_id * 1000 + pos LIMIT 20",
     "seed_selection_new": f"SELECT id, source FROM {_SEEDS} WHERE num_searches = 0 ORDER BY source DESC, id LIMIT 3",
     "seed_selection_any": f"SELECT id, source FROM {_SEEDS} ORDER BY num_searches, source DESC, date_added, last_searched NULLS FIRST, id LIMIT 8",
-    "search_accept": f"WITH {_RES}, k AS (SELECT * FROM r WHERE h % 10 NOT IN (3, 4) QUALIFY row_number() OVER (PARTITION BY link ORDER BY seed_order, rank) = 1) SELECT query, rank, link FROM k QUALIFY row_number() OVER (PARTITION BY query ORDER BY rank) <= 10",
+    "search_accept": f"{_accepted(5, 1 << 30)} SELECT 'q' || (step - 1) AS query, x.rank AS rank, x.link AS link FROM (SELECT step, unnest(got) AS x FROM w WHERE step > 0)",
+    "search_fetches": f"{_accepted(50, 3)}, t AS (SELECT 'q' || (step - 1) AS query, unnest(got).link AS url FROM w WHERE step > 0) SELECT query, NULL::BIGINT AS count, url FROM t UNION ALL SELECT DISTINCT r.query, (SELECT count(*) FROM t WHERE t.query = r.query), NULL FROM r",
     "top_results": f"WITH {_RES} SELECT query, rank, link FROM r WHERE rank < 5",
     "similar_seeds": f"{_SENTENCES}, {_VALID}, {_NG} SELECT ngram FROM ({_TOP} 200) WHERE regexp_matches(ngram, '(?i)(The)|(of)')",
     "seed_report": """

@@ -38,21 +38,27 @@ def visit_rounds(spark, d):
     return out
 
 
+def _pages(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet")
+
+
 def enrich_pages(spark, d):
-    p = spark.range(120).select(F.col("id").cast("int").alias("k"))
+    """Pages, whose numbers stand for URLs, with the counters of those that were crawled."""
+    p = _pages(spark, d).select(F.col("page_id").cast("int").alias("k"))
     return crawl.enrich(p, url_counters(spark, d).select("k", "count", "delta"), "k").select("k", "count", "delta", F.col("count").isNull().alias("is_new"))
 
 
 def blacklist_urls(spark, d):
-    u = spark.range(30).select(F.col("id").cast("string").alias("url"))
-    failed = u.filter("url like '1%'").select("url", F.when(F.col("url") == "1", "CtypeError").alias("error"))
-    left, gone = crawl.blacklist_urls(u, failed)
+    p = _pages(spark, d)
+    failed = p.filter("page_id % 3 = 1").select("url", F.when(F.col("page_id") % 2 == 0, "CtypeError").alias("error"))
+    left, gone = crawl.blacklist_urls(p.select("url"), failed)
     return left.select("url", F.lit("url").alias("kind")).unionByName(gone.select("url", F.col("source_type").alias("kind")))
 
 
 def insert_absent(spark, d):
-    store = spark.range(5).select("id", F.lit("old").alias("v"))
-    return crawl.insert_absent(store, spark.range(3, 9).select("id", F.lit("new").alias("v")), "id")
+    p = _pages(spark, d)
+    store = p.filter("page_id % 3 = 0").select("url", F.lit("old").alias("v"))
+    return crawl.insert_absent(store, p.filter("page_id % 2 = 0").select("url", F.lit("new").alias("v")), "url")
 
 
 def seed_counters(spark, d):
@@ -60,8 +66,38 @@ def seed_counters(spark, d):
 
 
 def delete_seeds(spark, d):
-    s = spark.range(10).select("id", (F.col("id") % 3).alias("num_searches"))
-    return seeds.delete(s, s.filter("id > 4"), F.lit(1)).select("id", F.col("deleted").isNotNull().alias("deleted"))
+    s = _pages(spark, d).select(F.col("url").alias("id"), "page_id", (F.col("page_id") % 3).alias("num_searches"))
+    return seeds.delete(s, s.filter("page_id % 5 > 1"), F.lit(1)).select("id", F.col("deleted").isNotNull().alias("deleted"))
+
+
+def delete_found(spark, d):
+    """URLs of one domain go, with their sentences: counts of what goes, and the URLs that stay."""
+    p = _pages(spark, d)
+    urls_ = p.select("url", (F.col("page_id") % 7).alias("count"), F.lit(1).alias("crawls"))
+    sents = p.withColumn("url", F.explode(F.array_repeat("url", F.col("page_id").cast("int") % 3)))
+    out = review.delete_found(urls_, sents, True, url="EXAMPLE.net", min_count=2)
+    return out["urls"].select("url", F.lit(None).cast("long").alias("n")).unionByName(out["deleted"].select("url", F.col("n_sentences").alias("n")))
+
+
+def _labelled(spark, d):
+    """Documents as sentences: labels, skips and validators by rule."""
+    user = lambda k: F.lit(k).cast("int")
+    rows = spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").cast("string").alias("id"), "doc_id", F.col("source").alias("url"), "text", F.col("doc_id").alias("date_added"), F.lit(None).cast("struct<by:string,comment:string,date:timestamp>").alias("deleted"))
+    none = "array<struct<user:int,label:string,date:timestamp>>"
+    when = lambda k, x, t: F.when(F.col("doc_id") % k == 0, x).otherwise(F.array().cast(t))
+    label = F.array(F.struct(user(7).alias("user"), F.lit("be").alias("label"), F.lit(None).cast("timestamp").alias("date")))
+    return rows.withColumns({"validated_by": when(2, F.array(user(1)), "array<int>"), "labels": when(3, label, none), "skipped_by": when(5, F.array(user(7)), "array<int>")})
+
+
+def label_one(spark, d):
+    """What one user sees and leaves: the next sentence, one asked for, and the rows after a label, a skip and a deletion."""
+    rows, now = _labelled(spark, d), F.lit("2024-01-01").cast("timestamp")
+    shown = review.next_to_label(rows, 7).unionByName(review.next_to_label(rows, 7, "6")).unionByName(review.next_to_label(rows, 7, "7")).unionByName(review.next_to_label(rows, 7, "10"))
+    shown = shown.select("id", F.coalesce("current", F.lit("-")).alias("v"), F.col("remaining").alias("n"), F.lit("shown").alias("kind"))
+    for id_, value, delete in (("6", "zh", False), ("8", "?", False), ("10", "vs", False), ("12", "", True)):
+        rows = review.label_one(rows, id_, 7, value, now, delete)
+    after = rows.select("id", F.concat_ws(":", F.array_join(F.transform("labels", lambda x: x["label"]), ","), F.size("skipped_by"), F.col("deleted").isNotNull().cast("string")).alias("v"), F.lit(0).cast("long").alias("n"), F.lit("row").alias("kind"))
+    return shown.unionByName(after)
 
 
 def bulk_labels(spark, d):
@@ -80,7 +116,7 @@ def searchable_links(spark, d):
 
 
 def display_formats(spark, d):
-    c = spark.read.parquet(f"{d}/orders.parquet").filter("o_orderkey < 50")
+    c = spark.read.parquet(f"{d}/orders.parquet")
     share = (F.col("o_orderkey") % 11) / 10
     return c.select("o_orderkey", text_.stamp(F.col("o_orderdate")).alias("at"), text_.hue(share).alias("hue"), text_.vote_of(F.array(F.struct(F.lit(1).alias("user"), F.lit("be").alias("label"))), (F.col("o_orderkey") % 2).cast("int")).alias("vote"))
 
@@ -93,17 +129,24 @@ def split_builtin(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.size(split.split_builtin(F.col("text"))).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (visit_rounds, enrich_pages, blacklist_urls, insert_absent, seed_counters, delete_seeds, bulk_labels, custom_url_filter, searchable_links, display_formats, similar_urls, split_builtin)}
+QUERIES = {f.__name__: f for f in (visit_rounds, enrich_pages, blacklist_urls, insert_absent, seed_counters, delete_seeds, delete_found, label_one, bulk_labels, custom_url_filter, searchable_links, display_formats, similar_urls, split_builtin)}
 ORACLE_SQL = {
     "visit_rounds": "SELECT * FROM (VALUES ('http://s.ch/', '1', 'visited'), ('http://s.ch/a', '2', 'visited'), ('http://s.ch/b', '2', 'visited'), ('http://s.ch/', 'The first', 'sentence'), ('http://s.ch/a', 'The secon', 'sentence'), ('http://s.ch/b', 'auto', 'blacklist'), ('http://s.ch/c', 'http://s.ch/a', 'leftover')) v(url, extra, kind)",
-    "enrich_pages": f"WITH {_EVENTS}, {_COUNTERS} SELECT CAST(r AS INTEGER) AS k, count, delta, count IS NULL AS is_new FROM range(120) t(r) LEFT JOIN uc ON k = r",
-    "blacklist_urls": "SELECT CAST(r AS VARCHAR) AS url, CASE WHEN r = 1 THEN 'error' WHEN r BETWEEN 10 AND 19 THEN 'auto' ELSE 'url' END AS kind FROM range(30) t(r)",
-    "insert_absent": "SELECT r AS id, CASE WHEN r < 5 THEN 'old' ELSE 'new' END AS v FROM range(9) t(r)",
+    "enrich_pages": f"WITH {_EVENTS}, {_COUNTERS} SELECT CAST(page_id AS INTEGER) AS k, count, delta, count IS NULL AS is_new FROM pages LEFT JOIN uc ON k = page_id",
+    "blacklist_urls": "SELECT url, CASE WHEN page_id % 6 = 4 THEN 'error' WHEN page_id % 6 = 1 THEN 'auto' ELSE 'url' END AS kind FROM pages",
+    "insert_absent": "SELECT url, CASE WHEN page_id % 3 = 0 THEN 'old' ELSE 'new' END AS v FROM pages WHERE page_id % 3 = 0 OR page_id % 2 = 0",
     "seed_counters": f"WITH {_EVENTS} SELECT k, sum(n)::BIGINT AS count, max(ts) AS delta_date, count(*) AS usages FROM ev GROUP BY k",
-    "delete_seeds": "SELECT r AS id, r > 4 AS deleted FROM range(10) t(r) WHERE r <= 4 OR r % 3 > 0",
+    "delete_seeds": "SELECT url AS id, page_id % 5 > 1 AS deleted FROM pages WHERE page_id % 5 <= 1 OR page_id % 3 > 0",
+    "delete_found": """WITH g AS (SELECT *, contains(lower(url), 'example.net') AND page_id % 7 >= 2 AS gone FROM pages)
+        SELECT url, CASE WHEN gone THEN page_id % 3 END AS n FROM g WHERE NOT gone OR page_id % 3 > 0""",
+    "label_one": """WITH s AS (SELECT doc_id::VARCHAR AS id, doc_id, source, doc_id % 2 = 0 AS valid, doc_id % 3 = 0 AS labelled, doc_id % 5 = 0 AS skipped FROM documents),
+        o AS (SELECT * FROM s WHERE valid AND NOT labelled AND NOT skipped), left_ AS (SELECT source, count(*) AS n FROM o GROUP BY 1),
+        sh AS (SELECT * FROM (SELECT * FROM o ORDER BY source, doc_id, id LIMIT 1) UNION ALL SELECT * FROM s WHERE id IN ('6', '10'))
+        SELECT id, CASE WHEN skipped THEN '?' WHEN labelled THEN 'be' ELSE '-' END AS v, coalesce(n, 0) AS n, 'shown' AS kind FROM sh LEFT JOIN left_ USING (source)
+        UNION ALL SELECT id, CASE WHEN id = '6' THEN 'zh' WHEN id = '10' THEN 'vs' WHEN labelled THEN 'be' ELSE '' END || ':' || CASE WHEN id = '8' OR skipped AND id <> '10' THEN 1 ELSE 0 END || ':' || CASE WHEN id = '12' THEN 'true' ELSE 'false' END, 0, 'row' FROM s""",
     "bulk_labels": "SELECT * FROM (VALUES ('1', 7, 'be'), ('2', 7, 'skip'), ('30', 7, 'zh')) v(id, \"user\", action)",
     "custom_url_filter": "SELECT page_id, CASE WHEN url NOT LIKE '%example.net%' THEN regexp_replace(url, '^http:', 'https:') END AS link FROM pages",
     "searchable_links": "SELECT * FROM (VALUES (0, false), (1, false), (2, true), (3, false)) v(id, ok)",
-    "display_formats": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS at, CAST(round(least((o_orderkey % 11) / 10, 1.0) * 120) AS INTEGER) AS hue, CASE WHEN o_orderkey % 2 = 1 THEN 'be' END AS vote FROM orders WHERE o_orderkey < 50",
+    "display_formats": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS at, CAST(round(least((o_orderkey % 11) / 10, 1.0) * 120) AS INTEGER) AS hue, CASE WHEN o_orderkey % 2 = 1 THEN 'be' END AS vote FROM orders",
     "similar_urls": "SELECT page_id FROM pages WHERE lower(url) LIKE '%example.com/fr%'",
 }

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+from uuid import uuid4
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions import extract, urls
-from corpusloom.operators import crawl
+from corpusloom.functions import extract, rules, urls
+from corpusloom.operators import crawl, loop
+from corpusloom.sources import config, tables
 
 from . import sql
 
@@ -32,7 +38,6 @@ CASES = [
     ("http://a.ch/x", "http://w.ch/cat?x.jpg", None),
 ]
 _CASES = "(VALUES " + ", ".join(f"({k}, {sql.lit(b)}, {sql.lit(h)}, {sql.lit(w) if w else 'CAST(NULL AS VARCHAR)'})" for k, (b, h, w) in enumerate(CASES)) + ") v(id, base, href, link)"
-LINES = ["http://a.ch/one", "http://a.ch/one", "not a url", "ftp://x.ch/file", "http://b.de/x.jpg", "https://known.ch/", "http://c.us/two"]
 
 
 def _pages(spark, d):
@@ -66,29 +71,83 @@ def plain_text(spark, d):
     return _pages(spark, d).select("page_id", F.md5(extract.plain_text(F.col("html"))).alias("text_md5"))
 
 
+def _paragraphs(spark, d):
+    return _pages(spark, d).select("page_id", extract.paragraphs(F.col("html")).alias("ps"))
+
+
 def extract_paragraphs(spark, d):
-    rows = _pages(spark, d).select("page_id", F.posexplode(extract.paragraphs(F.col("html"))).alias("pos", "p"))
-    return rows.select("page_id", "pos", extract.classify(F.col("p")).alias("class"), F.length("p.text").alias("n"), F.col("p.link_chars").alias("link_chars"))
+    rows = _paragraphs(spark, d).select("page_id", F.posexplode("ps").alias("pos", "p"))
+    return rows.select("page_id", "pos", extract.classify(F.col("p")).alias("class"), F.md5("p.text").alias("text_md5"), F.col("p.link_chars").alias("link_chars"), F.col("p.heading").alias("heading"))
+
+
+def paragraphs_in_context(spark, d):
+    """How many paragraphs of each class a page has, by themselves with a stop list and among their neighbours."""
+    words = ["the", "of", "and", "in", "de", "la", "der", "die"]
+    rows = _paragraphs(spark, d).select("page_id", "ps", F.transform("ps", lambda p: extract.classify(p, words, 0.1, 0.2)).alias("own"))
+    rows = rows.select("page_id", "own", extract.in_context("own", F.transform("ps", lambda p: p["heading"]), F.transform("ps", lambda p: F.length(p["text"]))).alias("all"))
+    count = lambda c, kind: F.size(F.filter(c, lambda x: x == kind)).alias(f"{c}_{kind}")
+    return rows.select("page_id", *[count("own", k) for k in ("good", "neargood", "short", "bad")], *[count("all", k) for k in ("good", "bad")])
 
 
 def clever_text(spark, d):
-    return _pages(spark, d).select("page_id", F.length(extract.clever_text(F.col("html"))).alias("n"))
+    return _pages(spark, d).select("page_id", F.md5(extract.clever_text(F.col("html"))).alias("text_md5"))
 
 
 def crawl_page(spark, d):
-    return extract.crawl(_pages(spark, d)).select("url", F.length("text").alias("n"), F.size("hrefs").alias("n_links"), "error")
+    rows = _pages(spark, d).select("url", "html", F.when(F.col("page_id") % 9 == 0, "image/png").otherwise("Text/HTML; charset=utf-8").alias("ctype"), F.when(F.col("page_id") % 7 == 3, "ConnectionError").alias("failed"))
+    return extract.crawl(rows, content_type="ctype", failed="failed").select("url", F.md5("text").alias("text_md5"), F.size("hrefs").alias("n_links"), "error")
 
 
-def crawl_round(spark, d):
+def _of(rows):
+    return rows.withColumn("proba", F.when(F.col("sentence").contains(" of "), 1.0).otherwise(0.0))
+
+
+def _round(spark, d, **kwargs):
     pages = _pages(spark, d).select("url", "html", F.lit(1).alias("depth"), F.lit(None).cast("timestamp").alias("delta_date"))
-    store, blacklist = spark.createDataFrame([], "text string"), spark.createDataFrame([], "url string")
-    r = crawl.crawl_round(pages, store, blacklist, lambda s: s.withColumn("proba", F.when(F.col("sentence").contains(" of "), 1.0).otherwise(0.0)))
-    return r.counts.select("url", "sentence_count", "sg_count", "new_count")
+    return crawl.crawl_round(pages, spark.createDataFrame([], "text string"), spark.createDataFrame([], "url string"), _of, **kwargs)
+
+
+def crawl_round(spark, d):
+    return _round(spark, d).counts.select("url", "sentence_count", "sg_count", "new_count")
+
+
+def save_pages(spark, d):
+    """Two rounds over the pages saved as facts, and the states that follow: URLs with counters, texts, sentences, blacklist."""
+    root = f"{crawl.shared_dir(spark)}/corpusloom/{uuid4().hex}"
+    done = _round(spark, d, cut=crawl.checkpointed)
+    for day in ("2024-01-01", "2024-01-02"):
+        tables.save_round(done, root, F.lit(day).cast("timestamp"))
+    urls_ = tables.url_state(spark, root).select("url", F.concat_ws(":", "count", "delta", "crawls", "sents_count", F.dayofmonth("delta_date")).alias("v"), F.lit("url").alias("kind"))
+    texts = tables.text_state(spark, root).select(F.concat_ws(",", "urls").alias("url"), F.concat_ws(":", "id", F.md5("text")).alias("v"), F.lit("text").alias("kind"))
+    found = tables.load(spark, root, "sentences").groupBy("url").agg(F.countDistinct("id").alias("n"), F.count(F.lit(1)).alias("all")).select("url", F.concat_ws(":", "n", "all").alias("v"), F.lit("sentences").alias("kind"))
+    gone = tables.load(spark, root, "blacklist").select("url", F.col("source_type").alias("v"), F.lit("blacklist").alias("kind")).distinct()
+    return crawl.checkpointed(urls_.unionByName(texts).unionByName(found).unionByName(gone))
+
+
+def configured_turn(spark, d):
+    """A turn of the loop from a configuration: some stages named, one the user's own, the rest the simplest."""
+    named = {"crawler": ".plain_crawler", "normalizer": "_I_", "splitter": "_I_", "sentence_filter": "_I_", "sg_detector": "_I_", "url_filter": "_I_", "decider": ".decider", "seed_creator": ".frequent_seeds"}
+    made = config.load({"pipeline": named, "crawler_options": None, "decider_options": {"min_ratio": 0.5}, "seed_creator_options": {"ngram_range": [2, 3], "max": 30, "stopwords": ["the", "of", "de", "la"]}, "options": {"crawl_depth": 1}})
+    tools = replace(config.tools(made), sg_detector=_of, splitter=lambda t: F.split(t, r"\. "))
+    pages = _pages(spark, d)
+    results = pages.select(F.concat(F.lit("q"), F.col("page_id") % 3).alias("query"), F.floor(F.col("page_id") / 3).cast("long").alias("rank"), F.col("url").alias("link"))
+    queries = results.select("query", F.substring("query", 2, 1).cast("int").alias("seed_order")).distinct()
+    none = spark.createDataFrame([], "url string")
+    taken, visit, seeds = loop.turn(pages, queries, results, spark.createDataFrame([], "text string"), none, none, tools, config.options(made), most=1 << 30)
+    parts = ((taken.groupBy("query").agg(F.count(F.lit(1)).alias("n")), "query", "taken"), (visit.sentences.groupBy("url").agg(F.count(F.lit(1)).alias("n")), "url", "sentences"), (seeds, "ngram", "seed"), (visit.blacklist.select("url", F.lit(1).alias("n")), "url", "blacklist"))
+    return reduce(DataFrame.unionByName, [f.select(F.col(c).alias("what"), F.col("n").cast("long").alias("n"), F.lit(kind).alias("kind")) for f, c, kind in parts])
+
+
+def _lines(spark, d):
+    """URL lists made of the pages' URLs: as they are, every third again with a fragment, broken lines and binary files."""
+    every = lambda k, line: F.when(F.col("page_id") % k == 0, line)
+    lines = F.array(F.col("url"), every(3, F.concat("url", F.lit("#again"))), every(5, F.concat(F.lit("page "), "page_id")), every(4, F.concat(F.regexp_replace("url", r"[?#].*$", ""), F.lit(".jpg"))))
+    return _pages(spark, d).select("page_id", F.posexplode(lines).alias("k", "url")).filter("url is not null").select((F.col("page_id") * 4 + F.col("k")).alias("line"), "url")
 
 
 def loader_status(spark, d):
-    lines = spark.createDataFrame(list(enumerate(LINES)), "line int, url string")
-    return crawl.loader_status(lines, "url", spark.createDataFrame([("https://known.ch/",)], "url string")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    known = _pages(spark, d).filter("page_id % 6 = 1").select(F.regexp_replace("url", "#.*$", "").alias("url"))
+    return crawl.loader_status(_lines(spark, d), "url", known).select("line", "status")
 
 
 def url_filename(spark, d):
@@ -96,7 +155,20 @@ def url_filename(spark, d):
 
 
 _PARTS = "SELECT page_id, url, regexp_extract(url, '^([a-zA-Z]+):', 1) AS scheme, regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) AS netloc, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*[?]([^#]*)', 1) AS query FROM pages"
-QUERIES = {f.__name__: f for f in (url_parts, url_keep, fix_query_params, site_fixes, extract_links, plain_text, extract_paragraphs, clever_text, crawl_page, crawl_round, loader_status, url_filename)}
+_UNESCAPE = "replace(replace(replace(replace(replace(replace(replace(replace({t}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&amp;', '&')"
+_SQUEEZE = "trim(regexp_replace({t}, '[\\s\\x{{A0}}]+', ' ', 'g'))"
+_HIDDEN = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<head\b.*?</head\s*>', ' ', 'g'), '(?is)<!--.*?-->|<!doctype[^>]*>', ' ', 'g')"
+_BLOCK = r"</?(?:address|article|aside|blockquote|body|caption|center|col|dd|div|dl|dt|fieldset|form|h1|h2|h3|h4|h5|h6|legend|li|optgroup|option|p|pre|table|td|textarea|tfoot|th|thead|tr|ul|nav|header|footer|main|section)\b[^>]*>"
+_PARAGRAPHS = rf"""pb AS (SELECT page_id, url, html, unnest(l) AS b, unnest(range(len(l))) AS k FROM (SELECT page_id, url, html, string_split_regex(regexp_replace({_HIDDEN}, '(?i)<(/?)h1>', '<\1h1>' || chr(1), 'g'), '(?i){_BLOCK}') AS l FROM pages)),
+    pt AS (SELECT page_id, url, k, {_SQUEEZE.format(t=_UNESCAPE.format(t="regexp_replace(replace(b, chr(1), ''), '<[^>]*>', ' ', 'g')"))} AS text, coalesce(list_sum(list_transform(regexp_extract_all(b, '<a [^>]*>([^<]*)</a>', 1), lambda x: length({_SQUEEZE.format(t=_UNESCAPE.format(t="x"))}))), 0) AS linked, starts_with(b, chr(1)) AS h FROM pb),
+    pp AS (SELECT page_id, url, text, least(linked, length(text))::INTEGER AS link_chars, h AS heading, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS pos FROM pt WHERE text <> ''),
+    pc AS (SELECT *, CASE WHEN link_chars / length(text) > 0.2 OR text LIKE '%©%' THEN 'bad' WHEN length(text) < 70 THEN CASE WHEN link_chars > 0 THEN 'bad' ELSE 'short' END WHEN length(text) > 200 THEN 'good' ELSE 'neargood' END AS class FROM pp),
+    pg AS (SELECT p.page_id, p.url, coalesce(string_agg(pc.text, chr(10) ORDER BY pos), '') AS text FROM pages p LEFT JOIN pc ON pc.page_id = p.page_id AND class LIKE '%good' GROUP BY ALL)"""
+_PLAIN = f"""pl AS (SELECT page_id, url, {_SQUEEZE.format(t=_UNESCAPE.format(t="regexp_replace(" + _HIDDEN.replace("(?is)<head\\b.*?</head\\s*>", "(?is)<form\\b.*?</form\\s*>") + ", '(?s)<[^>]*>', ' ', 'g')"))} AS text FROM pages)"""
+_ROUND = f"""WITH {_PARAGRAPHS}, n AS (SELECT url AS doc_id, {sql.normalized("text")} AS t FROM pg), {sql.split_cte("n")}, val AS (SELECT * FROM sent WHERE sentence <> '' AND {sql.valid("sentence", rules.DEFAULT)}),
+    fs AS (SELECT * FROM val WHERE sentence LIKE '% of %' QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY doc_id, pos) = 1),
+    rc AS (SELECT p.url, count(val.pos) AS sentence_count, count(*) FILTER (val.sentence LIKE '% of %') AS sg_count, count(fs.pos) AS new_count FROM pages p LEFT JOIN val ON val.doc_id = p.url LEFT JOIN fs ON fs.doc_id = val.doc_id AND fs.pos = val.pos GROUP BY 1)"""
+QUERIES = {f.__name__: f for f in (url_parts, url_keep, fix_query_params, site_fixes, extract_links, plain_text, extract_paragraphs, paragraphs_in_context, clever_text, crawl_page, crawl_round, save_pages, configured_turn, loader_status, url_filename)}
 ORACLE_SQL = {
     "url_parts": f"SELECT page_id, scheme, netloc, path, query FROM ({_PARTS})",
     "url_keep": f"SELECT page_id, scheme LIKE 'http%' AND NOT (path LIKE '%.%' AND list_contains({urls.EXTENSIONS}, lower(string_split(path, '.')[-1]))) AND NOT list_contains({urls.BLOCKED_TLDS}, lower(string_split(netloc, '.')[-1])) AND netloc NOT LIKE '%wikipedia.org' AS keep FROM ({_PARTS})",
@@ -107,9 +179,23 @@ ORACLE_SQL = {
         f AS (SELECT page_id, bare, pos, root || href AS link FROM h),
         k AS (SELECT * FROM f WHERE rtrim(link, '/') <> bare AND NOT (regexp_extract(link, '[^/]*//[^/]*(.*)', 1) LIKE '%.%' AND string_split(link, '.')[-1] IN ('pdf', 'jpg', 'art', 'max', 'int', 'raw', 'sun')))
         SELECT page_id, CAST(pos AS INTEGER) AS pos, link FROM k QUALIFY row_number() OVER (PARTITION BY page_id, rtrim(link, '/') ORDER BY pos) = 1""",
-    "plain_text": r"""
-        WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<!--.*?-->|<!doctype[^>]*>', ' ', 'g') AS h FROM pages),
-        b AS (SELECT page_id, regexp_replace(h, '(?s)<[^>]*>', ' ', 'g') AS t FROM a)
-        SELECT page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&nbsp;', ' '), '&amp;', '&'), '[\s\x{A0}]+', ' ', 'g'))) AS text_md5 FROM b""",
-    "loader_status": "SELECT * FROM (VALUES ('enqueued', 2), ('duplicate', 2), ('malformed', 1), ('ignored', 2)) v(status, n)",
+    "plain_text": f"WITH {_PLAIN} SELECT page_id, md5(text) AS text_md5 FROM pl",
+    "extract_paragraphs": f"WITH {_PARAGRAPHS} SELECT page_id, pos, class, md5(text) AS text_md5, link_chars, heading FROM pc",
+    "clever_text": f"""WITH c AS (SELECT page_id, regexp_replace({_HIDDEN.replace("(?is)<head\\b.*?</head\\s*>", "(?is)<footer\\b.*?</footer\\s*>")}, '(?s)<[^>]*>', ' ', 'g') AS t FROM pages) SELECT page_id, md5({_SQUEEZE.format(t=_UNESCAPE.format(t="t"))}) AS text_md5 FROM c""",
+    "crawl_page": f"""WITH {_PARAGRAPHS}, q AS (SELECT *, CASE WHEN page_id % 7 = 3 THEN 'ConnectionError' WHEN page_id % 9 = 0 THEN 'CtypeError' END AS error FROM pg JOIN pages USING (page_id, url))
+        SELECT url, CASE WHEN error IS NULL THEN md5(text) END AS text_md5, CASE WHEN error IS NULL THEN len(regexp_extract_all(html, '<a href=')) END AS n_links, error FROM q""",
+    "crawl_round": f"{_ROUND} SELECT * FROM rc",
+    "save_pages": f"""{_ROUND}, ok AS (SELECT * FROM rc WHERE sg_count > 0), tx AS (SELECT md5(text) AS id, md5(text) AS t, string_agg(DISTINCT url, ',' ORDER BY url) AS urls FROM pg JOIN ok USING (url) GROUP BY 1, 2)
+        SELECT url, (2 * new_count) || ':' || new_count || ':2:' || sentence_count || ':2' AS v, 'url' AS kind FROM ok UNION ALL SELECT urls, id || ':' || t, 'text' FROM tx
+        UNION ALL SELECT url, new_count || ':' || (2 * new_count), 'sentences' FROM ok WHERE new_count > 0 UNION ALL SELECT url, 'auto', 'blacklist' FROM rc WHERE sg_count = 0""",
+    "configured_turn": f"""WITH {_PLAIN}, u AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY 1), sp AS (SELECT url, unnest(l) AS sentence, unnest(range(len(l))) AS pos FROM (SELECT url, string_split(text, '. ') AS l FROM pl)),
+        f AS (SELECT * FROM sp WHERE sentence LIKE '% of %' QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY url, pos) = 1),
+        w AS (SELECT list_filter(regexp_extract_all(lower(sentence), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda x: x NOT IN ('the', 'of', 'de', 'la')) AS w FROM f),
+        ng AS (SELECT unnest(list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS ngram FROM w)
+        SELECT 'q' || (page_id % 3) AS what, count(*) AS n, 'taken' AS kind FROM u GROUP BY 1 UNION ALL SELECT url, count(*), 'sentences' FROM f GROUP BY 1
+        UNION ALL SELECT * FROM (SELECT ngram, count(*) AS n, 'seed' FROM ng GROUP BY 1 ORDER BY n DESC, ngram DESC LIMIT 30) UNION ALL SELECT url, 1, 'blacklist' FROM sp GROUP BY 1 HAVING count_if(sentence LIKE '% of %') = 0""",
+    "loader_status": """WITH l AS (SELECT page_id * 4 + k AS line, u FROM (SELECT page_id, unnest([url, CASE WHEN page_id % 3 = 0 THEN url || '#again' END, CASE WHEN page_id % 5 = 0 THEN 'page ' || page_id END, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '[?#].*$', '') || '.jpg' END]) AS u, unnest([0, 1, 2, 3]) AS k FROM pages) WHERE u IS NOT NULL),
+        x AS (SELECT line, CASE WHEN starts_with(u, 'page ') THEN 'malformed' WHEN suffix(u, '.jpg') THEN 'ignored' END AS status, regexp_replace(u, '#.*$', '') AS u FROM l), known AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS u FROM pages WHERE page_id % 6 = 1)
+        SELECT line, coalesce(status, CASE WHEN u IN (SELECT u FROM known) OR row_number() OVER (PARTITION BY status, u ORDER BY line) > 1 THEN 'duplicate' ELSE 'enqueued' END) AS status FROM x""",
+    "url_filename": "SELECT page_id, replace(url_encode(url), '%2F', '@') AS name FROM pages",
 }

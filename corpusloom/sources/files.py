@@ -20,8 +20,21 @@ def seed_list(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter((F.trim("id") != "") & ~F.startswith("id", F.lit(" "))).select("line", F.trim("id").alias("id"))
 
 
+def lines(path: str) -> list[str]:
+    return Path(path).read_text(encoding="utf-8").splitlines()
+
+
 def word_list(path: str) -> list[str]:
-    return [w for w in (line.strip() for line in Path(path).read_text(encoding="utf-8").splitlines()) if w]
+    return [w for w in (line.strip() for line in lines(path)) if w]
+
+
+def rules(path: str) -> list:
+    """Sentence rules of a YAML or JSON file."""
+    import yaml
+
+    from corpusloom.functions.rules import from_config
+
+    return from_config(yaml.safe_load("\n".join(lines(path))))
 
 
 def pages(spark: SparkSession, path: str) -> DataFrame:
