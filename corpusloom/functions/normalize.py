@@ -12,7 +12,9 @@ from pyspark.sql.types import StringType
 
 #: All Unicode white space, spelled out because engines differ on \s.
 SPACE = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-BLANKS = r"[\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000} ]+"
+_WIDE = r"\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}"
+#: Runs of blanks but single spaces, which may stay.
+BLANKS = rf"[{_WIDE}][{_WIDE} ]*| [{_WIDE} ]+"
 WORD = r"[\p{L}\p{N}_]"
 EMOJI = r"[\x{2300}-\x{23FF}\x{2B50}-\x{2B55}\x{2600}-\x{2800}\x{10000}-\x{10FFFF}]"
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .normalize import let
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TENS = ["", "X", "XX"]
 _ROMAN = [t + u for t in _TENS for u in ("", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX")][1:21]
@@ -77,15 +79,14 @@ def _periods(words: Column, table: tuple[list[str], list[str]], strict: bool) ->
     """Words joined again, with a break after those whose period ends a sentence: a look ahead of one word."""
     always, numeric = table
 
-    def word(w: Column, i: Column) -> Column:
-        after = F.get(words, i + 1)
+    def word(w: Column, after: Column) -> Column:
         prefix, closed = F.regexp_extract(w, ENDING, 1), F.regexp_extract(w, ENDING, 2) != ""
         held = prefix.isin(always) & ~closed
         number = prefix.isin(numeric) & ~closed & after.rlike("^[0-9]") if numeric else F.lit(False)
-        ends = F.endswith(w, F.lit(".")) & after.isNotNull() & ~held & ~w.rlike(ACRONYM) & after.rlike(STRICT_STARTER if strict else STARTER) & ~number
+        ends = F.endswith(w, F.lit(".")) & after.isNotNull() & after.rlike(STRICT_STARTER if strict else STARTER) & ~w.rlike(ACRONYM) & ~held & ~number
         return F.when(ends, F.concat(w, F.lit("\n"))).otherwise(w)
 
-    return F.array_join(F.transform(words, word), " ")
+    return let(words, lambda ws: F.array_join(F.transform(ws, lambda w, i: word(w, F.get(ws, i + 1))), " "))
 
 
 def split_paragraph(text: Column, more: bool = True, langs: list[str] = LANGS, strict: bool = False, own: dict[str, bool] | None = None) -> Column:
@@ -118,7 +119,7 @@ def split_marked(text: Column, more: bool = True, lang: str = "de", own: dict[st
     lines = F.transform(F.split(text, "\n", -1), lambda x: F.when(x.rlike(MARK), F.concat(F.lit("\n"), x, F.lit("\n"))).otherwise(x))
     blocks = paragraphs(F.array_join(lines, "\n"), False)
     is_mark = lambda b: F.coalesce(b.rlike(MARK), F.lit(True))
-    blocks = F.filter(blocks, lambda b, i: ~is_mark(b) | ~is_mark(F.get(blocks, i - 1)))
+    blocks = let(blocks, lambda bs: F.filter(bs, lambda b, i: ~is_mark(b) | ~is_mark(F.get(bs, i - 1))))
     return F.flatten(F.transform(blocks, lambda b: F.when(is_mark(b), F.array(b)).otherwise(split_paragraph(b, more, [lang], True, own))))
 
 

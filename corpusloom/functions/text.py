@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .normalize import let
+
 
 def text_id(text: Column) -> Column:
     """A content address, the same in any engine."""
@@ -47,8 +49,9 @@ def without_words(tokens: Column, stop_words: list[str]) -> Column:
 def ngrams(tokens: Column, n: int | tuple[int, int] = 3) -> Column:
     """The runs of n tokens, or of from n[0] to n[1] tokens."""
     if isinstance(n, tuple):
-        return F.flatten(F.array(*[ngrams(tokens, k) for k in range(n[0], n[1] + 1)]))
-    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+        return let(tokens, lambda ts: F.flatten(F.array(*[ngrams(ts, k) for k in range(n[0], n[1] + 1)])))
+    runs = lambda ts: F.transform(F.sequence(F.lit(1), F.size(ts) - n + 1), lambda i: F.array_join(F.slice(ts, i, F.lit(n)), " "))
+    return let(tokens, lambda ts: F.when(F.size(ts) >= n, runs(ts)).otherwise(F.array().cast("array<string>")))
 
 
 def percent(value: Column, digits: int = 1) -> Column:
