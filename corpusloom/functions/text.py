@@ -15,6 +15,11 @@ def text_id(text: Column) -> Column:
     return F.md5(text)
 
 
+def password_hash(password: Column) -> Column:
+    """As users are stored."""
+    return F.md5(password)
+
+
 def quoted(query: Column) -> Column:
     """The whole query in quotes."""
     return F.concat(F.lit('"'), F.btrim(query), F.lit('"'))

@@ -63,8 +63,25 @@ def should_blacklist(delta_date: Column, hits: Column) -> Column:
     return delta_date.isNull() & (hits == 0)
 
 
+def always(_: Column | None = None) -> Column:
+    return F.lit(True)
+
+
 class Decider:
-    """What to crawl, follow and blacklist, as columns; subclasses change one or the other."""
+    """What to crawl, follow and blacklist, as columns: all but new pages without a hit."""
+
+    def crawl(self, delta_date: Column, delta: Column, asof: Column) -> Column:
+        return always()
+
+    def follow(self, sentences: Column, hits: Column, new: Column) -> Column:
+        return always()
+
+    def blacklist(self, delta_date: Column, hits: Column) -> Column:
+        return should_blacklist(delta_date, hits)
+
+
+class BasicDecider(Decider):
+    """Recrawls after a pause, and follows by ratio."""
 
     def __init__(self, **options):
         self.opt = Options(**options)
@@ -75,18 +92,15 @@ class Decider:
     def follow(self, sentences: Column, hits: Column, new: Column) -> Column:
         return should_follow(sentences, hits, self.opt)
 
-    def blacklist(self, delta_date: Column, hits: Column) -> Column:
-        return should_blacklist(delta_date, hits)
-
 
-class NewPagesDecider(Decider):
+class NewPagesDecider(BasicDecider):
     """Only pages that were never crawled."""
 
     def crawl(self, delta_date: Column, delta: Column, asof: Column) -> Column:
         return should_crawl_new_only(delta_date)
 
 
-class NewSentenceDecider(Decider):
+class NewSentenceDecider(BasicDecider):
     """Only links of pages that gave a new sentence."""
 
     def follow(self, sentences: Column, hits: Column, new: Column) -> Column:
@@ -215,7 +229,7 @@ def rounds(edges: DataFrame, start: DataFrame, max_depth: int, src: str = "src",
 
 @dataclass(frozen=True)
 class Tools:
-    """The stages of a crawl, each of which a user may exchange; the defaults do as little as a stage can, but for the crawler and the decider."""
+    """The stages of a crawl, each of which a user may exchange; the defaults do as little as a stage can."""
 
     crawler: Callable[[DataFrame], DataFrame] = extract.crawl  # (url, html) to (url, text, hrefs, error)
     normalizer: Callable[[Column], Column] = lambda text: text
@@ -236,7 +250,7 @@ def usual(detector: Callable[[DataFrame], DataFrame], opt: Options = Options())
         sentence_filter=lambda s: rules.valid(s, rules.DEFAULT),
         sg_detector=detector,
         url_filter=urls.fix,
-        decider=Decider(min_ratio=opt.min_ratio, active_recrawl=opt.active_recrawl, min_recrawl=opt.min_recrawl),
+        decider=BasicDecider(min_ratio=opt.min_ratio, active_recrawl=opt.active_recrawl, min_recrawl=opt.min_recrawl),
     )
 
 

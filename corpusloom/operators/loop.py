@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions import urls
+
 from . import crawl, seeds
 
 
@@ -21,6 +23,13 @@ class Visit:
     leftovers: DataFrame
 
 
+def enqueue(lines: DataFrame, blacklist: DataFrame, counters: DataFrame | None = None, url: str = "url") -> DataFrame:
+    """Start URLs of a list: fixed, worth a visit, not blacklisted, each once, with the counters of those that are known."""
+    fixed = lines.filter(urls.is_url(F.col(url))).select(urls.fix(F.col(url)).alias("url")).filter("url is not null").distinct()
+    start = crawl.not_blacklisted(fixed, blacklist)
+    return start if counters is None else crawl.enrich(start, counters)
+
+
 def visit(pages: DataFrame, start: DataFrame, store: DataFrame, blacklist: DataFrame, tools: crawl.Tools | Callable[[DataFrame], DataFrame], opt: crawl.Options = crawl.Options(), counters: DataFrame | None = None, asof: str | None = None, cut: Callable[[DataFrame], DataFrame] = crawl.checkpointed) -> Visit:
     """Breadth-first rounds over a table of pages (url, html) from the URLs ``start``.
 

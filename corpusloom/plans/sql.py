@@ -37,8 +37,8 @@ def _breaks(text: str, more: bool, strict: bool) -> str:
     return text
 
 
-def split_cte(source: str, key: str = "doc_id", text: str = "t", name: str = "sent", more: bool = True, strict: bool = False) -> str:
-    """CTEs from ``source`` (key, t: normalised text) to ``name`` (key, pos, sentence), distinct in their page."""
+def split_cte(source: str, key: str = "doc_id", text: str = "t", name: str = "sent", more: bool = True, strict: bool = False, unique: bool = True) -> str:
+    """CTEs from ``source`` (key, t: normalised text) to ``name`` (key, pos, sentence), distinct in their page if ``unique``."""
     always, numeric = ([lit(w) for w in ws] for ws in split.prefixes(split.LANGS))
     ends = f"""suffix(w, '.') AND i < len(ws) AND NOT (regexp_extract(w, {lit(split.ENDING)}, 1) IN ({", ".join(always)}) AND regexp_extract(w, {lit(split.ENDING)}, 2) = '')
         AND NOT regexp_matches(w, {lit(split.ACRONYM)}) AND regexp_matches(ws[i + 1], {lit(split.STRICT_STARTER if strict else split.STARTER)})
@@ -48,7 +48,7 @@ def split_cte(source: str, key: str = "doc_id", text: str = "t", name: str = "se
     {name}_j AS (SELECT {key}, k, array_to_string(list_transform(ws, lambda w, i: CASE WHEN {ends} THEN w || chr(10) ELSE w END), ' ') AS t FROM {name}_w),
     {name}_s AS (SELECT {key}, k, unnest(l) AS sentence, unnest(range(len(l))) AS j FROM (SELECT {key}, k, string_split({clean('t')}, chr(10)) AS l FROM {name}_j)),
     {name}_d AS (SELECT {key}, sentence, k, j, row_number() OVER (PARTITION BY {key}, sentence ORDER BY k, j) AS r FROM {name}_s),
-    {name} AS (SELECT {key}, CAST(row_number() OVER (PARTITION BY {key} ORDER BY k, j) - 1 AS INTEGER) AS pos, sentence FROM {name}_d WHERE r = 1)"""
+    {name} AS (SELECT {key}, CAST(row_number() OVER (PARTITION BY {key} ORDER BY k, j) - 1 AS INTEGER) AS pos, sentence FROM {name}_d{" WHERE r = 1" if unique else ""})"""
 
 
 def count(s: str, pattern: str) -> str:

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from uuid import uuid4
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions import split, urls
+from corpusloom.functions import normalize, punkt, rules, split, urls
 from corpusloom.functions import text as text_
 from corpusloom.operators import crawl, loop, review, seeds
+from corpusloom.sources import files, tables
 
+from . import sql
 from .crawling import _COUNTERS, _EVENTS, _events, url_counters
+from .web import _LOADED, _lines
 
 SITE = [
     ("http://s.ch/", '<p>The first page has words of the kind we seek, and it is long enough to pass all of them.</p><a href="/a">a</a><a href="/b">b</a><a href="/x.pdf">x</a>'),
@@ -101,8 +108,72 @@ def label_one(spark, d):
 
 
 def bulk_labels(spark, d):
-    form = spark.createDataFrame([("sentence-1", "be"), ("sentence-2", "?x"), ("csrf", "z"), ("sentence-30", "zh")], "key string, value string")
-    return review.bulk_labels(form, 7)
+    """Documents as the fields of a form: labels, skips, and fields that are none."""
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    key = F.concat(F.when(F.col("doc_id") % 7 == 0, "csrf-").otherwise("sentence-"), "doc_id")
+    return review.bulk_labels(docs.select(key.alias("key"), F.concat(F.when(F.col("doc_id") % 3 == 0, "?").otherwise(""), "lang").alias("value")), 7)
+
+
+def enqueue_urls(spark, d):
+    counters = _pages(spark, d).filter("page_id % 4 = 0").select(F.regexp_replace("url", "#.*$", "").alias("url"), F.col("page_id").alias("count"))
+    return loop.enqueue(_lines(spark, d), _pages(spark, d).filter("page_id % 5 = 0").select("url"), counters.groupBy("url").agg(F.max("count").alias("count")))
+
+
+def _lines_of(spark, d, name, rows):
+    path = f"{crawl.shared_dir(spark)}/corpusloom/{uuid4().hex}-{name}"
+    rows.write.text(path)
+    return path
+
+
+def seed_file(spark, d):
+    """A list with a seed on each line, those after a space left out, inserted where unseen."""
+    words = spark.read.parquet(f"{d}/part.parquet").select(F.concat(F.when(F.col("p_partkey") % 4 == 0, " ").otherwise(""), "p_name").alias("value"))
+    seeds_ = files.seed_list(spark, _lines_of(spark, d, "seeds", words)).select("id", F.lit("file").alias("source"))
+    store = spark.read.parquet(f"{d}/part.parquet").filter("p_partkey % 3 = 0").select(F.col("p_name").alias("id"), F.lit("old").alias("source")).distinct()
+    return crawl.insert_absent(store, seeds_, "id")
+
+
+def text_tools(spark, d):
+    """The normaliser, the splitter and the rules as jobs over files of lines: how often each line comes out."""
+    lines = spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.split("text", "\n")).alias("value"))
+    a = _lines_of(spark, d, "lines", lines)
+    files.tool(spark, a, f"{a}-clean", lambda c: normalize.normalize(c, emojis=False))
+    files.tool(spark, f"{a}-clean", f"{a}-split", split.split)
+    files.tool(spark, f"{a}-split", f"{a}-valid", lambda c: F.when(rules.valid(c, rules.DEFAULT), c))
+    return crawl.checkpointed(spark.read.text(f"{a}-valid").filter("value is not null and value != ''").groupBy(F.md5("value").alias("id")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def default_stages(spark, d):
+    """A round with stages that do as little as they can: lines are sentences, all of the target language, all links followed."""
+    pages = _pages(spark, d).select("url", F.concat(F.lit("<p>"), "url", F.lit("</p>")).alias("html"), F.lit(1).alias("depth"), F.lit(None).cast("timestamp").alias("delta_date"))
+    tools = crawl.Tools(crawler=lambda rows: rows.select("url", F.concat("url", F.lit("\n"), F.substring("url", 1, 12)).alias("text"), F.array(F.lit("http://next.ch/"), F.concat("url", F.lit("/x"))).alias("hrefs"), F.lit(None).cast("string").alias("error")))
+    none = spark.createDataFrame([], "url string")
+    r = crawl.crawl_round(pages, spark.createDataFrame([], "text string"), none, tools)
+    found = r.new_sentences.select("url", F.col("sentence").alias("what"), F.lit("sentence").alias("kind"))
+    return found.unionByName(r.children.select("url", F.col("parent").alias("what"), F.lit("child").alias("kind"))).unionByName(r.blacklist.select("url", F.lit("").alias("what"), F.lit("blacklist").alias("kind")))
+
+
+def key_access(spark, d):
+    """Users by name and password, one row by its key, and which of many keys a table has."""
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    users = c.select(F.col("c_name").alias("id"), F.md5("c_mktsegment").alias("password"), F.lit(None).cast("array<string>").alias("roles"))
+    name = "Customer#000000007"
+    out = [tables.login(users, name, p).select("id", F.lit(f"login {p}").alias("kind")) for p in ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE")]
+    out.append(tables.get(users, "id", name).select("id", F.lit("get").alias("kind")))
+    keys = spark.read.parquet(f"{d}/supplier.parquet").select(F.regexp_replace("s_name", "Supplier", "Customer").alias("id"))
+    return reduce(DataFrame.unionByName, [*out, tables.existing(users, keys, "id").select("id", F.lit("exists").alias("kind"))])
+
+
+def learned_prefixes(spark, d):
+    """Abbreviations of the documents, some of whose words are given a period."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.regexp_replace("text", " (of|de|zu) ", " $1. ").alias("text"))
+    return punkt.fit(docs).select("prefix", F.round("score", 4).alias("score"))
+
+
+def split_learned(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    rows = docs.select("doc_id", F.posexplode(punkt.split_learned(F.regexp_replace("text", " (of|de|zu) ", " $1. "), ["of", "de", "zu"])).alias("pos", "sentence"))
+    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))), lambda x: x["sentence"]), "\n")).alias("text_md5"))
 
 
 def custom_url_filter(spark, d):
@@ -111,8 +182,9 @@ def custom_url_filter(spark, d):
 
 
 def searchable_links(spark, d):
-    rows = [(0, "http://a.ch/x.PDF"), (1, "https://www.youtube.com/w"), (2, "http://a.ch/doc"), (3, "http://a.ch/a.docx?x")]
-    return spark.createDataFrame(rows, "id int, link string").select("id", seeds.searchable(F.col("link")).alias("ok"))
+    """Pages' URLs, some of them as documents and videos."""
+    ending = F.when(F.col("page_id") % 5 == 0, ".PDF").when(F.col("page_id") % 5 == 1, ".docx?x").when(F.col("page_id") % 5 == 2, "?v=youtube.com").otherwise(".pdfs")
+    return _pages(spark, d).select("page_id", seeds.searchable(F.concat(F.regexp_replace("url", r"[?#].*$", ""), ending)).alias("ok"))
 
 
 def display_formats(spark, d):
@@ -129,7 +201,7 @@ def split_builtin(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.size(split.split_builtin(F.col("text"))).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (visit_rounds, enrich_pages, blacklist_urls, insert_absent, seed_counters, delete_seeds, delete_found, label_one, bulk_labels, custom_url_filter, searchable_links, display_formats, similar_urls, split_builtin)}
+QUERIES = {f.__name__: f for f in (visit_rounds, enrich_pages, blacklist_urls, insert_absent, seed_counters, delete_seeds, delete_found, label_one, bulk_labels, enqueue_urls, seed_file, text_tools, default_stages, key_access, learned_prefixes, split_learned, custom_url_filter, searchable_links, display_formats, similar_urls, split_builtin)}
 ORACLE_SQL = {
     "visit_rounds": "SELECT * FROM (VALUES ('http://s.ch/', '1', 'visited'), ('http://s.ch/a', '2', 'visited'), ('http://s.ch/b', '2', 'visited'), ('http://s.ch/', 'The first', 'sentence'), ('http://s.ch/a', 'The secon', 'sentence'), ('http://s.ch/b', 'auto', 'blacklist'), ('http://s.ch/c', 'http://s.ch/a', 'leftover')) v(url, extra, kind)",
     "enrich_pages": f"WITH {_EVENTS}, {_COUNTERS} SELECT CAST(page_id AS INTEGER) AS k, count, delta, count IS NULL AS is_new FROM pages LEFT JOIN uc ON k = page_id",
@@ -144,9 +216,28 @@ ORACLE_SQL = {
         sh AS (SELECT * FROM (SELECT * FROM o ORDER BY source, doc_id, id LIMIT 1) UNION ALL SELECT * FROM s WHERE id IN ('6', '10'))
         SELECT id, CASE WHEN skipped THEN '?' WHEN labelled THEN 'be' ELSE '-' END AS v, coalesce(n, 0) AS n, 'shown' AS kind FROM sh LEFT JOIN left_ USING (source)
         UNION ALL SELECT id, CASE WHEN id = '6' THEN 'zh' WHEN id = '10' THEN 'vs' WHEN labelled THEN 'be' ELSE '' END || ':' || CASE WHEN id = '8' OR skipped AND id <> '10' THEN 1 ELSE 0 END || ':' || CASE WHEN id = '12' THEN 'true' ELSE 'false' END, 0, 'row' FROM s""",
-    "bulk_labels": "SELECT * FROM (VALUES ('1', 7, 'be'), ('2', 7, 'skip'), ('30', 7, 'zh')) v(id, \"user\", action)",
+    "bulk_labels": "SELECT doc_id::VARCHAR AS id, 7 AS user, CASE WHEN doc_id % 3 = 0 THEN 'skip' ELSE lang END AS action FROM documents WHERE doc_id % 7 <> 0",
+    "enqueue_urls": f"""WITH {_LOADED}, u AS (SELECT DISTINCT u AS url FROM x WHERE status IS NULL), c AS (SELECT regexp_replace(url, '#.*$', '') AS url, max(page_id) AS count FROM pages WHERE page_id % 4 = 0 GROUP BY 1)
+        SELECT url, count FROM u LEFT JOIN c USING (url) WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 5 = 0)""",
+    "seed_file": """WITH s AS (SELECT DISTINCT p_name AS id FROM part WHERE p_partkey % 3 = 0), n AS (SELECT DISTINCT trim(p_name) AS id FROM part WHERE p_partkey % 4 <> 0 AND trim(p_name) <> '')
+        SELECT id, 'old' AS source FROM s UNION ALL SELECT id, 'file' FROM n WHERE id NOT IN (SELECT id FROM s)""",
+    "text_tools": f"""WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents), n AS (SELECT row_number() OVER () AS doc_id, t FROM (SELECT {sql.normalized("line")} AS t FROM l)),
+        p AS (SELECT doc_id, {sql.clean("t")} AS p FROM n), q AS (SELECT doc_id, t FROM n WHERE t <> ''), {sql.split_cte("q", unique=False)} SELECT md5(sentence) AS id, count(*) AS n FROM sent WHERE sentence <> '' AND {sql.valid("sentence", rules.DEFAULT)} GROUP BY 1""",
+    "default_stages": """WITH p AS (SELECT DISTINCT url FROM pages), s AS (SELECT url, url AS what FROM p UNION SELECT url, url[1:12] FROM p)
+        SELECT min(url) AS url, what, 'sentence' AS kind FROM s GROUP BY what UNION ALL SELECT 'http://next.ch/', min(url), 'child' FROM p UNION ALL SELECT regexp_replace(url || '/x', '#.*$', ''), min(url), 'child' FROM p GROUP BY 1""",
+    "key_access": """SELECT c_name AS id, 'login ' || c_mktsegment AS kind FROM customer WHERE c_name = 'Customer#000000007' UNION ALL SELECT c_name, 'get' FROM customer WHERE c_name = 'Customer#000000007'
+        UNION ALL SELECT DISTINCT c_name, 'exists' FROM customer WHERE c_name IN (SELECT replace(s_name, 'Supplier', 'Customer') FROM supplier)""",
+    "learned_prefixes": r"""WITH w AS (SELECT lower(regexp_extract(unnest(string_split_regex(regexp_replace(text, ' (of|de|zu) ', ' \1. ', 'g'), '[\s\x{A0}]+')), '^[^\p{L}\p{N}]*([\p{L}\p{N}][\p{L}\p{N}.\-]*)[^\p{L}\p{N}.]*$', 1)) AS w FROM documents),
+        c AS (SELECT rtrim(w, '.') AS prefix, count_if(suffix(w, '.')) AS a, count_if(NOT suffix(w, '.')) AS b FROM w WHERE w <> '' GROUP BY 1), t AS (SELECT sum(a) / sum(a + b) AS p FROM c),
+        s AS (SELECT prefix, a, b, p, length(prefix) - length(replace(prefix, '.', '')) + 1 AS k FROM c, t WHERE a > 0 AND regexp_matches(prefix, '\p{L}') AND p < 1),
+        x AS (SELECT prefix, -2 * (a * ln(p) + b * ln(1 - p) - a * ln(0.99::DOUBLE) - b * ln(1 - 0.99::DOUBLE)) * exp(-(length(prefix) - k + 1)) * k * pow(length(prefix) - k + 1, -b) AS score FROM s)
+        SELECT prefix, round(score, 4) AS score FROM x WHERE score >= 0.3""",
+    "split_learned": r"""WITH l AS (SELECT doc_id, k, list_filter(string_split_regex(p, '[ \t\r]+'), lambda w: w <> '') AS ws FROM (SELECT doc_id, unnest(l) AS p, unnest(range(len(l))) AS k FROM (SELECT doc_id, list_filter(string_split(regexp_replace(text, ' (of|de|zu) ', ' \1. ', 'g'), chr(10)), lambda p: trim(p, ' ' || chr(9) || chr(13)) <> '') AS l FROM documents))),
+        j AS (SELECT doc_id, k, array_to_string(list_transform(ws, lambda w, i: w || CASE WHEN i = len(ws) THEN '' WHEN regexp_matches(w, '[.?!]["'')\]}]*$') AND NOT regexp_matches(w, '^\p{L}\.$') AND NOT (regexp_matches(w, '\.\.+$') AND regexp_matches(ws[i + 1], '^\p{Ll}'))
+            AND NOT (suffix(w, '.') AND lower(rtrim(regexp_extract(w, '^[^\p{L}\p{N}]*([\p{L}\p{N}][\p{L}\p{N}.\-]*)[^\p{L}\p{N}.]*$', 1), '.')) IN ('of', 'de', 'zu')) THEN chr(10) ELSE ' ' END), '') AS t FROM l)
+        SELECT doc_id, sum(len(string_split(t, chr(10))))::BIGINT AS n, md5(string_agg(t, chr(10) ORDER BY k)) AS text_md5 FROM j GROUP BY 1""",
     "custom_url_filter": "SELECT page_id, CASE WHEN url NOT LIKE '%example.net%' THEN regexp_replace(url, '^http:', 'https:') END AS link FROM pages",
-    "searchable_links": "SELECT * FROM (VALUES (0, false), (1, false), (2, true), (3, false)) v(id, ok)",
+    "searchable_links": "SELECT page_id, page_id % 5 > 2 AS ok FROM pages",
     "display_formats": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS at, CAST(round(least((o_orderkey % 11) / 10, 1.0) * 120) AS INTEGER) AS hue, CASE WHEN o_orderkey % 2 = 1 THEN 'be' END AS vote FROM orders",
     "similar_urls": "SELECT page_id FROM pages WHERE lower(url) LIKE '%example.com/fr%'",
 }

@@ -168,6 +168,8 @@ _PLAIN = f"""pl AS (SELECT page_id, url, {_SQUEEZE.format(t=_UNESCAPE.format(t="
 _ROUND = f"""WITH {_PARAGRAPHS}, n AS (SELECT url AS doc_id, {sql.normalized("text")} AS t FROM pg), {sql.split_cte("n")}, val AS (SELECT * FROM sent WHERE sentence <> '' AND {sql.valid("sentence", rules.DEFAULT)}),
     fs AS (SELECT * FROM val WHERE sentence LIKE '% of %' QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY doc_id, pos) = 1),
     rc AS (SELECT p.url, count(val.pos) AS sentence_count, count(*) FILTER (val.sentence LIKE '% of %') AS sg_count, count(fs.pos) AS new_count FROM pages p LEFT JOIN val ON val.doc_id = p.url LEFT JOIN fs ON fs.doc_id = val.doc_id AND fs.pos = val.pos GROUP BY 1)"""
+_LOADED = """l AS (SELECT page_id * 4 + k AS line, u FROM (SELECT page_id, unnest([url, CASE WHEN page_id % 3 = 0 THEN url || '#again' END, CASE WHEN page_id % 5 = 0 THEN 'page ' || page_id END, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '[?#].*$', '') || '.jpg' END]) AS u, unnest([0, 1, 2, 3]) AS k FROM pages) WHERE u IS NOT NULL),
+    x AS (SELECT line, CASE WHEN starts_with(u, 'page ') THEN 'malformed' WHEN suffix(u, '.jpg') THEN 'ignored' END AS status, regexp_replace(u, '#.*$', '') AS u FROM l)"""
 QUERIES = {f.__name__: f for f in (url_parts, url_keep, fix_query_params, site_fixes, extract_links, plain_text, extract_paragraphs, paragraphs_in_context, clever_text, crawl_page, crawl_round, save_pages, configured_turn, loader_status, url_filename)}
 ORACLE_SQL = {
     "url_parts": f"SELECT page_id, scheme, netloc, path, query FROM ({_PARTS})",
@@ -194,8 +196,7 @@ ORACLE_SQL = {
         ng AS (SELECT unnest(list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS ngram FROM w)
         SELECT 'q' || (page_id % 3) AS what, count(*) AS n, 'taken' AS kind FROM u GROUP BY 1 UNION ALL SELECT url, count(*), 'sentences' FROM f GROUP BY 1
         UNION ALL SELECT * FROM (SELECT ngram, count(*) AS n, 'seed' FROM ng GROUP BY 1 ORDER BY n DESC, ngram DESC LIMIT 30) UNION ALL SELECT url, 1, 'blacklist' FROM sp GROUP BY 1 HAVING count_if(sentence LIKE '% of %') = 0""",
-    "loader_status": """WITH l AS (SELECT page_id * 4 + k AS line, u FROM (SELECT page_id, unnest([url, CASE WHEN page_id % 3 = 0 THEN url || '#again' END, CASE WHEN page_id % 5 = 0 THEN 'page ' || page_id END, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '[?#].*$', '') || '.jpg' END]) AS u, unnest([0, 1, 2, 3]) AS k FROM pages) WHERE u IS NOT NULL),
-        x AS (SELECT line, CASE WHEN starts_with(u, 'page ') THEN 'malformed' WHEN suffix(u, '.jpg') THEN 'ignored' END AS status, regexp_replace(u, '#.*$', '') AS u FROM l), known AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS u FROM pages WHERE page_id % 6 = 1)
+    "loader_status": f"""WITH {_LOADED}, known AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS u FROM pages WHERE page_id % 6 = 1)
         SELECT line, coalesce(status, CASE WHEN u IN (SELECT u FROM known) OR row_number() OVER (PARTITION BY status, u ORDER BY line) > 1 THEN 'duplicate' ELSE 'enqueued' END) AS status FROM x""",
     "url_filename": "SELECT page_id, replace(url_encode(url), '%2F', '@') AS name FROM pages",
 }

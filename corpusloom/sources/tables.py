@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import password_hash
+
 _DELETED = "struct<by: string, comment: string, date: timestamp>"
 _SOURCE = "struct<type: string, extra: string>"
 
@@ -66,3 +68,18 @@ def url_state(spark: SparkSession, root: str) -> DataFrame:
 def text_state(spark: SparkSession, root: str) -> DataFrame:
     """Raw texts with all their URLs."""
     return load(spark, root, "texts").groupBy("id").agg(F.any_value("text").alias("text"), F.array_sort(F.collect_set("url")).alias("urls"), F.min("date_added").alias("date_added"))
+
+
+def get(rows: DataFrame, key: str, value) -> DataFrame:
+    """The row of a key, or none."""
+    return rows.filter(F.col(key) == value).limit(1)
+
+
+def existing(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Of many keys, those that a table has."""
+    return keys.select(key).distinct().join(rows.select(key), key, "left_semi")
+
+
+def login(users: DataFrame, name: str, password: str) -> DataFrame:
+    """The user of a name and password, or none."""
+    return get(users.filter(F.col("password") == password_hash(F.lit(password))), "id", name)

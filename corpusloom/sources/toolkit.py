@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import extract, langid, normalize, rules, split, urls
+from corpusloom.functions import extract, langid, normalize, punkt, rules, split, urls
 from corpusloom.operators import crawl, seeds
 
 from . import files, tables
@@ -42,6 +42,12 @@ def strict_splitter(lang: str = "de", prefix_file: str | None = None, more: bool
     return partial(split.split_marked, more=more, lang=lang, own=_prefixes(prefix_file))
 
 
+def learned_splitter(abbreviations: str | None = None):
+    """By learned abbreviations, a table (prefix, score) stored as Parquet; by none without it."""
+    table = punkt.collected(SparkSession.active().read.parquet(abbreviations)) if abbreviations else []
+    return partial(punkt.split_learned, abbreviations=table)
+
+
 def builtin_splitter(lang: str = "en"):
     return partial(split.split_builtin, lang=lang)
 
@@ -76,7 +82,7 @@ def pattern_filter(drop: list[str], rewrites: list[tuple[str, str]] = ()):
     return lambda url, href: urls.custom_filter(url, drop, rewrites)
 
 
-decider, new_pages_decider, new_sentence_decider = crawl.Decider, crawl.NewPagesDecider, crawl.NewSentenceDecider
+decider, new_pages_decider, new_sentence_decider = crawl.BasicDecider, crawl.NewPagesDecider, crawl.NewSentenceDecider
 
 
 def table_saver(root: str, date: str):
