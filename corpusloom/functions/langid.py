@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .normalize import let
 
 #: Lengths of the n-grams, how many of them the model has, and from how many rows of each label it is fitted, at most.
-LENGTHS, FEATURES, ROWS = (3, 4, 5), 6000, 250
+LENGTHS, FEATURES, ROWS = (3, 4, 5), 6000, 100
 
 
 def sanitize(text: Column) -> Column:
@@ -30,7 +30,8 @@ def grams(text: Column, n: int = 3) -> Column:
 def labelled(docs: DataFrame, label: str = "lang", key: str = "doc_id", rows: int = ROWS) -> DataFrame:
     """The rows that a model is fitted from: so many of each label, by the hash of their key."""
     first = F.row_number().over(Window.partitionBy(label).orderBy(F.md5(F.col(key).cast("string")), key))
-    return docs.filter(F.col(label).isNotNull()).withColumn("__r", first).filter(F.col("__r") <= rows).drop("__r")
+    keys = docs.filter(F.col(label).isNotNull()).select(label, key).withColumn("__r", first).filter(F.col("__r") <= rows).select(key)
+    return docs.filter(F.col(label).isNotNull()).join(F.broadcast(keys), key, "left_semi")  # as many as rows times labels
 
 
 def fit(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", features: int = FEATURES, lengths: tuple[int, ...] = LENGTHS, rows: int = ROWS) -> DataFrame:

@@ -66,8 +66,16 @@ REWRITES: list[tuple[bool, str, str]] = [
     (True, rf"[{SPACE}]+(\n|$)", r"\1"),
 ]
 
-#: The first so many rewrites concern code points of this class only; a text without any of them skips these.
-SPECIAL, N_SPECIAL = r"[^\n\x20-\x5F\x61-\x7E\x{A1}-\x{AA}\x{AC}\x{AE}\x{B0}-\x{B3}\x{B5}-\x{BA}\x{BC}-\x{E5}\x{E7}-\x{FF}]|''", 29
+
+
+def listed(*ranges: tuple[int, int]) -> str:
+    """Code points under 256 one by one, for a class: the JVM looks those up in a table, while it tries ranges in turn."""
+    return "".join(f"\\x{c:02X}" for a, b in ranges for c in range(a, b + 1))
+
+
+#: The first so many rewrites concern code points out of this list only; a text without any of them skips these.
+PLAIN = listed((0x0A, 0x0A), (0x20, 0x5F), (0x61, 0x7E), (0xA1, 0xAA), (0xAC, 0xAC), (0xAE, 0xAE), (0xB0, 0xB3), (0xB5, 0xBA), (0xBC, 0xE5), (0xE7, 0xFF))
+SPECIAL, N_SPECIAL = f"[^{PLAIN}]|''", 29
 
 #: Code points under it are their own NFC, alone and in any order.
 FIRST_COMBINING = r"[\x{300}-\x{10FFFF}]"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .normalize import listed
+
 Bounds = tuple[float | None, float | None]
 
 
@@ -34,6 +35,10 @@ class Rule:
             raise ValueError(f"{self.name}: find has a count or a ratio")
 
 
+#: Bounds of counts that ask whether there is a match at all.
+NONE_OR_SOME = {(None, 0): False, (0, 0): False, (1, None): True}
+
+
 def within(value: Column, bounds: Bounds) -> Column:
     least, most = bounds
     parts = ([value >= F.lit(least)] if least is not None else []) + ([value <= F.lit(most)] if most is not None else [])
@@ -52,8 +57,11 @@ def holds(rule: Rule, s: Column) -> Column:
         ok = within(_count(s, rule.compare[0]) / (_count(s, rule.compare[1]) + 1), rule.ratio)
     else:
         n = _count(s, rule.find)
-        ok = within(n, rule.count) if rule.count is not None else within(F.when(F.length(s) > 0, n / F.length(s)).otherwise(0.0), rule.ratio)
-    guards = ([within(F.length(s), rule.when_length)] if rule.when_length is not None else []) + ([_count(s, rule.when_find) > 0] if rule.when_find is not None else [])
+        if rule.count in NONE_OR_SOME:  # the first match decides
+            ok = s.rlike(rule.find) == NONE_OR_SOME[rule.count]
+        else:
+            ok = within(n, rule.count) if rule.count is not None else within(F.when(F.length(s) > 0, n / F.length(s)).otherwise(0.0), rule.ratio)
+    guards = ([within(F.length(s), rule.when_length)] if rule.when_length is not None else []) + ([s.rlike(rule.when_find)] if rule.when_find is not None else [])
     return reduce(lambda a, g: ~g | a, guards, ok)
 
 
@@ -72,7 +80,7 @@ DEFAULT: list[Rule] = [
     Rule("min_letters", find=r"\p{L}", count=(30, None)),
     Rule("min_words", find=r"\p{L}+", count=(5, None)),
     Rule("spaces", find=" ", ratio=(0.065, 0.25)),
-    Rule("non_sg_letters", find=r"[\p{L}\p{M}\p{Nl}\p{Pc}&&[^äÄöÖüÜa-zA-Z]]", count=(None, 2)),
+    Rule("non_sg_letters", find=rf"(?=[^{listed((0x00, 0x5E), (0x60, 0x7F))}äÄöÖüÜ])[\p{{L}}\p{{M}}\p{{Nl}}\p{{Pc}}]", count=(None, 2)),
     Rule("letter_density", find=r"\p{L}", ratio=(0.6, None)),
     Rule("has_tabs", find=r"\t|\s{4,}", count=(None, 0)),
     Rule("bad_chars", find=r"[|\[\]]|>>|<<|…|---|©|®|°|§|·| > |\{|\}", count=(None, 0)),
@@ -168,8 +176,3 @@ def from_config(entries: list[dict]) -> list[Rule]:
 def examples(rules: list[Rule]) -> list[tuple[str, str, bool]]:
     """(rule, text, must fail) of the rules' own examples."""
     return [(r.name, t, f) for r in rules for f, ts in ((True, r.fails), (False, r.passes)) for t in ts]
-
-
-def portable(pattern: str) -> str:
-    """The pattern for engines without class intersection."""
-    return re.sub(r"\[\\p\{L\}\\p\{M\}\\p\{Nl\}\\p\{Pc\}&&.*\]", r"[\\p{L}\\p{M}\\p{Nl}\\p{Pc}]", pattern)

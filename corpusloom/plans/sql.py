@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from corpusloom.functions import normalize, rules, split
 
 
@@ -52,9 +50,8 @@ def split_cte(source: str, key: str = "doc_id", text: str = "t", name: str = "se
 
 
 def count(s: str, pattern: str) -> str:
-    if "&&" in pattern:  # letters and the like that aren't in the target alphabet
-        own = re.search(r"&&\[\^(.*?)\]\]", pattern)[1]
-        return f"({count(s, rules.portable(pattern))} - {count(s, '[' + own + ']')})"
+    if pattern.startswith("(?="):  # no look-ahead there: letters and the like, but for those of the target alphabet
+        return f"({count(s, pattern[pattern.index(')') + 1 :])} - {count(s, '[äÄöÖüÜa-zA-Z]')})"
     return f"len(regexp_extract_all({s}, {lit(re2(pattern))}))"
 
 

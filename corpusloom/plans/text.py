@@ -181,7 +181,7 @@ MIN_PROBA = 0.4
 _CLEAN = "trim(replace(regexp_replace(regexp_replace(lower({t}), '[^\\p{{L}} .,]', '', 'g'), ' +', ' ', 'g'), ' .', '.'), ' ')"
 _ALL_GRAMS = "unnest(flatten([list_transform(range(1, length(t) - n + 2), lambda i: t[i:i + n - 1]) for n in [3, 4, 5]]))"
 _MODEL = f"""s AS (SELECT doc_id, lang, {_CLEAN.format(t="text")} AS t FROM documents),
-    lab AS (SELECT * FROM s WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) <= 250),
+    lab AS (SELECT * FROM s WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) <= {langid.ROWS}),
     lc AS (SELECT lang, gram, count(*) AS n FROM (SELECT lang, {_ALL_GRAMS} AS gram FROM lab) GROUP BY ALL),
     v AS (SELECT gram FROM lc GROUP BY gram ORDER BY sum(n) DESC, gram LIMIT 6000),
     m AS (SELECT l.lang AS label, v.gram, ln((coalesce(n, 0) + 1) / (sum(coalesce(n, 0)) OVER (PARTITION BY l.lang) + count(*) OVER (PARTITION BY l.lang))) AS weight

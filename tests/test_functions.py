@@ -280,3 +280,21 @@ def test_savers(spark, tmp_path, capsys):
     assert "a sentence" in capsys.readouterr().out
     toolkit.sentence_saver(f"{tmp_path}/s")(done)
     assert [r.value for r in spark.read.text(f"{tmp_path}/s").collect()] == ["a sentence"]
+
+
+def test_learned_abbreviations(spark):
+    from corpusloom.functions import punkt
+
+    texts = ["We saw dr. Smith and dr. Jones at z.b. noon.", "Then dr. Who left. The word left is common, left and right.", "It was late. We went on, so it was."] * 8
+    table = punkt.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    found = punkt.collected(table)
+    assert {"dr", "z.b"} <= set(found) and not {"left", "was", "on"} & set(found)
+    assert _one(spark, ["Ask dr. Smith. He knows... really! A. Jones too?"], lambda c: punkt.split_learned(c, found)) == [["Ask dr. Smith.", "He knows... really!", "A. Jones too?"]]
+    assert _one(spark, ["Ask dr. Smith.", "", "a\n\nbe. c"], punkt.split_learned) == [["Ask dr.", "Smith."], [], ["a", "be.", "c"]]
+
+
+def test_users_and_keys(spark):
+    from corpusloom.sources import tables
+
+    users = spark.createDataFrame([("ann", "5f4dcc3b5aa765d61d8327deb882cf99", ["admin"])], "id string, password string, roles array<string>")
+    assert tables.login(users, "ann", "password").count() == 1 and tables.login(users, "ann", "other").count() == tables.login(users, "bob", "password").count() == 0
