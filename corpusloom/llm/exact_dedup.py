@@ -11,7 +11,8 @@ compared with those of the row that stays; no other text is read again or shuffl
 digest, that digest's rows are grouped by their bytes instead.
 
 :func:`decide` judges a table at once. :func:`add` and :func:`decisions` go on from day to day with a store of their
-own: contents, records and state grow, and decisions are those of one batch of all days.
+own: contents, records and state grow, and decisions are those of one batch of all days; :func:`compact` shortens the
+log of the state's changes.
 
 The row with the most code points in its original text stays; ties go to the smallest id (null ids last), then to the
 first place.
@@ -24,6 +25,7 @@ columns don't matter, whatever their names.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +102,17 @@ def current_state(spark: SparkSession, changes: str) -> DataFrame:
     return log.groupBy("digest").agg(F.max_by(F.struct("best", "n"), "batch").alias("s")).select("digest", "s.best", "s.n")
 
 
+def compact(spark: SparkSession, changes: str) -> None:
+    """The log of changes as its latest entries. A run that stops midway leaves entries twice, which says the same."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(changes)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [x.getPath().toString() for x in fs.listStatus(path)]
+    log = spark.read.option("recursiveFileLookup", "true").schema(f"digest string, best {_RANK}, n bigint, batch int").parquet(changes)
+    log.groupBy("digest").agg(F.max_by(F.struct("best", "n", "batch"), "batch").alias("s")).select("digest", "s.*").write.parquet(f"{changes}/latest-{uuid4().hex}")
+    for folder in old:
+        remove(spark, folder)
+
+
 def _run(spark: SparkSession, root: str, files_per_trigger: int) -> None:
     """Takes the records under ``root`` that are new through the state."""
     stream = spark.readStream.schema(_RECORD).option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", "true").parquet(f"{root}/records")

@@ -90,53 +90,58 @@ def _successor(content: bytes) -> int:
     return len(MAGIC) + head.end() + int(length[1]) + len(END) if length else -1
 
 
-_CANDIDATES = "file string, block long, at long, next long, exit long, size long, type string, id string, refers string, digest string, url string, bytes long, sha string, content binary"
-
-
-def _candidates(keep_content: bool):
-    """Per range: each occurrence of the magic with its would-be successor and the exit of its chain."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("next", pa.int64()), ("exit", pa.int64()), ("size", pa.int64()), ("type", pa.string()), ("id", pa.string()), ("refers", pa.string()), ("digest", pa.string()), ("url", pa.string()), ("bytes", pa.int64()), ("sha", pa.string()), ("content", pa.binary())])
-        here, rows, at = None, [], 0
-
-        def done() -> Iterator[pa.RecordBatch]:
-            exits: dict[int, int] = {}
-            for row in reversed(rows):  # chains only lead on, so one pass from the end resolves them
-                if row["next"] >= 0:
-                    row["exit"] = exits[row["at"]] = exits.get(row["next"], row["next"])
-            for k in range(0, len(rows), 1000):
-                yield pa.RecordBatch.from_pylist(rows[k : k + 1000], schema)
-
-        for batch in batches:
-            for value, file, block in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                content = value.as_py()
-                if (file, block) != here:
-                    yield from done()
-                    here, rows, at = (file, block), [], 0
-                    if block == 0:  # what stands before the first magic of a file
-                        if content:
-                            rows.append({"file": file, "block": block, "at": 0, "next": -1, "size": len(content), "content": content if keep_content else None})
-                        at = len(content)
-                        continue
-                row = {"file": file, "block": block, "at": at, "next": -1, "size": len(MAGIC) + len(content)}
-                n = _successor(content)
-                if n >= 0:
-                    row["next"] = at + n
-                    head = _HEADER.match(content).end()
-                    f = fields(content[:head])
-                    row |= {"type": f.get("warc-type"), "id": f.get("warc-record-id"), "refers": f.get("warc-refers-to"), "digest": f.get("warc-payload-digest"), "url": f.get("warc-target-uri")}
-                    if n <= row["size"]:  # the whole record lies before the next occurrence
-                        payload = content[head : n - len(MAGIC) - len(END)]
-                        payload = payload[payload.find(b"\r\n\r\n") + 4 :]
-                        row |= {"bytes": len(payload), "sha": hashlib.sha256(payload).hexdigest()}
-                if keep_content:
-                    row["content"] = content
-                rows.append(row)
-                at += row["size"]
-        yield from done()
-
-    return run
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bytes, bool]]:
+    """(file, block, place in the range, what follows the magic, whether it is what stands before a file's first magic)."""
+    here, at = None, 0
+    for batch in batches:
+        for value, file, block in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            content, lead = value.as_py(), False
+            if (file, block) != here:
+                here, at, lead = (file, block), 0, block == 0
+            if content or not lead:
+                yield file, block, at, content, lead
+            at += len(content) + (0 if lead else len(MAGIC))
+
+
+_CANDIDATES = pa.schema([("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("next", pa.int64()), ("exit", pa.int64()), ("size", pa.int64()), ("type", pa.string()), ("id", pa.string()), ("refers", pa.string()), ("digest", pa.string()), ("url", pa.string()), ("bytes", pa.int64()), ("sha", pa.string())])
+_CANDIDATE_SHAPE = "file string, block long, at long, next long, exit long, size long, type string, id string, refers string, digest string, url string, bytes long, sha string"
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per range: each occurrence of the magic with its would-be successor and the exit of its chain, but no content."""
+    here, rows = None, []
+
+    def done() -> Iterator[pa.RecordBatch]:
+        exits: dict[int, int] = {}
+        for row in reversed(rows):  # chains only lead on, so one pass from the end resolves them
+            if row["next"] >= 0:
+                row["exit"] = exits[row["at"]] = exits.get(row["next"], row["next"])
+        for k in range(0, len(rows), 1000):
+            yield pa.RecordBatch.from_pylist(rows[k : k + 1000], _CANDIDATES)
+
+    for file, block, at, content, lead in _occurrences(batches):
+        if (file, block) != here:
+            yield from done()
+            here, rows = (file, block), []
+        row = {"file": file, "block": block, "at": at, "next": -1, "size": len(content) + (0 if lead else len(MAGIC))}
+        n = -1 if lead else _successor(content)
+        if n >= 0:
+            row["next"] = at + n
+            head = _HEADER.match(content).end()
+            f = fields(content[:head])
+            row |= {"type": f.get("warc-type"), "id": f.get("warc-record-id"), "refers": f.get("warc-refers-to"), "digest": f.get("warc-payload-digest"), "url": f.get("warc-target-uri")}
+            if n <= row["size"]:  # the whole record lies before the next occurrence
+                payload = content[head : n - len(MAGIC) - len(END)]
+                payload = payload[payload.find(b"\r\n\r\n") + 4 :]
+                row |= {"bytes": len(payload), "sha": hashlib.sha256(payload).hexdigest()}
+        rows.append(row)
+    yield from done()
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What follows each occurrence, one after the other."""
+    for file, block, at, content, _ in _occurrences(batches):
+        yield pa.RecordBatch.from_pydict({"file": pa.array([file]), "block": pa.array([block], pa.int64()), "at": pa.array([at], pa.int64()), "content": pa.array([content], pa.binary())})
 
 
 def _reached(found: DataFrame) -> DataFrame:
@@ -183,20 +188,22 @@ def _rejoined(parts: pd.Series) -> pd.Series:
 def read(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
     """The records under ``path``: file, start, type, id, refers, digest, url, bytes and sha (of the payload), and the payload if ``content``."""
     cut = spark.read.option("lineSep", MAGIC).text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    found = saved(cut.mapInArrow(_candidates(content), _CANDIDATES))
+    found = saved(cut.mapInArrow(_candidates, _CANDIDATE_SHAPE))
     sizes = found.groupBy("file", "block").agg(F.sum("size").alias("size"))
     base = sizes.withColumn("base", F.sum("size").over(Window.partitionBy("file").orderBy("block")) - F.col("size")).drop("size")
     places = {"start": F.col("base") + F.col("at"), "out": F.col("base") + F.col("exit"), "to": F.col("base") + F.col("next")}
-    place = lambda rows: rows.join(base, ["file", "block"]).withColumns(places).drop("base", "at", "next", "exit")
-    placed = place(found)
+    placed = found.join(base, ["file", "block"]).withColumns(places).drop("base", "at", "next", "exit")
+    contents = cut.mapInArrow(_contents, "file string, block long, at long, content binary").join(base, ["file", "block"]).select("file", (F.col("base") + F.col("at")).alias("start"), "content")
     slim = saved(placed.select("file", "block", "start", "out", "to", F.col("sha").isNull().alias("torn")))
     entries = _reached(slim).select("file", F.col("a").alias("start"), F.lit(True).alias("entry"))
     inner = slim.filter("to is not null").join(entries, ["file", "start"], "left").select("file", "block", "start", "to", F.coalesce("entry", F.lit(False)).alias("entry"))
     on = saved(inner.groupBy("file", "block").applyInPandas(_chain, "file string, start long"))
     kept = placed.join(on, ["file", "start"])
     shape = ["file", "start", "type", "id", "refers", "digest", "url"]
-    more = [_payload("content", F.col("to") - F.col("start")).alias("payload")] if content else []
-    out = kept.filter("sha is not null").select(*shape, "bytes", "sha", *more)
+    out = kept.filter("sha is not null")
+    if content:  # read once more, in the second place
+        out = out.join(contents, ["file", "start"]).withColumn("payload", _payload("content", F.col("to") - F.col("start")))
+    out = out.select(*shape, "bytes", "sha", *(["payload"] if content else []))
     # records that the magic in their payload cuts, few as a rule: put what lies up to the successor together, reading its content once more
     chain = slim.join(on.withColumn("on", F.lit(True)), ["file", "start"], "left")
     if chain.filter("on and torn").isEmpty():
@@ -204,8 +211,7 @@ def read(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
     owner = F.last(F.when(F.col("on"), F.struct(F.col("start").alias("owner"), (F.col("to") - F.col("start")).alias("length"), "torn")), True).over(Window.partitionBy("file").orderBy("start"))
     parts = chain.withColumn("o", owner).filter("o.torn").select("file", "start", "o.owner", "o.length")
     parts = saved(parts)
-    contents = placed if content else place(cut.mapInArrow(_candidates(True), _CANDIDATES))
-    parts = contents.select("file", "start", "content").join(small(parts, parts.count(), 300), ["file", "start"])
+    parts = contents.join(small(parts, parts.count(), 300), ["file", "start"])
     joined = parts.groupBy("file", F.col("owner").alias("start"), "length").agg(F.array_sort(F.collect_list(F.struct("start", "content"))).alias("parts"))
     body = joined.select("file", "start", _payload(_rejoined("parts"), F.col("length")).alias("payload"))
     mended = kept.filter("sha is null").select(*shape).join(body, ["file", "start"])

@@ -85,6 +85,8 @@ def test_exact_state_goes_on(spark, docs, plain, edge, tmp_path, digest):
     key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(3))
     for day in (0, 1, 2, 2):
         exact_dedup.add(both.filter(key == day), f"file://{tmp_path}/store", f"day{day}", digest=digest)
+        if day == 1:
+            exact_dedup.compact(spark, f"file://{tmp_path}/store/changes")
     got = exact_dedup.decisions(spark, f"file://{tmp_path}/store").collect()
     rows = plain + EDGE
     assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == _groups(rows)
