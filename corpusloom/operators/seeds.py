@@ -50,6 +50,13 @@ def top_results(results: DataFrame, k: int, query: str = "query", rank: str = "r
     return results.withColumn("__r", F.row_number().over(Window.partitionBy(query).orderBy(rank))).filter(F.col("__r") <= k).drop("__r")
 
 
+def as_fetched(results: DataFrame, page: int = 10, query: str = "query", rank: str = "rank") -> DataFrame:
+    """Results (ranks from zero, without gaps) with ``fetched``, their place as a client that reads pages hands them out: each page from its end."""
+    number = F.floor(F.col(rank) / page)
+    size = F.count(F.lit(1)).over(Window.partitionBy(query, number))
+    return results.withColumn("fetched", (number * page + size - 1 - F.col(rank) % page).cast("long"))
+
+
 def accept(results: DataFrame, known: DataFrame, blacklist: DataFrame, most: int = 10, max_fetches: int = -1, order: str = "seed_order", cut=checkpointed) -> DataFrame:
     """Results (seed_order, query, rank, link) that become URLs, as if the queries were searched one after the other.
 

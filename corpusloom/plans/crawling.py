@@ -12,8 +12,8 @@ from . import sql
 from .text import _MODEL, _SENTENCES, _VALID, valid
 
 ASOF = "2024-01-31 00:00:00"
-SEEDS = [("s%02d" % k, ["user", "seed", "file", "error", "auto"][k % 5], f"2024-01-{1 + k:02d}", k % 4, None if k % 4 == 0 else f"2024-02-{1 + k:02d}", k % 7 == 0) for k in range(20)]
-_SEEDS = "(VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else str(x).lower() if isinstance(x, bool) else str(x) if isinstance(x, int) else sql.lit(x) for x in r) + ")" for r in SEEDS) + ") v(id, source, date_added, num_searches, last_searched, deleted)"
+_SEEDS = """(SELECT c_name AS id, ['user', 'seed', 'file', 'error', 'auto'][c_nationkey % 5 + 1] AS source, DATE '2024-01-01' + (c_custkey % 20)::INTEGER AS date_added, c_custkey % 4 AS num_searches,
+    CASE WHEN c_custkey % 8 <> 0 THEN DATE '2024-02-01' + (c_custkey % 13)::INTEGER END AS last_searched, c_custkey % 7 = 0 AS deleted FROM customer) v"""
 
 
 def _events(spark, d):
@@ -113,16 +113,25 @@ def newest_sentences(spark, d):
     return seeds.newest_sentences(valid(spark, d).withColumn("id", F.col("doc_id") * 1000 + F.col("pos")), 20, "doc_id", "id").select("doc_id", "pos")
 
 
-def _seeds(spark):
-    return spark.createDataFrame(SEEDS, "id string, source string, date_added string, num_searches int, last_searched string, deleted boolean")
+def _seeds(spark, d):
+    """Customers as seeds: sources, searches and deletions by rule."""
+    c, k = spark.read.parquet(f"{d}/customer.parquet"), F.col("c_custkey")
+    source = F.element_at(F.array(*[F.lit(x) for x in ("user", "seed", "file", "error", "auto")]), F.col("c_nationkey") % 5 + 1)
+    day = lambda first, n: F.date_add(F.lit(first).cast("date"), (k % n).cast("int"))
+    return c.select(F.col("c_name").alias("id"), source.alias("source"), day("2024-01-01", 20).alias("date_added"), (k % 4).alias("num_searches"), F.when(k % 8 != 0, day("2024-02-01", 13)).alias("last_searched"), (k % 7 == 0).alias("deleted"))
 
 
 def seed_selection_new(spark, d):
-    return seeds.unused(_seeds(spark), 3).select("id", "source")
+    return seeds.unused(_seeds(spark, d), 9).select("id", "source")
 
 
 def seed_selection_any(spark, d):
-    return seeds.any_seeds(_seeds(spark), 8).select("id", "source")
+    return seeds.any_seeds(_seeds(spark, d), 30, True).select("id", "source")
+
+
+def search_order(spark, d):
+    """Results in the order in which a client hands them out: each page of ten from its end."""
+    return seeds.as_fetched(_results(spark, d)).select("query", "rank", "fetched")
 
 
 def _results(spark, d):
@@ -175,7 +184,7 @@ _TOK = "list_filter(regexp_extract_all(lower({t}), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
 _NG = f"ng AS (SELECT doc_id, pos, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS ngram FROM (SELECT doc_id, pos, {_TOK.format(t='sentence')} AS w FROM val))"
 _NO_NUMBERS = "lower(regexp_replace(sentence, '(?:^|[^\\p{L}\\p{N}_])\\p{Nd}+(?:$|[^\\p{L}\\p{N}_])', ' ', 'g'))"
 _TOP = "SELECT ngram, count(*) AS n FROM ng GROUP BY 1 ORDER BY n DESC, ngram DESC LIMIT "
-QUERIES = {f.__name__: f for f in (url_counters, decider_recrawl, decider_children, blacklist_decision, bootstrap_oldest, bootstrap_new, bootstrap_ext, bootstrap_sample, frontier_rounds, link_state, seeds_ngram, seeds_tfidf, seeds_ranges, query_builders, newest_sentences, seed_selection_new, seed_selection_any, search_accept, search_fetches, top_results, similar_seeds, seed_report, lid_model)}
+QUERIES = {f.__name__: f for f in (url_counters, decider_recrawl, decider_children, blacklist_decision, bootstrap_oldest, bootstrap_new, bootstrap_ext, bootstrap_sample, frontier_rounds, link_state, seeds_ngram, seeds_tfidf, seeds_ranges, query_builders, newest_sentences, seed_selection_new, seed_selection_any, search_order, search_accept, search_fetches, top_results, similar_seeds, seed_report, lid_model)}
 _CNT = f"{_SENTENCES}, {_VALID}, c AS (SELECT doc_id, count(*) AS sentences, count_if(regexp_matches(sentence, '^[A-M]')) AS hits, count_if(pos = 0) AS new FROM val GROUP BY 1)"
 _RES = "r AS (SELECT page_id % 8 AS seed_order, 'q' || (page_id % 8) AS query, page_id // 8 AS rank, 'http://h' || ((page_id * 37) % 150 % 61) || '.ch/' AS link, (page_id * 37) % 150 % 61 AS h FROM pages)"
 
@@ -210,8 +219,9 @@ ORACLE_SQL = {
         ng AS (SELECT unnest(flatten([list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' ')) for n in [1, 2, 3]])) AS ngram FROM ws) {_TOP} 40""",
     "query_builders": f"""{_SENTENCES}, {_VALID}, {_NG} SELECT ngram, '"' || ngram || '"' AS whole, '"' || replace(ngram, ' ', '" "') || '"' AS words FROM ({_TOP} 20)""",
     "newest_sentences": f"{_SENTENCES}, {_VALID} SELECT doc_id, pos FROM val ORDER BY doc_id DESC, doc_id * 1000 + pos LIMIT 20",
-    "seed_selection_new": f"SELECT id, source FROM {_SEEDS} WHERE num_searches = 0 ORDER BY source DESC, id LIMIT 3",
-    "seed_selection_any": f"SELECT id, source FROM {_SEEDS} ORDER BY num_searches, source DESC, date_added, last_searched NULLS FIRST, id LIMIT 8",
+    "seed_selection_new": f"SELECT id, source FROM {_SEEDS} WHERE num_searches = 0 ORDER BY source DESC, id LIMIT 9",
+    "seed_selection_any": f"SELECT id, source FROM {_SEEDS} WHERE NOT deleted ORDER BY num_searches, source DESC, date_added, last_searched NULLS FIRST, id LIMIT 30",
+    "search_order": f"WITH {_RES} SELECT query, rank, rank // 10 * 10 + count(*) OVER (PARTITION BY query, rank // 10) - 1 - rank % 10 AS fetched FROM r",
     "search_accept": f"{_accepted(5, 1 << 30)} SELECT 'q' || (step - 1) AS query, x.rank AS rank, x.link AS link FROM (SELECT step, unnest(got) AS x FROM w WHERE step > 0)",
     "search_fetches": f"{_accepted(50, 3)}, t AS (SELECT 'q' || (step - 1) AS query, unnest(got).link AS url FROM w WHERE step > 0) SELECT query, NULL::BIGINT AS count, url FROM t UNION ALL SELECT DISTINCT r.query, (SELECT count(*) FROM t WHERE t.query = r.query), NULL FROM r",
     "top_results": f"WITH {_RES} SELECT query, rank, link FROM r WHERE rank < 5",

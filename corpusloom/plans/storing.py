@@ -190,7 +190,7 @@ def searchable_links(spark, d):
 def display_formats(spark, d):
     c = spark.read.parquet(f"{d}/orders.parquet")
     share = (F.col("o_orderkey") % 11) / 10
-    return c.select("o_orderkey", text_.stamp(F.col("o_orderdate")).alias("at"), text_.hue(share).alias("hue"), text_.vote_of(F.array(F.struct(F.lit(1).alias("user"), F.lit("be").alias("label"))), (F.col("o_orderkey") % 2).cast("int")).alias("vote"))
+    return c.select("o_orderkey", text_.stamp(F.col("o_orderdate")).alias("at"), text_.hue(share).alias("hue"), text_.percent(share).alias("share"), text_.vote_of(F.array(F.struct(F.lit(1).alias("user"), F.lit("be").alias("label"))), (F.col("o_orderkey") % 2).cast("int")).alias("vote"))
 
 
 def similar_urls(spark, d):
@@ -238,6 +238,6 @@ ORACLE_SQL = {
         SELECT doc_id, sum(len(string_split(t, chr(10))))::BIGINT AS n, md5(string_agg(t, chr(10) ORDER BY k)) AS text_md5 FROM j GROUP BY 1""",
     "custom_url_filter": "SELECT page_id, CASE WHEN url NOT LIKE '%example.net%' THEN regexp_replace(url, '^http:', 'https:') END AS link FROM pages",
     "searchable_links": "SELECT page_id, page_id % 5 > 2 AS ok FROM pages",
-    "display_formats": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS at, CAST(round(least((o_orderkey % 11) / 10, 1.0) * 120) AS INTEGER) AS hue, CASE WHEN o_orderkey % 2 = 1 THEN 'be' END AS vote FROM orders",
+    "display_formats": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS at, CAST(round(least((o_orderkey % 11) / 10, 1.0) * 120) AS INTEGER) AS hue, printf('%.1f%%', (o_orderkey % 11) * 10.0) AS share, CASE WHEN o_orderkey % 2 = 1 THEN 'be' END AS vote FROM orders",
     "similar_urls": "SELECT page_id FROM pages WHERE lower(url) LIKE '%example.com/fr%'",
 }

@@ -60,6 +60,13 @@ def strip_emojis(spark, d):
     return _both(spark, d).select("doc_id", F.md5(normalize.strip_emojis(F.col("text"))).alias("text_md5"))
 
 
+def repair_encoding(spark, d):
+    """Every second document read in the wrong encoding, and repaired line by line."""
+    wrong = F.decode(F.encode(F.col("text"), "UTF-8"), "ISO-8859-1")
+    rows = _docs(spark, d).select("doc_id", F.when(F.col("doc_id") % 2 == 0, wrong).otherwise(F.col("text")).alias("text"))
+    return rows.select("doc_id", F.md5(normalize.fix_encoding(F.col("text"))).alias("text_md5"))
+
+
 def split_lines(spark, d):
     return _docs(spark, d).select("doc_id", F.size(split.split_lines(F.col("text"))).cast("long").alias("n_lines"))
 
@@ -202,10 +209,11 @@ _FIRST = "fs AS (SELECT * FROM val QUALIFY row_number() OVER (PARTITION BY sente
 _SCORED = f"""{_SENTENCES}, {_VALID}, {_MODEL}, st AS (SELECT doc_id, pos, {_CLEAN.format(t="sentence")} AS t FROM val), {_scores_of("st", "doc_id, pos")},
     pl AS (SELECT doc_id, pos, sum(CASE WHEN label = 'de' THEN e ELSE 0 END) / sum(e) AS proba FROM e GROUP BY ALL), scored AS (SELECT val.*, proba FROM val JOIN pl USING (doc_id, pos))"""
 
-QUERIES = {f.__name__: f for f in (normalize_text, strip_emojis, split_lines, split_paragraphs, split_sentences, split_sentences_strict, sentence_filter_default, sentence_filter_strict, rule_failure_histogram, rule_failure_histogram_strict, rule_examples, uniq_in_page, first_seen_sentences, sentence_novelty, text_dedup_urls, hash_ids, lid_sanitize, lid_scores, lid_predict_lang, proba_threshold, page_counts, st1_crawl_sentences)}
+QUERIES = {f.__name__: f for f in (normalize_text, strip_emojis, repair_encoding, split_lines, split_paragraphs, split_sentences, split_sentences_strict, sentence_filter_default, sentence_filter_strict, rule_failure_histogram, rule_failure_histogram_strict, rule_examples, uniq_in_page, first_seen_sentences, sentence_novelty, text_dedup_urls, hash_ids, lid_sanitize, lid_scores, lid_predict_lang, proba_threshold, page_counts, st1_crawl_sentences)}
 ORACLE_SQL = {
     "normalize_text": f"SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM (SELECT doc_id, {sql.normalized('text')} AS t FROM {_BOTH})",
     "strip_emojis": f"SELECT doc_id, md5({sql.sub('text', normalize.EMOJI, ' ')}) AS text_md5 FROM {_BOTH}",
+    "repair_encoding": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
     "split_lines": "SELECT doc_id, len(string_split(regexp_replace(text, '\\n$', ''), chr(10))) AS n_lines FROM documents",
     "split_paragraphs": "SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda p: trim(p, ' ' || chr(9) || chr(13)) <> '')) AS n_lines, len(list_filter(string_split_regex(text, '\\n(?:[ \\t\\r\\f]*\\n)+'), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(13)) <> '')) AS n_blocks FROM documents",
     "split_sentences": _SENT.replace("@SOURCE@", _BOTH) + " SELECT * FROM sent WHERE sentence <> ''",

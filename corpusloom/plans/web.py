@@ -62,6 +62,24 @@ def site_fixes(spark, d):
     return rows.select("id", "base", "href", urls.fix(urls.resolve(F.col("base"), F.col("href")), F.col("href")).alias("link"))
 
 
+def site_fixes_pages(spark, d):
+    """Every page's path under hosts that have fixes of their own."""
+    at = urls.path(F.col("url"))
+    forms = {
+        "mobile": F.concat(F.lit("http://mobile.twitter.com"), at, F.lit("?lang=de&ref_src=x&id="), "page_id"),
+        "share": F.concat(F.lit("https://twitter.com/share"), at),
+        "region": F.concat(F.lit("http://de-de.facebook.com"), at, F.lit("?ref=1")),
+        "ads": F.concat(F.lit("https://ads.facebook.com"), at),
+        "redirect": F.concat(F.lit("https://l.facebook.com/l.php?u="), F.url_encode(F.concat(F.lit("http://c.ch"), at, F.lit("?k=1"))), F.lit("&h=2")),
+        "session": F.concat(F.lit("http://c.ch"), at, F.lit("?a=1&sid="), F.md5("url"), F.lit("&s="), F.md5("url"), F.lit("&s=short")),
+        "reply": F.concat(F.lit("http://c.ch"), at, F.lit("?replytocom="), "page_id"),
+        "post": F.concat(F.lit("http://c.ch"), at, F.lit("#p"), "page_id"),
+        "forum": F.concat(F.lit("http://forum.zscfans.ch"), F.when(F.col("page_id") % 2 == 0, "/posting.php").otherwise("/viewtopic.php")),
+    }
+    rows = _pages(spark, d).select("page_id", F.explode(F.create_map(*[x for k, v in forms.items() for x in (F.lit(k), v)])).alias("form", "link"))
+    return rows.select("page_id", "form", urls.fix(F.col("link"), F.col("link")).alias("link"))
+
+
 def extract_links(spark, d):
     rows = _pages(spark, d).select("page_id", "url", extract.hrefs(F.col("html")).alias("hrefs"))
     return urls.filter_links(rows, "page_id", "url", "hrefs")
@@ -170,12 +188,14 @@ _ROUND = f"""WITH {_PARAGRAPHS}, n AS (SELECT url AS doc_id, {sql.normalized("te
     rc AS (SELECT p.url, count(val.pos) AS sentence_count, count(*) FILTER (val.sentence LIKE '% of %') AS sg_count, count(fs.pos) AS new_count FROM pages p LEFT JOIN val ON val.doc_id = p.url LEFT JOIN fs ON fs.doc_id = val.doc_id AND fs.pos = val.pos GROUP BY 1)"""
 _LOADED = """l AS (SELECT page_id * 4 + k AS line, u FROM (SELECT page_id, unnest([url, CASE WHEN page_id % 3 = 0 THEN url || '#again' END, CASE WHEN page_id % 5 = 0 THEN 'page ' || page_id END, CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '[?#].*$', '') || '.jpg' END]) AS u, unnest([0, 1, 2, 3]) AS k FROM pages) WHERE u IS NOT NULL),
     x AS (SELECT line, CASE WHEN starts_with(u, 'page ') THEN 'malformed' WHEN suffix(u, '.jpg') THEN 'ignored' END AS status, regexp_replace(u, '#.*$', '') AS u FROM l)"""
-QUERIES = {f.__name__: f for f in (url_parts, url_keep, fix_query_params, site_fixes, extract_links, plain_text, extract_paragraphs, paragraphs_in_context, clever_text, crawl_page, crawl_round, save_pages, configured_turn, loader_status, url_filename)}
+QUERIES = {f.__name__: f for f in (url_parts, url_keep, fix_query_params, site_fixes, site_fixes_pages, extract_links, plain_text, extract_paragraphs, paragraphs_in_context, clever_text, crawl_page, crawl_round, save_pages, configured_turn, loader_status, url_filename)}
 ORACLE_SQL = {
     "url_parts": f"SELECT page_id, scheme, netloc, path, query FROM ({_PARTS})",
     "url_keep": f"SELECT page_id, scheme LIKE 'http%' AND NOT (path LIKE '%.%' AND list_contains({urls.EXTENSIONS}, lower(string_split(path, '.')[-1]))) AND NOT list_contains({urls.BLOCKED_TLDS}, lower(string_split(netloc, '.')[-1])) AND netloc NOT LIKE '%wikipedia.org' AS keep FROM ({_PARTS})",
     "fix_query_params": "SELECT page_id, CASE WHEN url LIKE '%?page=2&ref=x%' THEN regexp_extract(url, '^([^?#]*)', 1) || '?ref=x' ELSE url END AS link FROM pages",
     "site_fixes": f"SELECT * FROM {_CASES}",
+    "site_fixes_pages": f"""SELECT page_id, unnest(['mobile', 'share', 'region', 'ads', 'redirect', 'session', 'reply', 'post', 'forum']) AS form, unnest(['https://twitter.com' || path || '?id=' || page_id, NULL, 'https://www.facebook.com' || path, NULL, 'http://c.ch' || path,
+        'http://c.ch' || path || '?a=1&s=short', 'http://c.ch' || path, NULL, CASE WHEN page_id % 2 = 1 THEN 'http://forum.zscfans.ch/viewtopic.php' END]) AS link FROM ({_PARTS})""",
     "extract_links": """
         WITH h AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS root, rtrim(url, '/') AS bare, unnest(l) AS href, unnest(range(len(l))) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)),
         f AS (SELECT page_id, bare, pos, root || href AS link FROM h),
