@@ -129,6 +129,12 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path through Hadoop's file system, wherever it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def spread(df: DataFrame, waves: int = 2) -> DataFrame:
     """Rows over all cores where a source has fewer partitions than cores; larger sources stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

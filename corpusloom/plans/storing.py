@@ -128,9 +128,12 @@ def _lines_of(spark, d, name, rows):
 def seed_file(spark, d):
     """A list with a seed on each line, those after a space left out, inserted where unseen."""
     words = spark.read.parquet(f"{d}/part.parquet").select(F.concat(F.when(F.col("p_partkey") % 4 == 0, " ").otherwise(""), "p_name").alias("value"))
-    seeds_ = files.seed_list(spark, _lines_of(spark, d, "seeds", words)).select("id", F.lit("file").alias("source"))
+    path = _lines_of(spark, d, "seeds", words)
+    seeds_ = files.seed_list(spark, path).select("id", F.lit("file").alias("source"))
     store = spark.read.parquet(f"{d}/part.parquet").filter("p_partkey % 3 = 0").select(F.col("p_name").alias("id"), F.lit("old").alias("source")).distinct()
-    return crawl.insert_absent(store, seeds_, "id")
+    out = crawl.checkpointed(crawl.insert_absent(store, seeds_, "id"))
+    crawl.remove(spark, path)
+    return out
 
 
 def text_tools(spark, d):
@@ -140,7 +143,10 @@ def text_tools(spark, d):
     files.tool(spark, a, f"{a}-clean", lambda c: normalize.normalize(c, emojis=False))
     files.tool(spark, f"{a}-clean", f"{a}-split", split.split)
     files.tool(spark, f"{a}-split", f"{a}-valid", lambda c: F.when(rules.valid(c, rules.DEFAULT), c))
-    return crawl.checkpointed(spark.read.text(f"{a}-valid").filter("value is not null and value != ''").groupBy(F.md5("value").alias("id")).agg(F.count(F.lit(1)).alias("n")))
+    out = crawl.checkpointed(spark.read.text(f"{a}-valid").filter("value != ''").groupBy(F.md5("value").alias("id")).agg(F.count(F.lit(1)).alias("n")))
+    for path in (a, f"{a}-clean", f"{a}-split", f"{a}-valid"):
+        crawl.remove(spark, path)
+    return out
 
 
 def default_stages(spark, d):

@@ -139,7 +139,9 @@ def save_pages(spark, d):
     texts = tables.text_state(spark, root).select(F.concat_ws(",", "urls").alias("url"), F.concat_ws(":", "id", F.md5("text")).alias("v"), F.lit("text").alias("kind"))
     found = tables.load(spark, root, "sentences").groupBy("url").agg(F.countDistinct("id").alias("n"), F.count(F.lit(1)).alias("all")).select("url", F.concat_ws(":", "n", "all").alias("v"), F.lit("sentences").alias("kind"))
     gone = tables.load(spark, root, "blacklist").select("url", F.col("source_type").alias("v"), F.lit("blacklist").alias("kind")).distinct()
-    return crawl.checkpointed(urls_.unionByName(texts).unionByName(found).unionByName(gone))
+    out = crawl.checkpointed(urls_.unionByName(texts).unionByName(found).unionByName(gone))
+    crawl.remove(spark, root)
+    return out
 
 
 def configured_turn(spark, d):
