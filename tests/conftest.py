@@ -27,6 +27,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp / "warehouse"))
         .config("spark.checkpoint.dir", f"file://{tmp}/shared")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
