@@ -153,7 +153,7 @@ def _decisions(content: DataFrame, landed: DataFrame, state: DataFrame, text: st
         else:
             out = hits.join(differ, "digest", "left_anti")
     shape = ["doc_id", F.col("best.doc_id").alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), (F.struct(FILE, AT) == F.struct(f"best.{FILE}", f"best.{AT}")).alias("kept"), "digest", FILE, AT]
-    decided = landed.join(out.withColumnRenamed("best", "b"), "digest", "left").withColumn("best", F.coalesce("b", _rank())).select(*shape)
+    decided = landed.join(small(out.withColumnRenamed("best", "b"), n_hits, 300), "digest", "left").withColumn("best", F.coalesce("b", _rank())).select(*shape)
     if differ is not None:  # the exact way for digests that clash: group by the bytes themselves
         rows = rows.join(differ, "digest")
         best = rows.groupBy("digest", "bytes").agg(F.min(_rank()).alias("best"), F.count(F.lit(1)).alias("n"))
