@@ -8,7 +8,7 @@ into compressed slices of about SLICE bytes in a bucketed table, and what is lea
    leading bits of its anchors' hashes, as many as make chance meetings rare at the corpus's counted size, sorted and
    as differences; it gets back a bit for each.
 2. Naming: of anchors with company, each slice sends its distinct pieces as rows of fixed width: 64 bits of the
-   anchor's hash, 64 of the piece's own, and the least document. It gets back which of them a smaller document has
+   anchor's hash, twice 64 of the piece's own, and the least document. It gets back which of them a smaller document has
    elsewhere; their copies in the slice all go. Of the others it learns whether their anchor has other pieces:
    siblings, the edges of repeats, which may still share windows.
 3. Indexing: the slice that holds the first document of a sibling sends its bytes, once, to the bucket of the anchor.
@@ -23,8 +23,8 @@ pieces' windows are sent by two hashes of 64 bits of their own, and settled like
 Spark's shuffles of rows, which spill; of step 1, there are never more blobs than anchors, and a part holds those of
 PART_BYTES of text.
 
-Identity: pieces and single windows are told apart by 128 bits, as in the hashed parse from which such transforms are
-built; what the index compares are the bytes.
+Identity: pieces and single windows are told apart by two independent hashes of 64 bits over all their bytes, as in the
+hashed parse from which such transforms are built; what the index compares are the bytes.
 
 Defined cases: a null text counts as empty; a null id is larger than any id, and two null ids aren't smaller than each
 other; rows that repeat an id are no smaller documents to each other; texts under WINDOW bytes stay whole; an empty
@@ -120,16 +120,16 @@ class _Slice(_Texts):
         anchor, self.first, self.last = anchors(self.data, self.starts)
         self.id = self.owner(self.first)
         self.words = words_at(self.data)
-        hashes = string_hashes(self.words, self.first, self.last - self.first + WINDOW)
-        self.which, some, self.least = _distinct(anchor, hashes, self.id)
-        self.route, self.hash, self.some = anchor[some], hashes[some], some
+        hashes, checks = (string_hashes(self.words, self.first, self.last - self.first + WINDOW, lane) for lane in (0, 1))
+        self.which, some, self.least = _distinct(hashes, checks, self.id)
+        self.route, self.hash, self.check, self.some = anchor[some], hashes[some], checks[some], some
 
 
-def _distinct(route: np.ndarray, hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of the distinct (route, hash), for each of them a place where it stands, and its least id."""
+def _distinct(hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the distinct (hash, check), for each of them a place where it stands, and its least id."""
     order = np.argsort(hashes)
     new = np.ones(len(order), bool)
-    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (route[order[1:]] != route[order[:-1]])
+    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
     first = np.flatnonzero(new)
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
@@ -190,7 +190,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(_BLOBS, t.column(0).to_numpy(), t.column(1).to_numpy(), bits)
 
 
-_PIECES = pa.schema([("route", pa.int64()), ("hash", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32())])
+_PIECES = pa.schema([("route", pa.int64()), ("hash", pa.int64()), ("check", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32())])
 
 
 def _pieces(bits: int, parts: int):
@@ -210,7 +210,7 @@ def _pieces(bits: int, parts: int):
         company |= shared[number]
         company[order] = company.copy()
         some = np.flatnonzero(company)
-        return pa.Table.from_batches([_batch(_PIECES, s.route[some].view(np.int64), s.hash[some].view(np.int64), s.least[some], np.full(len(some), row["slice"]), some.astype(np.int32))])
+        return pa.Table.from_batches([_batch(_PIECES, s.route[some].view(np.int64), s.hash[some].view(np.int64), s.check[some].view(np.int64), s.least[some], np.full(len(some), row["slice"]), some.astype(np.int32))])
 
     return pieces
 
@@ -237,30 +237,37 @@ def _groups(batches: Iterator[pa.RecordBatch], least: int = 0) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
+def _begins(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by route, hash and check: where routes begin, and where pieces do."""
+    route, hashes, checks = (t.column(k).to_numpy() for k in range(3))
+    new_route = np.ones(len(route), bool)
+    new_route[1:] = route[1:] != route[:-1]
+    new = new_route.copy()
+    new[1:] |= (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])
+    return new_route, new
+
+
 _TOLD = pa.schema([("slice", pa.int64()), ("k", pa.int32()), ("what", pa.int32())])
 
 
 def _name(most: int):
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From rows by route, hash and least id: what a slice must know of its pieces."""
+        """From rows by route, hash, check and least id: what a slice must know of its pieces."""
         for t in _groups(batches):
-            route, hashes, least = (t.column(k).to_numpy() for k in range(3))
-            new_route = np.ones(len(route), bool)
-            new_route[1:] = route[1:] != route[:-1]
-            new = new_route.copy()
-            new[1:] |= hashes[1:] != hashes[:-1]
+            route, least = t.column(0).to_numpy(), t.column(3).to_numpy()
+            new_route, new = _begins(t)
             low = least[np.flatnonzero(new)[np.cumsum(new) - 1]]
             kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_route))[np.cumsum(new_route) - 1]
             what = np.where(low < least, GONE, np.where(kinds > most, WIDE, SIBLING)).astype(np.int32)
             some = np.flatnonzero((low < least) | (kinds > 1))
             if len(some):
-                yield _batch(_TOLD, t.column(3).to_numpy()[some], t.column(4).to_numpy()[some], what[some])
+                yield _batch(_TOLD, t.column(4).to_numpy()[some], t.column(5).to_numpy()[some], what[some])
 
     return name
 
 
 _STATE, _EDGE, _WINDOW = 0, 1, 2
-_SENT = pa.schema([("kind", pa.int32()), ("route", pa.int64()), ("hash", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32()), ("piece", pa.binary())])
+_SENT = pa.schema([("kind", pa.int32()), ("route", pa.int64()), ("hash", pa.int64()), ("check", pa.int64()), ("least", pa.int64()), ("slice", pa.int64()), ("k", pa.int32()), ("piece", pa.binary())])
 
 
 def _send(slices: pa.Table, told: pa.Table) -> pa.Table:
@@ -291,11 +298,11 @@ def _send(slices: pa.Table, told: pa.Table) -> pa.Table:
     state += [np.concatenate((s.first[open_], place[~surely])), np.concatenate((s.which[open_], len(s.least) + which[~surely]))]
     blob = b"".join(np.array([len(x)], np.int64).tobytes() + x.astype(np.int64).tobytes() for x in state)
     n, none = row["slice"], lambda m: pa.nulls(m, pa.int64())
-    out = [_batch(_SENT, [_STATE], none(1), none(1), none(1), [n], [-1], [_zip(blob)])]
+    out = [_batch(_SENT, [_STATE], none(1), none(1), none(1), none(1), [n], [-1], [_zip(blob)])]
     m = len(siblings)
-    out.append(_batch(_SENT, np.full(m, _EDGE, np.int32), s.route[siblings].view(np.int64), s.hash[siblings].view(np.int64), s.least[siblings], np.full(m, n), siblings.astype(np.int32), _blobs(s.data, s.first[at], size)))
+    out.append(_batch(_SENT, np.full(m, _EDGE, np.int32), s.route[siblings].view(np.int64), s.hash[siblings].view(np.int64), s.check[siblings].view(np.int64), s.least[siblings], np.full(m, n), siblings.astype(np.int32), _blobs(s.data, s.first[at], size)))
     m = len(some)
-    out.append(_batch(_SENT, np.full(m, _WINDOW, np.int32), lanes[0][some].view(np.int64), lanes[1][some].view(np.int64), least, np.full(m, n), (len(s.least) + np.arange(m)).astype(np.int32), pa.nulls(m, pa.binary())))
+    out.append(_batch(_SENT, np.full(m, _WINDOW, np.int32), lanes[0][some].view(np.int64), lanes[1][some].view(np.int64), np.zeros(m, np.int64), least, np.full(m, n), (len(s.least) + np.arange(m)).astype(np.int32), pa.nulls(m, pa.binary())))
     return pa.Table.from_batches(out)
 
 
@@ -303,17 +310,14 @@ _FOUND = pa.schema([("slice", pa.int64()), ("k", pa.int32()), ("mask", pa.int64(
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From siblings by route, hash and least id: masks of the windows that a smaller document has."""
+    """From siblings by route, hash, check and least id: masks of the windows that a smaller document has."""
     for t in _groups(batches, BUCKET // WINDOW):
-        route, hashes, least = (t.column(k).to_numpy() for k in range(3))
-        pieces = t.column(5).combine_chunks()
+        least = t.column(3).to_numpy()
+        pieces = t.column(6).combine_chunks()
         pieces = pieces.chunk(0) if isinstance(pieces, pa.ChunkedArray) else pieces
         offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
         data = np.frombuffer(pieces.buffers()[2], np.uint8)
-        new_route = np.ones(len(route), bool)
-        new_route[1:] = route[1:] != route[:-1]
-        new = new_route.copy()
-        new[1:] |= hashes[1:] != hashes[:-1]
+        new_route, new = _begins(t)
         group, at = np.cumsum(new_route) - 1, np.flatnonzero(new_route)
         low, high = np.minimum.reduceat(least, at)[group], np.maximum.reduceat(least, at)[group]
         piece = np.cumsum(new) - 1  # rows that repeat an id may send one piece twice
@@ -332,7 +336,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask[piece[asks]] = np.add.reduceat(np.where(smaller, np.int64(1) << bit, np.int64(0)), first)
         some = np.flatnonzero(mask[piece])
         if len(some):
-            yield _batch(_FOUND, t.column(3).to_numpy()[some], t.column(4).to_numpy()[some], mask[piece[some]])
+            yield _batch(_FOUND, t.column(4).to_numpy()[some], t.column(5).to_numpy()[some], mask[piece[some]])
 
 
 def _strings(data: np.ndarray, offsets: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -413,7 +417,7 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int
     root = scratch(spark, "repeats")
     table = "slices_" + root.rsplit("-", 1)[1]
     rows = docs.select(docs[key].cast("long").alias("id"), F.encode(whole(docs[text]), "UTF-8").alias("text"))
-    pieces, blobs = "route long, hash long, least long, slice long, k int", "part int, slice long, blob binary"
+    pieces, blobs = "route long, hash long, check long, least long, slice long, k int", "part int, slice long, blob binary"
     sent_shape, found_shape = f"kind int, {pieces}, piece binary", "slice long, k int, mask long"
     try:
         slices = _bucketed(rows.mapInArrow(_pack(slice_bytes), "slice long, ids binary, lengths binary, data binary, bytes long"), root, table)
@@ -422,7 +426,7 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int
         parts, bits = max(16, size // PART_BYTES), min(64, max(16, (size // 8).bit_length() + 8))
 
         def named(rows: DataFrame) -> DataFrame:
-            return _met(rows, "route", "hash", "least").mapInArrow(_name(most), "slice long, k int, what int")
+            return _met(rows, "route", "hash", "check", "least").mapInArrow(_name(most), "slice long, k int, what int")
 
         answers = _met(slices.mapInArrow(_ask(bits, parts), blobs), "part").mapInArrow(_answer, blobs)
         told = named(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_pieces(bits, parts), pieces))
@@ -430,9 +434,9 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int
         sent.write.partitionBy("kind").parquet(f"{root}/sent")
         sent = spark.read.schema(sent_shape).parquet(f"{root}/sent")
         state = sent.filter(F.col("kind") == _STATE).select("slice", "k", F.lit(0).cast("long").alias("mask"), "piece")
-        edges = sent.filter(F.col("kind") == _EDGE).select("route", "hash", "least", "slice", "k", "piece")
-        windows = sent.filter(F.col("kind") == _WINDOW).select("route", "hash", "least", "slice", "k")
-        masks = _met(edges, "route", "hash", "least").mapInArrow(_index, found_shape)
+        edges = sent.filter(F.col("kind") == _EDGE).select("route", "hash", "check", "least", "slice", "k", "piece")
+        windows = sent.filter(F.col("kind") == _WINDOW).select("route", "hash", "check", "least", "slice", "k")
+        masks = _met(edges, "route", "hash", "check", "least").mapInArrow(_index, found_shape)
         masks = masks.unionByName(named(windows).filter(F.col("what") == GONE).select("slice", "k", F.lit(1).cast("long").alias("mask")))
         told = state.unionByName(masks.withColumn("piece", F.lit(None).cast("binary")))
         shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
