@@ -47,12 +47,15 @@ def append(rows: DataFrame, root: str, name: str) -> None:
 
 
 def save_round(done, root: str, date: Column) -> None:
-    """A crawl round's sentences, visits, raw texts and blacklisted URLs; pages that are blacklisted leave no visit."""
+    """A crawl round's sentences, visits, raw texts and blacklisted URLs; pages that are blacklisted leave no visit.
+
+    A URL is one visit; of several texts its hash is the smallest.
+    """
     visited = done.counts.filter("error is null").join(done.blacklist.select("url"), "url", "left_anti")
     texts = done.texts.join(visited.select("url"), "url").select(F.md5("text").alias("id"), "text", "url", date.alias("date_added"))
     none = F.lit(None).cast("string")
     append(done.new_sentences.join(visited.select("url"), "url").select(F.md5("sentence").alias("id"), F.col("sentence").alias("text"), "url", date.alias("date_added"), F.col("proba").cast("double").alias("crawl_proba")), root, "sentences")
-    append(visited.join(texts.select("url", F.col("id").alias("hash")), "url", "left").select("url", F.lit("auto").alias("source_type"), none.alias("source_extra"), date.alias("date"), F.col("new_count").alias("count"), "hash", F.col("sentence_count").alias("sents_count"), F.col("sg_count").alias("sg_sents_count")), root, "crawls")
+    append(visited.join(texts.groupBy("url").agg(F.min("id").alias("hash")), "url", "left").select("url", F.lit("auto").alias("source_type"), none.alias("source_extra"), date.alias("date"), F.col("new_count").alias("count"), "hash", F.col("sentence_count").alias("sents_count"), F.col("sg_count").alias("sg_sents_count")), root, "crawls")
     append(texts, root, "texts")
     append(done.blacklist.select("url", F.when(F.col("error").isNull(), "auto").otherwise("error").alias("source_type"), F.col("error").alias("source_extra"), date.alias("date_added")), root, "blacklist")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import crawl
+from corpusloom.sources import tables
 
 PAGES = [
     ("http://a.ch/", "one of all\ntwo of all\nthree"),
@@ -34,3 +35,12 @@ def test_round_counts_a_url_once(spark):
     assert sorted(tuple(x) for x in r.new_sentences.select("url", "sentence").collect()) == [("http://a.ch/", s) for s in ("four of all", "one of all", "two of all")]
     assert [tuple(x) for x in r.blacklist.collect()] == [("http://c.ch/", "EmptyDocumentError")]
     assert sorted(x.url for x in r.children.collect()) == ["http://a.ch/four of all", "http://a.ch/three", "http://b.ch/five"]
+
+
+def test_a_url_is_one_visit(spark, tmp_path):
+    for day in ("2024-01-01", "2024-01-02"):
+        tables.save_round(_round(spark), str(tmp_path), F.lit(day).cast("timestamp"))
+    got = sorted(tuple(x) for x in tables.url_state(spark, str(tmp_path)).select("url", "count", "delta", "crawls", "sents_count").collect())
+    assert got == [("http://a.ch/", 6, 3, 2, 4), ("http://b.ch/", 0, 0, 2, 2)]
+    assert {(u, x.text) for x in tables.text_state(spark, str(tmp_path)).collect() for u in x.urls} == {x for x in PAGES if x[1]}
+    assert tables.load(spark, str(tmp_path), "sentences").count() == 6
