@@ -298,3 +298,9 @@ def test_users_and_keys(spark):
 
     users = spark.createDataFrame([("ann", "5f4dcc3b5aa765d61d8327deb882cf99", ["admin"])], "id string, password string, roles array<string>")
     assert tables.login(users, "ann", "password").count() == 1 and tables.login(users, "ann", "other").count() == tables.login(users, "bob", "password").count() == 0
+
+
+def test_entities_without_semicolon(spark):
+    page = ["<article><h1>a &amp; b&amp</h1><p>c &amp d</p></article>"]
+    assert _one(spark, page, extract.plain_text) == _one(spark, page, extract.clever_text) == ["a & b& c & d"]
+    assert [p.text for p in _one(spark, page, extract.paragraphs)[0]] == ["a & b&", "c & d"]
